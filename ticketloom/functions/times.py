@@ -24,35 +24,30 @@ def utc_wall_clock(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
 
 
-def _zone_given(text: Column) -> Column:
-    """Append ``Z`` to a text without an offset: such times count as UTC."""
-    return F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+def _with_zone(text: Column) -> Column:
+    """Append ``Z`` to a plain time without an offset: such times count as UTC."""
+    return F.regexp_replace(text, r"^(.{10}[^Z+-]*)$", "$1Z")
 
 
-def _from_parts(text: Column) -> Column:
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, _ISO, i)
-
-    def or_zero(i: int) -> Column:
-        return F.coalesce(F.nullif(part(i), F.lit("")), F.lit("00"))
-
-    offset = F.regexp_replace(part(10), r"^([+-]\d{2})$", "$1:00")
-    rebuilt = F.concat(
-        part(1), F.lit("-"), part(2), part(4), F.lit("-"), part(3), part(5), F.lit("T"),
-        or_zero(6), F.lit(":"), or_zero(7), F.lit(":"), or_zero(8), F.lit("."),
-        F.rpad(F.substring(part(9), 1, 6), 6, "0"),
-        F.when(offset == "", "Z").otherwise(offset))
-    return F.when(text.rlike(_ISO), utc_wall_clock(rebuilt.try_cast("timestamp")))
+def _canonical(text: Column) -> Column:
+    """Any ISO form -> the plain form: pull the parts into place, then fill the empty places."""
+    text = F.regexp_replace(text, _ISO, "$1-$2$4-$3$5T$6:$7:$8.$9|$10")
+    text = F.regexp_replace(text, r"T(?=:)", "T00")
+    text = F.regexp_replace(text, r":(?=[:.])", ":00")
+    text = F.regexp_replace(text, r"\.(\d{0,6})\d*\|", ".$1")
+    text = F.regexp_replace(text, r"\.(?!\d)", "")
+    text = F.regexp_replace(text, r"([+-]\d{2})$", "$1:00")
+    return _with_zone(text)
 
 
 def parse_ts(text: Column) -> Column:
     """ISO-8601 text -> UTC time; null when the text is no such time.
 
-    ``+0000`` and ``+05:30`` offsets are applied, text without an offset counts as UTC.
+    ``+0000`` and ``+05:30`` offsets are applied, text without an offset counts as UTC. ``text``
+    should be a plain column, as it is looked at several times.
     """
-    return F.when(
-        text.rlike(_PLAIN), utc_wall_clock(_zone_given(text).try_cast("timestamp"))
-    ).otherwise(_from_parts(text))
+    instant = F.when(text.rlike(_PLAIN), _with_zone(text)).when(text.rlike(_ISO), _canonical(text))
+    return utc_wall_clock(instant.try_cast("timestamp"))
 
 
 def _written(ts: Column, separator: str) -> Column:

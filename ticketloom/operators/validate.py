@@ -1,102 +1,68 @@
-"""Validation rules over the VARIANT of a raw issue, and what happens to the rejects."""
+"""Validation rules of a raw issue, and what happens to the rejects."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.functions.times import parse_ts
 
-
-def _kind(doc: Column, path: str) -> Column:
+def kind_of(doc: Column, path: str) -> Column:
     """VARIANT type name at ``path``: null when missing, ``VOID`` for an explicit null."""
     return F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
 
 
-def _is(kind: Column, name: str) -> Column:
-    """Exact test of a type name; missing counts as false."""
+def is_kind(kind: Column, name: str) -> Column:
+    """Test of a type name; missing counts as false."""
     return F.coalesce(kind.startswith(name), F.lit(False))
 
 
-def _object_or_missing(kind: Column) -> Column:
+def object_or_missing(kind: Column) -> Column:
     return kind.isNull() | kind.startswith("OBJECT")
 
 
-def _bad_time(doc: Column, path: str, required: bool) -> Column:
-    kind = _kind(doc, path)
-    text = F.try_variant_get(doc, path, "string")
-    bad = ~_is(kind, "STRING") | parse_ts(text).isNull()
+def bad_time(kind: Column, at: Column, required: bool) -> Column:
+    """A time that is no text or did not parse; an optional one may be missing or null."""
+    bad = ~is_kind(kind, "STRING") | at.isNull()
     return bad if required else (kind.isNotNull() & (kind != "VOID") & bad)
 
 
-def _bad_comment(c: Column) -> Column:
-    author, body = _kind(c, "$.author"), _kind(c, "$.body")
-    return (
-        ~_is(F.schema_of_variant(c), "OBJECT")
-        | ~_object_or_missing(author)
-        | (body.isNotNull() & (body != "STRING"))
-        | _bad_time(c, "$.created", required=True)
-        | _bad_time(c, "$.updated", required=False))
-
-
-def _bad_comments(doc: Column, holder: str) -> Column:
-    kind = _kind(doc, holder)
-    items = F.try_variant_get(doc, holder, "array<variant>")
-    return F.when(kind.isNull(), F.lit(False)).otherwise(
-        items.isNull() | F.coalesce(F.exists(items, _bad_comment), F.lit(False)))
-
-
-def violations(raw: Column, shape: str = "auto") -> Column:
+def violations() -> Column:
     """Codes of the rules a document breaks, in ``RULE_CODES`` order; empty for a valid one.
 
-    A missing attribute and an explicit null are different things here, so the rules need the
-    VARIANT. ``no_project`` is a rule of the store stage only, see ``parse_errors``.
+    Works on the ``_kind_*`` columns and times of ``sources.issues.extracted``: a missing attribute
+    and an explicit null are different things here. ``no_project`` is a rule of the store stage
+    only, see ``parse_errors``.
     """
-    key, fields = _kind(raw, "$.key"), _kind(raw, "$.fields")
-    has_fields = _is(fields, "OBJECT")
-    holder, project = _kind(raw, "$.fields.comment"), _kind(raw, "$.fields.project")
-    summary, description = _kind(raw, "$.fields.summary"), _kind(raw, "$.fields.description")
-    type_names = {"api": ["issuetype"], "stored": ["issue_type"], "auto": ["issuetype", "issue_type"]}[shape]
-    bad_type = ~_object_or_missing(_kind(raw, f"$.fields.{type_names[0]}"))
-    for name in type_names[1:]:
-        bad_type = bad_type | ~_object_or_missing(_kind(raw, f"$.fields.{name}"))
-    bad_comments = F.lit(False)
-    if shape in ("api", "auto"):
-        bad_comments = bad_comments | _bad_comments(raw, "$.fields.comment.comments")
-    if shape in ("stored", "auto"):
-        bad_comments = bad_comments | _bad_comments(raw, "$.comments")
+    def kind(name: str) -> Column:
+        return F.col(f"_kind_{name}")
 
-    def optional_object(name: str) -> Column:
-        kind = _kind(raw, f"$.fields.{name}")
-        return ~(_object_or_missing(kind) | (kind == "VOID"))
+    def required_object(name: str) -> Column:
+        return ~object_or_missing(kind(name))
 
-    def plain_object(name: str) -> Column:
-        return ~_object_or_missing(_kind(raw, f"$.fields.{name}"))
+    def optional_object(name: str) -> Column:
+        return ~(object_or_missing(kind(name)) | (kind(name) == "VOID"))
 
     in_fields = {
-        "null_container": ~_object_or_missing(holder) | ~_object_or_missing(project),
-        "summary": ~_is(summary, "STRING"),
-        "description": ~(description.isNull() | description.isin("VOID", "STRING")),
-        "created": _bad_time(raw, "$.fields.created", required=True),
-        "updated": _bad_time(raw, "$.fields.updated", required=True),
-        "resolutiondate": _bad_time(raw, "$.fields.resolutiondate", required=False),
-        "status": plain_object("status"),
-        "priority": plain_object("priority"),
-        "reporter": plain_object("reporter"),
-        "issuetype": bad_type,
+        "null_container": required_object("comment") | required_object("project"),
+        "summary": ~is_kind(kind("summary"), "STRING"),
+        "description": ~(kind("description").isNull() | kind("description").isin("VOID", "STRING")),
+        "created": bad_time(kind("created"), F.col("created"), required=True),
+        "updated": bad_time(kind("updated"), F.col("updated"), required=True),
+        "resolutiondate": bad_time(kind("resolutiondate"), F.col("resolutiondate"), required=False),
+        "status": required_object("status"),
+        "priority": required_object("priority"),
+        "reporter": required_object("reporter"),
+        "issuetype": required_object("issuetype"),
         "assignee": optional_object("assignee"),
         "resolution": optional_object("resolution"),
-        "comment": bad_comments,
+        "comment": F.col("_comments_unlisted") | F.exists("comments", lambda c: c["bad"]),
     }
-    stated = F.nullif(F.try_variant_get(raw, "$.fields.project.key", "string"), F.lit(""))
-    if shape != "api":
-        stated = F.coalesce(stated, F.nullif(F.try_variant_get(raw, "$.project", "string"), F.lit("")))
-    homeless = stated.isNull() & ~F.coalesce(
-        F.try_variant_get(raw, "$.key", "string").contains("-"), F.lit(True))
-    rules = [F.when(~_is(key, "STRING"), "missing_key"), F.when(~has_fields, "missing_fields")]
+    has_fields = is_kind(kind("fields"), "OBJECT")
+    homeless = F.col("_stated").isNull() & ~F.coalesce(F.col("key").contains("-"), F.lit(True))
+    rules = [F.when(~is_kind(kind("key"), "STRING"), "missing_key"), F.when(~has_fields, "missing_fields")]
     rules += [F.when(has_fields & broken, code) for code, broken in in_fields.items()]
     rules.append(F.when(homeless, "no_project"))
-    return F.when(raw.isNull(), F.array(F.lit("bad_json"))).otherwise(
+    return F.when(F.col("raw").isNull(), F.array(F.lit("bad_json"))).otherwise(
         F.filter(F.array(*rules), lambda c: c.isNotNull()))
 
 

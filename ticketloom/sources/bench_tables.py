@@ -148,10 +148,12 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
 # --- raw documents ---
 
 
-def _json(value: Column) -> Column:
-    """JSON text of one string value."""
-    text = F.to_json(F.array(value))
-    return F.when(value.isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
+def _json_text(columns: list[str], df: DataFrame) -> DataFrame:
+    """Replace string columns by their JSON text, in two steps so that no text is encoded twice."""
+    encoded = df.select(*[c for c in df.columns if c not in columns],
+                        *[F.to_json(F.array(c)).alias(c) for c in columns])
+    return encoded.select(*[c for c in df.columns if c not in columns], *[
+        F.when(F.col(c) != "[null]", F.substring(c, F.lit(2), F.length(c) - 2)).alias(c) for c in columns])
 
 
 def _field(name: str, json: Column) -> Column:
@@ -171,9 +173,18 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
     comments = comment_rows(spark, folder)
     author = F.when(F.col("author") == "Unknown", F.to_json(F.struct(F.lit("bot").alias("name")))).otherwise(
         F.to_json(F.struct(F.col("author").alias("name"), F.col("author").alias("displayName"))))
-    gathered = comments.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(
-        "idx", "id", author.alias("author"), "body", "created"))).alias("items"))
-    issues = issue_rows(spark, folder).join(gathered, "doc_id", "left")
+    comments = _json_text(["id", "body"], comments.select("doc_id", "idx", "id", author.alias("author"), "body", "created"))
+    events = table(spark, folder, "events").select(F.col("event_id").alias("doc_id"), "ts")
+    at = _api_time(F.col("ts") + (F.col("created") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    item = F.concat(
+        F.lit('{"id":'), "id", F.lit(',"author":'), "author", F.lit(',"body":'), "body",
+        F.lit(',"created":"'), at, F.lit('"}'))
+    gathered = comments.join(events, "doc_id").groupBy("doc_id").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("idx", item.alias("item")))), lambda s: s["item"]), ",").alias("items"))
+    issues = issue_rows(spark, folder)
+    times = ["created", "updated", "resolutiondate"]
+    issues = issues.select(*[c for c in issues.columns if c not in times], *[_api_time(F.col(t)).alias(t) for t in times])
+    issues = _json_text(["key", "summary", "description", *times], issues).join(gathered, "doc_id", "left")
     n = F.col("doc_id") % 31 if broken else F.lit(0)
 
     def damaged(cases: dict[int, str | None], good: Column) -> Column:
@@ -186,13 +197,7 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
     def named(column: str) -> Column:
         return F.when(F.col(column) != "", F.to_json(F.struct(F.col(column).alias("name"))))
 
-    def one_comment(c: Column) -> Column:
-        at = _api_time(F.col("created") + (c["created"] - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
-        return F.concat(
-            F.lit('{"id":'), _json(c["id"]), F.lit(',"author":'), c["author"], F.lit(',"body":'), _json(c["body"]),
-            F.lit(',"created":"'), at, F.lit('"}'))
-
-    items = F.coalesce(F.array_join(F.transform("items", one_comment), ","), F.lit(""))
+    items = F.coalesce("items", F.lit(""))
     items = damaged({
         20: '{"id":"1","author":null,"body":"x","created":"2024-01-01T00:00:00.000+0000"}',
         21: '{"id":"1","author":{},"body":null,"created":"2024-01-01T00:00:00.000+0000"}',
@@ -204,11 +209,11 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
     fields = F.concat_ws(
         ",",
         _field("project", damaged({5: "null", 23: None}, project)),
-        _field("summary", damaged({7: None, 8: "123", 9: "null", 24: "null"}, _json(F.col("summary")))),
-        _field("description", damaged({10: "5"}, F.coalesce(_json(F.col("description")), F.lit("null")))),
-        _field("created", damaged({11: None}, _json(_api_time(F.col("created"))))),
-        _field("updated", damaged({12: '"yesterday"', 24: None}, _json(_api_time(F.col("updated"))))),
-        _field("resolutiondate", damaged({13: '"soon"'}, _json(_api_time(F.col("resolutiondate"))))),
+        _field("summary", damaged({7: None, 8: "123", 9: "null", 24: "null"}, F.col("summary"))),
+        _field("description", damaged({10: "5"}, F.coalesce("description", F.lit("null")))),
+        _field("created", damaged({11: None}, F.col("created"))),
+        _field("updated", damaged({12: '"yesterday"', 24: None}, F.col("updated"))),
+        _field("resolutiondate", damaged({13: '"soon"'}, F.col("resolutiondate"))),
         _field("status", damaged({14: "null"}, named("status"))),
         _field("priority", damaged({15: "null"}, named("priority"))),
         _field("reporter", damaged({16: '"x"'}, F.to_json(F.struct(
@@ -217,10 +222,10 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
         _field("assignee", damaged({18: '"bob"'}, F.coalesce(assignee, F.lit("null")))),
         _field("resolution", damaged({19: "7"}, F.coalesce(resolution, F.lit("null")))),
         _field("comment", damaged({6: "null"}, F.concat(F.lit('{"comments":['), items, F.lit("]}")))))
-    key = damaged({2: None, 3: "77", 23: '"HOMELESS"'}, _json(F.col("key")))
+    key = damaged({2: None, 3: "77", 23: '"HOMELESS"'}, F.col("key"))
     value = F.concat(F.lit("{"), F.concat_ws(
         ",", _field("key", key), _field("fields", damaged({4: None}, F.concat(F.lit("{"), fields, F.lit("}"))))),
         F.lit("}"))
-    return issues.select(
-        F.when(n == 1, F.left(value, F.length(value) - 1)).otherwise(value).alias("value"),
+    return issues.select("doc_id", "project", value.alias("value")).select(
+        F.when(n == 1, F.left("value", F.length("value") - 1)).otherwise(F.col("value")).alias("value"),
         F.col("doc_id").cast("string").alias("source_path"), "project", "doc_id")

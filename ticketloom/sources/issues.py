@@ -11,7 +11,7 @@ from ticketloom.functions.names import (
     path_text, project_from_key, project_from_object_key, project_from_path,
 )
 from ticketloom.functions.times import parse_ts
-from ticketloom.operators.validate import violations
+from ticketloom.operators.validate import bad_time, is_kind, kind_of, object_or_missing, violations
 from ticketloom.schema import COMMENT_TYPE, UNKNOWN_AUTHOR
 
 DOCUMENT_SCHEMA = T.StructType([
@@ -72,25 +72,83 @@ def _text(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "string")
 
 
-def _part(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, path, "variant")
-
-
-def _present(part: Column) -> Column:
-    """True for a non-empty object, the truth test of the original on a dict."""
-    return F.coalesce(
-        F.schema_of_variant(part).startswith("OBJECT<") & (F.schema_of_variant(part) != "OBJECT<>"),
-        F.lit(False))
-
-
 def _comment(c: Column, i: Column) -> Column:
+    """Comment text attributes, with what the validator asks about them."""
+    author, body = kind_of(c, "$.author"), kind_of(c, "$.body")
+    unfit = (
+        ~is_kind(F.schema_of_variant(c), "OBJECT") | ~object_or_missing(author)
+        | (body.isNotNull() & (body != "STRING")))
     return F.struct(
         i.cast("int").alias("idx"),
         F.coalesce(_text(c, "$.id"), F.lit("")).alias("id"),
         F.coalesce(_text(c, "$.author.displayName"), F.lit(UNKNOWN_AUTHOR)).alias("author"),
         F.coalesce(_text(c, "$.body"), F.lit("")).alias("body"),
-        parse_ts(_text(c, "$.created")).alias("created"),
-        parse_ts(_text(c, "$.updated")).alias("updated"))
+        _text(c, "$.created").alias("created"), _text(c, "$.updated").alias("updated"),
+        kind_of(c, "$.created").alias("kind_created"), kind_of(c, "$.updated").alias("kind_updated"),
+        unfit.alias("unfit"))
+
+
+def _timed_comment(c: Column) -> Column:
+    return F.struct(
+        c["idx"].alias("idx"), c["id"].alias("id"), c["author"].alias("author"), c["body"].alias("body"),
+        parse_ts(c["created"]).alias("created"), parse_ts(c["updated"]).alias("updated"),
+        c["kind_created"].alias("kind_created"), c["kind_updated"].alias("kind_updated"), c["unfit"].alias("unfit"))
+
+
+def _judged_comment(c: Column) -> Column:
+    bad = (
+        c["unfit"] | bad_time(c["kind_created"], c["created"], required=True)
+        | bad_time(c["kind_updated"], c["updated"], required=False))
+    return F.struct(*[c[f].alias(f) for f in COMMENT_TYPE.fieldNames()], bad.alias("bad"))
+
+
+# attribute -> where each shape holds it
+_TYPE = {"api": "$.fields.issuetype", "stored": "$.fields.issue_type"}
+_COMMENTS = {"api": "$.fields.comment.comments", "stored": "$.comments"}
+_KINDS = ["project", "comment", "summary", "description", "created", "updated", "resolutiondate", "status",
+          "priority", "reporter", "assignee", "resolution"]
+
+
+def extracted(parsed: DataFrame, shape: str, carried: list[str]) -> DataFrame:
+    """Every attribute read from the VARIANT once, in three steps of plain columns: text and kinds,
+    then times, then judged comments."""
+    raw = F.col("raw")
+    shapes = ["api", "stored"] if shape == "auto" else [shape]
+    # the type attribute of the other shape counts only when the first one is missing
+    types = [kind_of(raw, _TYPE[s]) for s in shapes]
+    lists = [kind_of(raw, _COMMENTS[s]) for s in shapes]
+    unlisted = F.lit(False)
+    for kind in lists:
+        unlisted = unlisted | F.coalesce(~kind.startswith("ARRAY"), F.lit(False))
+    items = F.coalesce(*[F.try_variant_get(raw, _COMMENTS[s], "array<variant>") for s in shapes])
+    stated = [_text(raw, "$.fields.project.key")] + ([] if shape == "api" else [_text(raw, "$.project")])
+    texts = parsed.select(
+        "raw", "value", *carried,
+        kind_of(raw, "$.key").alias("_kind_key"), kind_of(raw, "$.fields").alias("_kind_fields"),
+        *[kind_of(raw, f"$.fields.{a}").alias(f"_kind_{a}") for a in _KINDS],
+        F.coalesce(*types).alias("_kind_issuetype"),
+        unlisted.alias("_comments_unlisted"),
+        F.transform(items, _comment).alias("comments"),
+        F.coalesce(*[F.nullif(s, F.lit("")) for s in stated]).alias("_stated"),
+        _text(raw, "$.key").alias("key"),
+        *[_text(raw, f"$.fields.{a}").alias(a) for a in
+          ("summary", "description", "created", "updated", "resolutiondate")],
+        *[F.coalesce(_text(raw, f"$.fields.{a}.name"), F.lit("")).alias(a) for a in
+          ("status", "priority", "resolution")],
+        F.coalesce(*[_text(raw, f"{_TYPE[s]}.name") for s in shapes], F.lit("")).alias("issue_type"),
+        *[F.coalesce(_text(raw, f"$.fields.{a}.displayName"), F.lit("")).alias(a) for a in ("reporter", "assignee")])
+    times = ("created", "updated", "resolutiondate")
+    timed = texts.select(
+        *[c for c in texts.columns if c not in (*times, "comments")],
+        *[parse_ts(F.col(a)).alias(a) for a in times],
+        F.transform("comments", _timed_comment).alias("comments"))
+    none = F.array().cast(T.ArrayType(T.StructType(COMMENT_TYPE.fields + [T.StructField("bad", T.BooleanType())])))
+    return timed.withColumn("comments", F.coalesce(F.transform("comments", _judged_comment), none))
+
+
+def _nonempty(kind: Column) -> Column:
+    """True for a non-empty object, the truth test of a dict."""
+    return is_kind(kind, "OBJECT") & (kind != "OBJECT<>")
 
 
 def parse_issue(docs: DataFrame, shape: str = "auto") -> DataFrame:
@@ -102,37 +160,16 @@ def parse_issue(docs: DataFrame, shape: str = "auto") -> DataFrame:
     """
     carried = [c for c in ("source_path", "path_project") if c in docs.columns]
     parsed = computed_once(docs.select("value", *carried), raw=F.try_parse_json("value"))
-    raw = F.col("raw")
-
-    comment_paths = {"api": ["$.fields.comment.comments"], "stored": ["$.comments"]}
-    type_paths = {"api": ["$.fields.issuetype"], "stored": ["$.fields.issue_type"]}
-    shapes = ["api", "stored"] if shape == "auto" else [shape]
-    comment_items = F.coalesce(*[
-        F.try_variant_get(raw, p, "array<variant>") for s in shapes for p in comment_paths[s]])
-    issue_type = F.coalesce(*[_text(raw, p + ".name") for s in shapes for p in type_paths[s]])
-    stated = F.nullif(_text(raw, "$.fields.project.key"), F.lit(""))
-    if shape != "api":
-        stated = F.coalesce(stated, F.nullif(_text(raw, "$.project"), F.lit("")))
+    judged = computed_once(extracted(parsed, shape, carried), violations=violations())
     from_path = F.nullif(F.col("path_project"), F.lit("")) if "path_project" in carried else F.lit(None)
-
-    key = _text(raw, "$.key")
-    parsed = computed_once(parsed, violations=violations(raw, shape))
-    return parsed.select(
-        key.alias("key"),
-        F.coalesce(stated, project_from_key(key), from_path).alias("project"),
-        _text(raw, "$.fields.summary").alias("summary"),
-        _text(raw, "$.fields.description").alias("description"),
-        parse_ts(_text(raw, "$.fields.created")).alias("created"),
-        parse_ts(_text(raw, "$.fields.updated")).alias("updated"),
-        parse_ts(_text(raw, "$.fields.resolutiondate")).alias("resolutiondate"),
-        F.coalesce(_text(raw, "$.fields.status.name"), F.lit("")).alias("status"),
-        F.coalesce(_text(raw, "$.fields.priority.name"), F.lit("")).alias("priority"),
-        F.coalesce(issue_type, F.lit("")).alias("issue_type"),
-        F.coalesce(_text(raw, "$.fields.resolution.name"), F.lit("")).alias("resolution"),
-        _present(_part(raw, "$.fields.resolution")).alias("has_resolution"),
-        _present(_part(raw, "$.fields.assignee")).alias("has_assignee"),
-        F.coalesce(_text(raw, "$.fields.reporter.displayName"), F.lit("")).alias("reporter"),
-        F.coalesce(_text(raw, "$.fields.assignee.displayName"), F.lit("")).alias("assignee"),
-        F.coalesce(F.transform(comment_items, _comment), F.array().cast(T.ArrayType(COMMENT_TYPE)))
+    return judged.select(
+        "key",
+        F.coalesce("_stated", project_from_key(F.col("key")), from_path).alias("project"),
+        "summary", "description", "created", "updated", "resolutiondate", "status", "priority", "issue_type",
+        "resolution",
+        _nonempty(F.col("_kind_resolution")).alias("has_resolution"),
+        _nonempty(F.col("_kind_assignee")).alias("has_assignee"),
+        "reporter", "assignee",
+        F.transform("comments", lambda c: F.struct(*[c[f].alias(f) for f in COMMENT_TYPE.fieldNames()]))
         .alias("comments"),
         "violations", *carried, "raw", "value")
