@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import re
+import json
+from collections.abc import Callable
 from functools import lru_cache
+from html import unescape
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -13,136 +15,105 @@ from ticketloom.schema import RESOLUTION_KEYWORDS
 
 TAG = r"<[^>]+>"
 
-# Unicode white space. Java's \s is ASCII only, and (?U)\s leaves out the four separators \x1c-\x1f.
-_SPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
-# Runs that are not already one plain space; replacing only those skips most matches.
-SPACE_RUN = rf" [{_SPACE}]+|[{_SPACE}&&[^ ]][{_SPACE}]*"
+# White space other than the plain space. Java's \s is ASCII only, and (?U)\s leaves out the four
+# separators \x1c-\x1f. The first class lets ASCII text fail after one range test.
+_ODD_SPACE = r"[[^ -~]&&[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\p{Z}]]"
 
-# Entities that cover nearly all text, each decoded by a plain replace. "&amp;" comes last so that
-# its result is never decoded a second time.
-COMMON_ENTITIES = ["lt", "gt", "quot", "apos", "nbsp", "copy", "middot", "amp"]
-_UNCOMMON = "&(?!(?:" + "|".join(COMMON_ENTITIES) + "|#39);)"
+# Entities that cover nearly all text; they are tried before the complete table.
+COMMON_ENTITIES = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "#39;", "copy;", "middot;"]
 
-REPLACEMENT = "�"
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside lambda bodies and ``when``."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-@lru_cache(maxsize=1)
-def _named_entity_map() -> str:
-    """SQL text of map<first character, map<name, text>> over the HTML5 names of the stdlib."""
-    def quoted(text: str) -> str:
-        return "'" + "".join(f"\\u{ord(c):04x}" if ord(c) < 0x10000 else f"\\U{ord(c):08x}" for c in text) + "'"
 
-    groups: dict[str, list[str]] = {}
+def _entity_names() -> str:
+    """HTML5 names of the stdlib as JSON: {first character: {name: text}}."""
+    groups: dict[str, dict[str, str]] = {}
     for name, text in html5.items():
-        groups.setdefault(name[0], []).append(f"{quoted(name)},{quoted(text)}")
-    inner = [f"{quoted(first)},map({','.join(pairs)})" for first, pairs in groups.items()]
-    return f"map({','.join(inner)})"
+        groups.setdefault(name[0], {})[name] = text
+    return json.dumps(groups).replace("'", "\\u0027")
 
 
-@lru_cache(maxsize=1)
-def _bare_names() -> str:
+def _names_without_semicolon() -> str:
     """Names that HTML5 also decodes without a semicolon, longest first."""
-    bare = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
-    return "^(?:" + "|".join(bare) + ")"
+    return "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 
 
-@lru_cache(maxsize=1)
-def _c1_map() -> dict[int, str]:
-    """Numbers that HTML5 reads as Windows-1252 bytes; unassigned bytes stay control characters."""
-    out = {0x0D: "\r"}
-    for n in range(0x80, 0xA0):
+def _windows_1252() -> str:
+    """Characters of the numbers 128 to 159, which HTML5 reads as Windows-1252 bytes where it can."""
+    def char(n: int) -> str:
         try:
-            out[n] = bytes([n]).decode("cp1252")
+            return bytes([n]).decode("cp1252")
         except UnicodeDecodeError:
-            out[n] = chr(n)
-    return out
-
-
-def _char(code: Column) -> Column:
-    """Code point number -> one-character string (``chr`` of SQL stops at 255)."""
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-
-
-def _numeric_entity(code: Column) -> Column:
-    c1 = F.create_map(*[F.lit(x) for pair in _c1_map().items() for x in pair])
-    noncharacter = (
-        code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F)
-        | code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE)
-    )
-    return (
-        F.when(code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), REPLACEMENT)
-        .when((code == 0x0D) | code.between(0x80, 0x9F), F.element_at(c1, code))
-        .when(noncharacter, "")
-        .otherwise(_char(code))
-    )
-
-
-def _decode_piece(piece: Column) -> Column:
-    """Decode the text that follows one ``&``; the ``&`` itself is put back when nothing matches."""
-    def rest(match: Column) -> Column:
-        return piece.substr(F.length(match) + 1, F.length(piece))
-
-    dec = F.regexp_extract(piece, r"^#[0-9]+;?", 0)
-    hexa = F.regexp_extract(piece, r"^#[xX][0-9a-fA-F]+;?", 0)
-    dec_digits = F.regexp_extract(piece, r"^#0*([0-9]*)", 1)
-    hex_digits = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]*)", 1)
-    # more digits than the largest code point has: null, which reads as "out of range"
-    dec_code = F.when(dec_digits == "", 0).when(F.length(dec_digits) <= 7, dec_digits.cast("int"))
-    hex_code = F.when(hex_digits == "", 0).when(
-        F.length(hex_digits) <= 6, F.conv(hex_digits, 16, 10).cast("int"))
-
-    names = F.expr(_named_entity_map())
-    group = F.element_at(names, F.substring(piece, 1, 1))
-    full = F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};", 0)
-    bare = F.regexp_extract(piece, _bare_names(), 0)
-    return (
-        F.when(dec != "", F.concat(_numeric_entity(dec_code), rest(dec)))
-        .when(hexa != "", F.concat(_numeric_entity(hex_code), rest(hexa)))
-        .when(F.element_at(group, full).isNotNull(), F.concat(F.element_at(group, full), rest(full)))
-        .when(bare != "", F.concat(F.element_at(group, bare), rest(bare)))
-        .otherwise(F.concat(F.lit("&"), piece))
-    )
-
-
-def decode_entities(text: Column) -> Column:
-    """HTML5 character references -> characters, in one pass, named and numeric.
-
-    Three ways of rising cost: no ``&`` at all, only common entities, anything else. A reference
-    never spans two ``&``, so the last way may cut the text there and decode each piece alone.
-    """
-    common = text
-    for name in COMMON_ENTITIES[:-1]:
-        common = F.replace(common, F.lit(f"&{name};"), F.lit(html5[f"{name};"]))
-    common = F.replace(common, F.lit("&#39;"), F.lit("'"))
-    common = F.replace(common, F.lit("&amp;"), F.lit("&"))
-    pieces = F.split(text, "&", -1)
-    tail = F.slice(pieces, F.lit(2), F.size(pieces))
-    full = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(tail, _decode_piece), ""))
-    return F.when(~F.contains(text, F.lit("&")), text).when(~text.rlike(_UNCOMMON), common).otherwise(full)
+            return chr(n)
+    return "".join(f"\\u{ord(char(n)):04x}" for n in range(128, 160))
 
 
-def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, TAG, "")
+def _common_cases() -> str:
+    return "\n".join(
+        f"WHEN startswith(p, '{name}') THEN concat('\\u{ord(unescape('&' + name)):04x}', substr(p, {len(name) + 1}))"
+        for name in COMMON_ENTITIES)
 
 
-def collapse_space(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
-
-
-def clean_text(text: Column) -> Column:
-    """Tags out, entities decoded, white space collapsed and trimmed; null gives ''.
+@lru_cache(maxsize=1)
+def _clean_text_sql() -> str:
+    """``clean_text`` as a SQL lambda: one parse instead of a thousand calls to build the tree.
 
-    The order matters: an escaped tag is text, so it survives.
+    ``transform(array(x), v -> ...)[0]`` binds ``v``, so that each step is computed once. A reference
+    never spans two ``&``: the text is cut there, and ``p`` is what follows one of them.
     """
-    return F.coalesce(collapse_space(decode_entities(strip_tags(text))), F.lit(""))
+    strip = f"CASE WHEN contains(t, '<') THEN regexp_replace(t, r'{TAG}', '') ELSE t END"
+    number = r"""
+        CASE WHEN p RLIKE r'^#[0-9]' THEN transform(array(regexp_extract(p, r'^#0*([0-9]*)', 1)),
+               d -> CASE WHEN d = '' THEN 0 WHEN length(d) <= 7 THEN int(d) END)[0]
+             ELSE transform(array(regexp_extract(p, r'^#[xX]0*([0-9a-fA-F]*)', 1)),
+               d -> CASE WHEN d = '' THEN 0 WHEN length(d) <= 6 THEN int(conv(d, 16, 10)) END)[0] END"""
+    # null: more digits than the largest code point has. Noncharacters and most controls vanish.
+    character = f"""
+        CASE WHEN c IS NULL OR c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN '\\uFFFD'
+             WHEN c = 13 THEN '\\u000d'
+             WHEN c BETWEEN 128 AND 159 THEN substr('{_windows_1252()}', c - 127, 1)
+             WHEN c BETWEEN 1 AND 8 OR c = 11 OR c BETWEEN 14 AND 31 OR c = 127
+               OR c BETWEEN 64976 AND 65007 OR c % 65536 >= 65534 THEN ''
+             ELSE decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32') END"""
+    full = r"regexp_extract(p, r'^[^\t\n\f <&#;]{1,32};', 0)"
+    bare = f"regexp_extract(p, '^(?:{_names_without_semicolon()})', 0)"
+    # from_json of a constant is folded into one map value when the query is planned
+    piece = f"""
+        CASE WHEN p = '' THEN '&'
+             {_common_cases()}
+             WHEN p RLIKE r'^#([0-9]|[xX][0-9a-fA-F])' THEN concat(
+               transform(array({number}), c -> {character})[0],
+               regexp_extract(p, r'(?s)^#(?:[0-9]+|[xX][0-9a-fA-F]+);?(.*)', 1))
+             ELSE transform(
+               array(element_at(from_json(r'{_entity_names()}', 'map<string,map<string,string>>'), left(p, 1))),
+               g -> coalesce(
+                 concat(element_at(g, {full}), substr(p, length({full}) + 1)),
+                 concat(element_at(g, {bare}), substr(p, length({bare}) + 1)),
+                 concat('&', p)))[0] END"""
+    decode = f"""
+        CASE WHEN contains(s, '&') THEN transform(array(split(s, '&', -1)), pieces ->
+               concat(pieces[0], array_join(transform(slice(pieces, 2, size(pieces)), p -> {piece}), '')))[0]
+             ELSE s END"""
+    # most spaces stand alone, and no regular expression has to match those
+    collapse = f"""
+        transform(array(regexp_replace(d, r'{_ODD_SPACE}', ' ')),
+          w -> trim(CASE WHEN contains(w, '  ') THEN regexp_replace(w, ' {{2,}}', ' ') ELSE w END))[0]"""
+    return f"""t -> coalesce(transform(array({strip}), s -> transform(array({decode}), d -> {collapse})[0])[0], '')"""
 
 
 def clean_texts(texts: Column) -> Column:
-    """``clean_text`` of each element. One pass per step keeps each step's input a plain variable,
-    since lambda bodies have no common-subexpression elimination."""
-    stripped = F.transform(texts, strip_tags)
-    decoded = F.transform(stripped, decode_entities)
-    return F.transform(decoded, lambda t: F.coalesce(collapse_space(t), F.lit("")))
+    """``clean_text`` of each element of an array."""
+    return F.call_function("transform", texts, F.expr(_clean_text_sql()))
+
+
+def clean_text(text: Column) -> Column:
+    """HTML tags out, HTML5 references decoded (named and numeric, in one pass), white space
+    collapsed and trimmed; null gives ''. The order matters: an escaped tag is text, so it survives.
+    """
+    return F.get(clean_texts(F.array(text)), 0)
 
 
 def truncate(text: Column, n: int) -> Column:
@@ -172,5 +143,10 @@ def join_nonblank(sep: str, *parts: Column) -> Column:
 
 def contains_resolution_keywords(body: Column, keywords: list[str] | None = None) -> Column:
     """Case-insensitive substring test ("pr" is in "problem"), on the raw body."""
-    pattern = "|".join(re.escape(k) for k in (keywords or RESOLUTION_KEYWORDS))
-    return F.coalesce(F.lower(body).rlike(pattern), F.lit(False))
+    def any_of(lowered: Column) -> Column:
+        found = F.lit(False)
+        for keyword in keywords or RESOLUTION_KEYWORDS:
+            found = found | F.contains(lowered, F.lit(keyword))
+        return found
+
+    return F.coalesce(let(F.lower(body), any_of), F.lit(False))

@@ -19,7 +19,7 @@ from ticketloom.operators.comments import resolution_rows
 from ticketloom.operators.validate import split_valid
 from ticketloom.plans.corpus import build_corpus
 from ticketloom.plans.ingest import ingest_documents, read_quarantine
-from ticketloom.session import scratch_path
+from ticketloom.session import scratch_path, spread
 from ticketloom.sinks.tables import read_store, stored_json, write_raw
 from ticketloom.sources import bench_tables as bench
 from ticketloom.sources.issues import parse_issue, read_raw, with_path_project
@@ -319,7 +319,8 @@ def dedupe_ttl(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("clean_text")
 def clean_text_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return bench.table(spark, folder, "pages").select("page_id", clean_text(F.col("html")).alias("clean"))
+    pages = spread(bench.table(spark, folder, "pages"), "page_id")
+    return pages.select("page_id", clean_text(F.col("html")).alias("clean"))
 
 
 @query("parse_timestamps")

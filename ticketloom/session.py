@@ -50,3 +50,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small scan to all cores.
+
+    A table below one full split per core (128 MB each) may be a single file read by a single core,
+    and cleaning text is heavier than moving it. Larger tables have splits enough and stay as they
+    are: there this is no shuffle at all.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * 128 * 1024 * 1024 else df

@@ -9,14 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.functions.times import iso_format
 from ticketloom.operators.comments import comment_counts, first_bodies, resolution_bodies
 from ticketloom.operators.tasks import with_clean_description
+from ticketloom.session import spread
+
+
+_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A benchmark table; its schema is read from the file once per process."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _hours(n: Column) -> Column:
@@ -25,7 +34,8 @@ def _hours(n: Column) -> Column:
 
 def issue_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Typed issues without their comments, keyed by ``doc_id`` as well."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", F.upper("source").alias("project"))
+    docs = spread(table(spark, folder, "documents"), "doc_id").select(
+        "doc_id", "text", F.upper("source").alias("project"))
     pages = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), "html")
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").alias("created"), "user_id", "event_type")
