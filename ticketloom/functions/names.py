@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ticketloom.schema import UNKNOWN_PROJECT
-
 
 def project_from_key(key: Column) -> Column:
     """Text before the first ``-``; null without one."""
@@ -25,21 +23,17 @@ def path_text(path: Column) -> Column:
     return F.coalesce(F.try_url_decode(escaped), path)
 
 
-def project_from_path(path: Column, root: str, document_project: Column | None = None) -> Column:
-    """Project a file belongs to, before its content counts.
+def project_from_path(path: Column, root: str) -> Column:
+    """Project named by the path of a file; null when the path tells nothing.
 
-    The parent directory (``P`` or ``project=P``) names it. A file directly in the root (old layout) is named by its stem up
-    to the first ``-``, else by its own content, else it is ``unknown``.
+    The parent directory (``P`` or ``project=P``) names it. A file directly in the root (old layout)
+    is named by its stem up to the first ``-``.
     """
     parts = F.split(path, "/", -1)
     parent = F.regexp_replace(F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit("")), "^project=", "")
     stem = F.regexp_replace(F.element_at(parts, -1), r"(?<!^)\.[^.]*$", "")
     root_name = root.rstrip("/").rsplit("/", 1)[-1]
-    by_content = F.coalesce(document_project, F.lit(UNKNOWN_PROJECT)) if document_project is not None \
-        else F.lit(UNKNOWN_PROJECT)
-    return F.when(
-        parent.isin("", "raw", root_name), F.coalesce(project_from_key(stem), by_content)
-    ).otherwise(parent)
+    return F.when(parent.isin("", "raw", root_name), project_from_key(stem)).otherwise(parent)
 
 
 def project_from_object_key(path: Column) -> Column:

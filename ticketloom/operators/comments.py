@@ -25,16 +25,15 @@ def resolution_comments(comments: Column, k: int | None = RESPONSE_COMMENTS,
     return newest if k is None else F.slice(newest, 1, k)
 
 
-def cleaned_comments(df: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """Replace ``comments`` by ``idx, author, created, body (clean), is_resolution`` elements.
+def cleaned_comments(comments: Column, keywords: list[str] | None = None) -> Column:
+    """Comment array -> ``idx, author, created, body (clean), is_resolution`` elements.
 
     Every body is cleaned once; the keyword test reads the raw body.
     """
-    bodies = clean_texts(F.transform("comments", lambda c: c["body"]))
-    zipped = F.zip_with(F.col("comments"), bodies, lambda c, body: F.struct(
+    bodies = clean_texts(F.transform(comments, lambda c: c["body"]))
+    return F.zip_with(comments, bodies, lambda c, body: F.struct(
         c["idx"].alias("idx"), c["author"].alias("author"), c["created"].alias("created"),
         body.alias("body"), contains_resolution_keywords(c["body"], keywords).alias("is_resolution")))
-    return df.withColumn("comments", zipped)
 
 
 def clean_bodies(comments: Column) -> Column:

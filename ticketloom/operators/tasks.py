@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.functions.fence import computed_once
 from ticketloom.functions.text import (
     clean_text, clean_texts, labelled, nonblank, strip_ends, truncate,
 )
@@ -31,9 +32,20 @@ def with_clean_description(df: DataFrame) -> DataFrame:
         (F.coalesce("description", F.lit("")) != "").alias("has_description"))
 
 
+def clean_issues(issues: DataFrame, keywords: list[str] | None = None) -> DataFrame:
+    """Typed issues with their texts cleaned, each exactly once: ``description`` becomes
+    ``desc_clean`` and ``has_description``, ``comments`` holds clean bodies."""
+    kept = [c for c in issues.columns if c not in ("description", "comments")]
+    cleaned = computed_once(
+        issues.withColumnRenamed("comments", "_comments"),
+        desc_clean=clean_text(F.col("description")), comments=cleaned_comments(F.col("_comments"), keywords))
+    return cleaned.select(
+        *kept, "desc_clean", (F.coalesce("description", F.lit("")) != "").alias("has_description"), "comments")
+
+
 def prepare(issues: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """Typed issues with a comment array -> prepared issues: each text is cleaned exactly once."""
-    return with_comment_views(cleaned_comments(with_clean_description(issues), keywords))
+    """Typed issues with a comment array -> prepared issues."""
+    return with_comment_views(clean_issues(issues, keywords))
 
 
 def with_comment_views(cleaned: DataFrame) -> DataFrame:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.operators.comments import cleaned_comments
 from ticketloom.operators.dedupe import dedupe_first
 from ticketloom.operators.select import has_content
-from ticketloom.operators.tasks import all_tasks, with_clean_description, with_comment_views
+from ticketloom.operators.tasks import all_tasks, clean_issues, with_comment_views
 from ticketloom.operators.validate import parse_errors
 from ticketloom.sinks.tables import read_store, write_corpus
 from ticketloom.sources.issues import parse_issue, read_raw
@@ -16,8 +15,8 @@ from ticketloom.sources.issues import parse_issue, read_raw
 
 def corpus_from_issues(issues: DataFrame, dedupe: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed issues -> corpus rows. Cleaning runs before the duplicates are dropped: the shuffle then
-    carries clean text only, and the content filter above it cannot pull the cleaning in again."""
-    cleaned = cleaned_comments(with_clean_description(issues))
+    carries clean text only."""
+    cleaned = clean_issues(issues)
     if dedupe:
         cleaned = dedupe_first(cleaned)
     return all_tasks(has_content(with_comment_views(cleaned)), keep)

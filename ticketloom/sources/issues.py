@@ -12,7 +12,7 @@ from ticketloom.functions.names import (
 )
 from ticketloom.functions.times import parse_ts
 from ticketloom.operators.validate import bad_time, is_kind, kind_of, object_or_missing, violations
-from ticketloom.schema import COMMENT_TYPE, UNKNOWN_AUTHOR
+from ticketloom.schema import COMMENT_TYPE, UNKNOWN_AUTHOR, UNKNOWN_PROJECT
 
 DOCUMENT_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
@@ -48,12 +48,19 @@ def read_raw(spark: SparkSession, path: str, projects: list[str] | None = None,
 
 def with_path_project(docs: DataFrame, root: str, store: str = "tree",
                       projects: list[str] | None = None) -> DataFrame:
-    """Add ``path_project``; keep the listed projects (none listed keeps all)."""
+    """Add ``path_project``; keep the listed projects (none listed keeps all).
+
+    A file whose path tells nothing is named by its content. The first filter needs the path alone,
+    so the scan leaves out files of other projects before it opens them.
+    """
     where = path_text(F.col("source_path"))
+    by_path = project_from_object_key(where) if store == "object" else project_from_path(where, root)
     if store == "object":
-        named = project_from_object_key(where)
+        named = by_path
     else:
-        named = project_from_path(where, root, _project_in_document(F.col("value")))
+        named = F.coalesce(by_path, _project_in_document(F.col("value")), F.lit(UNKNOWN_PROJECT))
+    if projects:
+        docs = docs.filter(by_path.isNull() | by_path.isin(projects))
     docs = docs.withColumn("path_project", named)
     return docs.filter(F.col("path_project").isin(projects)) if projects else docs
 
