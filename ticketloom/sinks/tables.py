@@ -106,12 +106,12 @@ def read_store(spark: SparkSession, path: str, form: str = "parquet", latest: bo
     if not path_exists(spark, path):
         issues = spark.createDataFrame([], STORE_SCHEMA)
     elif form == "json":
-        lines = T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.LongType()),
+        lines = T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.StringType()),
                               T.StructField("project", T.StringType())])
         docs = spark.read.schema(lines).text(path)
         docs = docs.filter(F.col("project").isin(projects)) if projects else docs
         parsed = parse_issue(docs.select("value", F.col("project").alias("path_project"),
-                                         F.col("batch").cast("string").alias("source_path")), shape="stored")
+                                         F.col("batch").alias("source_path")), shape="stored")
         issues = parsed.select(*[f.name for f in ISSUE_COLUMNS], F.col("source_path").cast("bigint").alias("batch"))
     else:
         issues = spark.read.schema(STORE_SCHEMA).parquet(path)

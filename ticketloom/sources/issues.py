@@ -38,11 +38,9 @@ def read_raw(spark: SparkSession, path: str, projects: list[str] | None = None,
     if not path_exists(spark, path):
         docs = spark.createDataFrame([], DOCUMENT_SCHEMA)
     else:
-        reader = (
-            spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-            .option("wholetext", str(layout == "files").lower())
-        )
-        docs = reader.text(path).select("value", F.col("_metadata.file_path").alias("source_path"))
+        docs = spark.read.text(
+            path, wholetext=layout == "files", recursiveFileLookup=True, pathGlobFilter=glob,
+        ).select("value", F.col("_metadata.file_path").alias("source_path"))
     return with_path_project(docs, path, store, projects)
 
 

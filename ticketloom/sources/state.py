@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.schema import PROCESSED_SCHEMA, PROGRESS_SCHEMA
+from ticketloom.sources.issues import path_exists
 
 
 def _load(spark: SparkSession, path: str, schema: T.StructType, before: int | None) -> DataFrame:
     """Rows of the batches before ``before``. No folder, or nothing readable in it: no rows."""
-    empty = spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
     whole = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    try:
-        # damaged files are skipped, as the state then simply starts anew for their keys
-        rows = spark.read.option("ignoreCorruptFiles", "true").schema(whole).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty
+    # damaged files are skipped: the state then simply starts anew for their keys
+    rows = spark.read.option("ignoreCorruptFiles", "true").schema(whole).parquet(path)
     if before is not None:
         rows = rows.filter(F.col("batch") < before)
     return rows.select(*schema.fieldNames())
