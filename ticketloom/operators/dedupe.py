@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.session import written
+from ticketloom.session import fits_broadcast, written
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -26,8 +26,16 @@ def _one_per(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
 
 
 def drop_processed(df: DataFrame, processed: DataFrame) -> DataFrame:
-    """Rows whose key is not in the ledger."""
-    return df.join(processed.select("key"), "key", "left_anti")
+    """Rows whose key is not in the ledger.
+
+    The ledger outgrows every batch. Once it is too large to broadcast, it is first reduced to the
+    keys of the batch: with a small batch that is a filter over its scan, so the ledger is never
+    shuffled, and the anti-join meets only keys that do repeat.
+    """
+    known = processed.select("key")
+    if not fits_broadcast(known):
+        known = known.join(df.select("key"), "key", "left_semi")
+    return df.join(known, "key", "left_anti")
 
 
 def dedupe_first(df: DataFrame, order: tuple[str, ...] = ("updated", "source_path")) -> DataFrame:
@@ -47,7 +55,7 @@ def upsert_latest(old: DataFrame, new: DataFrame) -> DataFrame:
     Only keys of the batch compete. All other rows pass an anti-join, which needs no shuffle of the
     table while the batch is small enough for Spark to broadcast its keys.
     """
-    batch = dedupe_latest(new)
+    batch = written(dedupe_latest(new), "upsert")  # used three times, and of known size
     keys = batch.select("key")
     contest = old.join(keys, "key", "left_semi").withColumn("_new", F.lit(0)).unionByName(
         batch.withColumn("_new", F.lit(1)))

@@ -154,13 +154,13 @@ def stored_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("filter_projects")
 def filter_projects(spark: SparkSession, folder: str) -> DataFrame:
-    return select.filter_projects(bench.issue_rows(spark, folder), ["SRC1", "SRC7", "SRC13"]).select(
+    return select.filter_projects(bench.issue_rows(spark, folder, ("labels",)), ["SRC1", "SRC7", "SRC13"]).select(
         "key", "project", "status", "priority")
 
 
 @query("has_content")
 def has_content(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = bench.prepared_issues(spark, folder, first=False, resolution=False)
+    prepared = bench.prepared_issues(spark, folder, counts=True, parts=("pages",))
     return select.has_content(prepared).select("key", "n_comments", F.length("desc_clean").alias("clean_chars"))
 
 
@@ -203,7 +203,7 @@ def project_from_url_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("issue_metadata")
 def issue_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.issue_rows(spark, folder)
+    issues = bench.issue_rows(spark, folder, ("events", "labels"))
     return issues.select(select.metadata(issues).alias("m")).select("m.*")
 
 
@@ -236,13 +236,13 @@ def attach_progress(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("corpus_count")
 def corpus_count(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = bench.prepared_issues(spark, folder, first=False, resolution=False)
+    prepared = bench.prepared_issues(spark, folder, counts=True, parts=("pages",))
     return metrics.corpus_count(select.has_content(prepared))
 
 
 @query("issues_by_project")
 def issues_by_project(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.issues_by_project(bench.issue_rows(spark, folder))
+    return metrics.issues_by_project(bench.issue_rows(spark, folder, ()))
 
 
 @query("requests_by_status")
@@ -354,44 +354,44 @@ def iso_timestamps(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("build_instruction")
 def build_instruction(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, first=False, resolution=False, counts=False)
+    issues = bench.prepared_issues(spark, folder)
     return issues.select("key", tasks.instruction().alias("instruction"))
 
 
 @query("build_response")
 def build_response(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, first=False, counts=False)
+    issues = bench.prepared_issues(spark, folder, resolution=True, parts=("pages", "labels"))
     return issues.select("key", tasks.response().alias("response"))
 
 
 @query("alpaca_format")
 def alpaca_format(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, first=False, counts=False)
+    issues = bench.prepared_issues(spark, folder, resolution=True)
     override = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("Explain "), F.col("key")))
     return tasks.alpaca(issues, instruction_text=override, keep=("key",))
 
 
 @query("task_summarization")
 def task_summarization(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, resolution=False, counts=False)
+    issues = bench.prepared_issues(spark, folder, first=True, parts=("pages", "labels"))
     return issues.select("key", tasks.summarization().alias("t")).select("key", "t.*")
 
 
 @query("task_classification")
 def task_classification(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, first=False, resolution=False, counts=False)
+    issues = bench.prepared_issues(spark, folder)
     return issues.select("key", tasks.classification().alias("t")).select("key", "t.*")
 
 
 @query("task_qa")
 def task_qa(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, first=False, counts=False)
+    issues = bench.prepared_issues(spark, folder, resolution=True, parts=("pages", "labels"))
     return issues.select("key", tasks.qa().alias("t")).select("key", "t.*")
 
 
 @query("corpus")
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
-    issues = select.has_content(bench.prepared_issues(spark, folder))
+    issues = select.has_content(bench.prepared_issues(spark, folder, first=True, resolution=True, counts=True))
     rows = tasks.all_tasks(issues, keep=("n_comments",))
     return rows.select(
         "metadata.*", "description", "n_comments",

@@ -52,6 +52,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df``; of a file table, the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Would Spark broadcast ``df``? Asks for the estimate and the session's own limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return planned_bytes(df) <= limit
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a small scan to all cores.
 
@@ -60,5 +71,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     are: there this is no shuffle at all.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * 128 * 1024 * 1024 else df
+    return df.repartition(cores, key) if planned_bytes(df) < cores * 128 * 1024 * 1024 else df

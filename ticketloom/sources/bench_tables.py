@@ -32,44 +32,56 @@ def _hours(n: Column) -> Column:
     return F.make_dt_interval(hours=n.cast("int"))
 
 
-def issue_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed issues without their comments, keyed by ``doc_id`` as well."""
-    docs = spread(table(spark, folder, "documents"), "doc_id").select(
+def issue_rows(spark: SparkSession, folder: str, parts: tuple[str, ...] = ("pages", "events", "labels")) -> DataFrame:
+    """Typed issues without their comments, keyed by ``doc_id`` as well.
+
+    ``parts`` names the tables to join; columns that need another one are left out.
+    """
+    issues = spread(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", "text", F.upper("source").alias("project"))
-    pages = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), "html")
-    events = table(spark, folder, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").alias("created"), "user_id", "event_type")
-    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
     n = F.col("doc_id")
-    resolution = (
-        F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "Fixed")
-        .when((F.col("quality") == 1) & (F.col("toxic") == 1), "Won't Fix")
-        .when(F.col("quality").isNull() & (n % 10 == 7), "Unresolved")
-        .when(F.col("quality").isNull() & (n % 10 == 9), ""))
-    status = (
-        F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "Resolved")
-        .when(F.col("quality") == 1, "Closed").when(F.col("quality") == 0, "Open").otherwise(""))
-    updated = F.col("created") + _hours(n % 72)
-    return docs.join(pages, "doc_id", "left").join(events, "doc_id", "left").join(labels, "doc_id", "left").select(
-        "doc_id",
-        F.concat("project", F.lit("-"), n.cast("string")).alias("key"),
-        "project",
-        F.when(n % 23 == 5, "").otherwise(F.substring("text", 1, 60)).alias("summary"),
-        F.when(n % 17 != 0, F.coalesce("html", "text")).alias("description"),
-        "created",
-        updated.alias("updated"),
-        F.when(resolution.isNotNull(), updated).alias("resolutiondate"),
-        status.alias("status"),
-        F.when(n % 5 == 0, "Blocker").when(n % 5 == 1, "Major").when(n % 5 == 2, "Minor")
-        .when(n % 5 == 3, "Trivial").otherwise("").alias("priority"),
-        F.when(F.col("event_type") == "error", "Bug").when(F.col("event_type") == "view", "Task")
-        .otherwise(F.coalesce("event_type", F.lit(""))).alias("issue_type"),
-        F.coalesce(resolution, F.lit("")).alias("resolution"),
-        resolution.isNotNull().alias("has_resolution"),
-        (n % 3 != 0).alias("has_assignee"),
-        F.coalesce(F.concat(F.lit("User "), F.col("user_id").cast("string")), F.lit("")).alias("reporter"),
-        F.when((n % 3 == 0) | (n % 7 == 6), "").otherwise(F.concat(F.lit("Dev "), (n % 11).cast("string")))
-        .alias("assignee"))
+    columns = {
+        "key": F.concat("project", F.lit("-"), n.cast("string")),
+        "project": F.col("project"),
+        "summary": F.when(n % 23 == 5, "").otherwise(F.substring("text", 1, 60)),
+        "priority": F.when(n % 5 == 0, "Blocker").when(n % 5 == 1, "Major").when(n % 5 == 2, "Minor")
+        .when(n % 5 == 3, "Trivial").otherwise(""),
+        "has_assignee": n % 3 != 0,
+        "assignee": F.when((n % 3 == 0) | (n % 7 == 6), "")
+        .otherwise(F.concat(F.lit("Dev "), (n % 11).cast("string"))),
+    }
+    if "pages" in parts:
+        pages = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), "html")
+        issues = issues.join(pages, "doc_id", "left")
+        columns["description"] = F.when(n % 17 != 0, F.coalesce("html", "text"))
+    if "events" in parts:
+        events = table(spark, folder, "events").select(
+            F.col("event_id").alias("doc_id"), F.col("ts").alias("created"), "user_id", "event_type")
+        issues = issues.join(events, "doc_id", "left")
+        updated = F.col("created") + _hours(n % 72)
+        columns |= {
+            "created": F.col("created"),
+            "updated": updated,
+            "issue_type": F.when(F.col("event_type") == "error", "Bug").when(F.col("event_type") == "view", "Task")
+            .otherwise(F.coalesce("event_type", F.lit(""))),
+            "reporter": F.coalesce(F.concat(F.lit("User "), F.col("user_id").cast("string")), F.lit("")),
+        }
+    if "labels" in parts:
+        labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+        issues = issues.join(labels, "doc_id", "left")
+        good, none = F.col("quality") == 1, F.col("quality").isNull()
+        resolution = (
+            F.when(good & (F.col("toxic") == 0), "Fixed").when(good & (F.col("toxic") == 1), "Won't Fix")
+            .when(none & (n % 10 == 7), "Unresolved").when(none & (n % 10 == 9), ""))
+        columns |= {
+            "status": F.when(good & (F.col("toxic") == 0), "Resolved").when(good, "Closed")
+            .when(F.col("quality") == 0, "Open").otherwise(""),
+            "resolution": F.coalesce(resolution, F.lit("")),
+            "has_resolution": resolution.isNotNull(),
+        }
+        if "events" in parts:
+            columns["resolutiondate"] = F.when(resolution.isNotNull(), updated)
+    return issues.select("doc_id", *[value.alias(name) for name, value in columns.items()])
 
 
 def comment_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,14 +104,15 @@ def dated_comment_rows(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.concat(F.upper("source"), F.lit("-"), F.col("doc_id").cast("string")).alias("key"))
     events = table(spark, folder, "events").select(F.col("event_id").alias("doc_id"), "ts")
     at = F.col("ts") + F.expr("created - timestamp_ntz'1970-01-01 00:00:00'")
-    return comment_rows(spark, folder).join(docs, "doc_id").join(events, "doc_id").select(
+    # one join with the comments, so that adaptive execution may split a hot conversation
+    return comment_rows(spark, folder).join(docs.join(events, "doc_id"), "doc_id").select(
         "key", "idx", "id", "author", "body", at.alias("created"))
 
 
-def prepared_issues(spark: SparkSession, folder: str, first: bool = True, resolution: bool = True,
-                    counts: bool = True) -> DataFrame:
+def prepared_issues(spark: SparkSession, folder: str, first: bool = False, resolution: bool = False,
+                    counts: bool = False, parts: tuple[str, ...] = ("pages", "events", "labels")) -> DataFrame:
     """Prepared issue table (see ``operators.tasks``) with the comment columns asked for."""
-    issues = with_clean_description(issue_rows(spark, folder))
+    issues = with_clean_description(issue_rows(spark, folder, parts))
     comments = comment_rows(spark, folder)
     if first:
         issues = issues.join(first_bodies(comments, "doc_id"), "doc_id", "left")
