@@ -51,6 +51,31 @@ def test_ledger(spark):
     assert [r.key for r in dedupe.drop_processed(issues, ledger).collect()] == ["z"]
 
 
+def test_a_large_ledger_is_first_reduced_to_the_batch(spark):
+    ledger = spark.createDataFrame([("a", START), ("b", START)], "key string, processed_at timestamp_ntz")
+    issues = spark.createDataFrame([("a",), ("a",), ("z",)], "key string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = dedupe.drop_processed(issues, ledger)
+        assert [r.key for r in fresh.collect()] == ["z"]
+        assert "LeftSemi" in fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_marks_hold_for_the_ttl(spark):
+    marks = spark.createDataFrame([("a", START), ("a", START + timedelta(days=1))], "key string, processed_at timestamp_ntz")
+    rows = [("a", START + timedelta(days=n)) for n in (0, 3, 4)] + [("b", START)]
+    df = spark.createDataFrame(rows, "key string, updated timestamp_ntz")
+    got = {(r.key, (r.updated - START).days) for r in dedupe.drop_marked(df, marks, timedelta(days=3)).collect()}
+    assert got == {("a", 4), ("b", 0)}
+
+
+def test_feed_order(spark):
+    df = spark.createDataFrame([("b", START), ("a", START), ("c", START - timedelta(1))], "key string, updated timestamp_ntz")
+    assert [r.key for r in select.order_by_updated(df).collect()] == ["c", "a", "b"]
+
+
 def chain(times, ttl):
     kept = []
     for t in sorted(set(times)):

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -10,7 +10,7 @@ from ticketloom.plans.ingest import ingest, read_quarantine
 from ticketloom.sinks.tables import read_store, save_processed, save_progress, stored_json
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import load_processed, load_progress
-from ticketloom.streaming.jobs import stream_corpus
+from ticketloom.streaming.jobs import run_available, append_by_batch, stream_corpus, stream_dedupe, stream_dedupe_ledger
 
 
 def put(folder: Path, name: str, doc) -> None:
@@ -137,3 +137,20 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert sorted(r["metadata"]["issue_key"] for r in rows) == ["APP-1", "WEB-1"]
     assert {r["metadata"]["title"] for r in rows} == {"Broken link"}
     assert read_quarantine(spark, f"{at}/state").count() == 1
+
+
+def test_streamed_duplicates_over_two_runs(spark, tmp_path):
+    schema = "key string, updated timestamp_ntz"
+    day = lambda n: datetime(2024, 1, n)
+    source, at = str(tmp_path / "in"), str(tmp_path / "at")
+    deliveries = [[("a", day(1)), ("a", day(3)), ("b", day(2))], [("a", day(5)), ("a", day(9)), ("b", day(1)), ("b", day(4))]]
+    kept = set()
+    for rows in deliveries:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        feed = spark.readStream.schema(schema).parquet(source)
+        stream_dedupe_ledger(feed, f"{at}/cp", f"{at}/ledger", timedelta(days=4))
+        run_available(stream_dedupe(feed, "4 days"), f"{at}/cp2", append_by_batch(f"{at}/watermark"))
+    kept = {(r.key, r.updated.day) for r in spark.read.parquet(f"{at}/ledger/kept").collect()}
+    assert kept == {("a", 1), ("a", 5), ("a", 9), ("b", 2)}
+    first = {r.key for r in spark.read.parquet(f"{at}/watermark").collect()}
+    assert first == {"a", "b"}

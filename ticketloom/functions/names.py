@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def name_of(doc: Column, path: str, attribute: str = "name") -> Column:
+    """``name`` (or another text attribute) of the object at ``path`` of a VARIANT; '' without one."""
+    return F.coalesce(F.try_variant_get(doc, f"{path}.{attribute}", "string"), F.lit(""))
+
+
 def project_from_key(key: Column) -> Column:
     """Text before the first ``-``; null without one."""
     return F.when(key.contains("-"), F.substring_index(key, "-", 1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,20 @@ def utc_wall_clock(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
 
 
+def wall_clock(at: datetime) -> Column:
+    """Literal of a Python time; one with a zone is moved to UTC. A plain ``lit`` would pass through
+    the zones of the driver process and of the session."""
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def epoch_micros(at: Column) -> Column:
+    """Microseconds of a UTC wall-clock time since 1970, without the session time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, at)
+
+
 def _with_zone(text: Column) -> Column:
     """Append ``Z`` to a plain time without an offset: such times count as UTC."""
     return F.regexp_replace(text, r"^(.{10}[^Z+-]*)$", "$1Z")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketloom.functions.times import epoch_micros
 from ticketloom.session import fits_broadcast, written
 
 
@@ -81,7 +82,7 @@ def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "k
     map-side-combined minimum; rounds are bounded by time span / ttl.
     """
     micros = int(ttl.total_seconds() * 1_000_000)
-    clock = _micros(F.col(at))
+    clock = epoch_micros(F.col(at))
     times = written(df.select(F.col(key).alias("_k"), clock.alias("_t")).distinct(), "ttl-times")
     hot = written(times.groupBy("_k").count().filter(F.col("count") > hot_rows).select("_k"), "ttl-hot")
     if hot.isEmpty():
@@ -89,15 +90,17 @@ def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "k
     else:
         kept = _walk(times.join(hot, "_k", "left_anti"), micros).unionByName(
             _advance(times.join(hot, "_k", "left_semi"), micros))
-    marked = df.withColumn("_k", F.col(key)).withColumn("_t", clock).join(kept, ["_k", "_t"], "left_semi")
+    # one row per key and time first: that cut happens before the shuffle, whatever a time holds
     order = [F.col(c) for c in ("source_path",) if c in df.columns] + [_content_hash(df)]
-    return _one_per(marked, ["_k", "_t"], order).drop("_k", "_t")
+    single = _one_per(df.withColumn("_k", F.col(key)).withColumn("_t", clock), ["_k", "_t"], order)
+    return single.join(kept, ["_k", "_t"], "left_semi").drop("_k", "_t")
 
 
-def _micros(at: Column) -> Column:
-    """Microseconds of a UTC wall-clock time, without the session time zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", epoch, at)
+def drop_marked(df: DataFrame, marks: DataFrame, ttl: timedelta = timedelta(days=30)) -> DataFrame:
+    """Rows that are not within ``ttl`` after (or before) their key's last mark in the ledger."""
+    last = marks.groupBy("key").agg(F.max("processed_at").alias("_mark"))
+    due = F.col("_mark") + F.lit(ttl)
+    return df.join(last, "key", "left").filter(F.col("_mark").isNull() | (F.col("updated") >= due)).drop("_mark")
 
 
 def _walk(times: DataFrame, micros: int) -> DataFrame:

@@ -25,7 +25,7 @@ def missing_pages(pages: DataFrame, max_issues: int | None = None, page: int = S
     expected = runs.select("project", F.explode(F.sequence(
         F.col("run") * _RUN, F.least("last", F.col("run") * _RUN + F.lit(_RUN - 1)))).alias("n"))
     offsets = expected.select("project", (F.col("n") * page).alias("start_at"))
-    return offsets.join(good.select("project", "start_at"), ["project", "start_at"], "left_anti")
+    return offsets.join(good.select("project", "start_at").distinct(), ["project", "start_at"], "left_anti")
 
 
 def retry_backlog(fetches: DataFrame) -> DataFrame:

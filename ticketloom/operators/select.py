@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import clean_text
-from ticketloom.functions.times import iso_format
+from ticketloom.functions.times import iso_format, utc_wall_clock, wall_clock
 from ticketloom.schema import FALLBACK_DAYS, SEARCH_PAGE_SIZE
 from ticketloom.session import written
 
@@ -39,19 +39,24 @@ def updated_since(df: DataFrame, since: Column | datetime | None) -> DataFrame:
     if since is None:
         return df
     if not isinstance(since, Column):
-        return df.filter(F.col("updated") >= start_of_day(F.lit(since)))
+        return df.filter(F.col("updated") >= start_of_day(wall_clock(since)))
     return df.filter(since.isNull() | (F.col("updated") >= start_of_day(since)))
 
 
+def order_by_updated(df: DataFrame) -> DataFrame:
+    """Order of the incremental feed; the key settles ties."""
+    return df.orderBy("updated", "key")
+
+
 def resolve_since(projects: DataFrame, progress: DataFrame, start_date: Column | str | None = None,
                   now: Column | datetime | None = None) -> DataFrame:
     """``project, since``: the start date wins over the saved progress; a start date that is no
     ``YYYY-MM-DD`` means 30 days ago; neither means no bound (null)."""
     start = start_date if isinstance(start_date, Column) else F.lit(start_date).cast("string")
     if now is None:
-        today = F.current_timestamp().cast("timestamp_ntz")
+        today = utc_wall_clock(F.current_timestamp())
     else:
-        today = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+        today = now if isinstance(now, Column) else wall_clock(now)
     given = F.when(
         start.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"),
         F.try_to_timestamp(start, F.lit("yyyy-M-d")).cast("date").cast("timestamp_ntz"))

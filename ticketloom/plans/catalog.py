@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.names import project_from_key, project_from_url
 from ticketloom.functions.text import clean_text, contains_resolution_keywords
-from ticketloom.functions.times import iso_format, parse_ts, stored_format
+from ticketloom.functions.times import iso_format, parse_ts, stored_format, wall_clock
 from ticketloom.operators import dedupe, fetch, metrics, select, tasks
 from ticketloom.operators.comments import resolution_rows
 from ticketloom.operators.validate import split_valid
@@ -302,7 +302,7 @@ def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
 @query("append_processed")
 def append_processed(spark: SparkSession, folder: str) -> DataFrame:
     marks = bench.issue_feed(spark, folder).select("key", F.col("updated").alias("processed_at"))
-    middle = F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
+    middle = wall_clock(datetime(2024, 1, 16))
     ledger = dedupe.append_processed(
         marks.filter(F.col("processed_at") < middle), marks.filter(F.col("processed_at") >= middle), cap=40)
     return ledger.select("key", iso_format(F.col("processed_at")).alias("processed_at"))
@@ -360,7 +360,7 @@ def build_instruction(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("build_response")
 def build_response(spark: SparkSession, folder: str) -> DataFrame:
-    issues = bench.prepared_issues(spark, folder, resolution=True, parts=("pages", "labels"))
+    issues = bench.prepared_issues(spark, folder, resolution=True, parts=("labels",))
     return issues.select("key", tasks.response().alias("response"))
 
 
@@ -436,7 +436,7 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return events.select(
         F.concat(F.lit("USER-"), F.col("user_id").cast("string")).alias("key"),
         F.concat(F.lit("SRC"), (F.col("user_id") % 20).cast("string")).alias("project"),
-        F.col("ts").cast("timestamp").alias("updated"))
+        F.col("ts").alias("updated"))
 
 
 @query("stream_dedupe")
@@ -447,10 +447,18 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("key", "project")
 
 
+@query("stream_dedupe_ledger")
+def stream_dedupe_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    at = scratch_path(spark, "stream-ledger")
+    feed = _event_stream(spark, folder)
+    streams.stream_dedupe_ledger(feed, scratch_path(spark, "checkpoint"), at, timedelta(days=7))
+    return spark.read.parquet(f"{at}/kept").select("key", iso_format(F.col("updated")).alias("updated"))
+
+
 @query("stream_progress")
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     state = scratch_path(spark, "stream-progress")
-    feed = _event_stream(spark, folder).withColumn("updated", F.col("updated").cast("timestamp_ntz"))
+    feed = _event_stream(spark, folder)
     streams.stream_progress(feed, scratch_path(spark, "checkpoint"), state)
     return load_progress(spark, state).select("project", iso_format(F.col("last_update")).alias("last_update"))
 

@@ -7,10 +7,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.functions.times import wall_clock
 from ticketloom.operators.dedupe import dedupe_first, dedupe_latest, drop_processed
 from ticketloom.operators.metrics import last_update_by_project
 from ticketloom.operators.validate import split_valid
-from ticketloom.session import written
+from ticketloom.session import discard, scratch_path
 from ticketloom.sinks.tables import read_store, save_processed, save_progress, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import load_processed
@@ -30,10 +31,13 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mo
     parsed = parse_issue(docs, shape)
     if strict:
         valid, _ = split_valid(parsed, strict=True)
-        staged = written(valid, "parsed")
+        parsed = valid
     else:
         rejected_text = F.when(F.size("violations") > 0, F.col("value")).alias("value")
-        staged = written(parsed.select(*[c for c in parsed.columns if c != "value"], rejected_text), "parsed")
+        parsed = parsed.select(*[c for c in parsed.columns if c != "value"], rejected_text)
+    scratch = scratch_path(spark, "parsed")
+    parsed.write.parquet(scratch)
+    staged = spark.read.schema(parsed.schema).parquet(scratch)
     valid, invalid = split_valid(staged)
     kept = [c for c in ("key", "project", "violations", "source_path", "value") if c in invalid.columns]
     invalid.select(*kept).write.mode("overwrite").parquet(f"{state}/quarantine/batch={batch}")
@@ -46,9 +50,10 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mo
     write_raw(fresh, store, batch, form)
 
     stored = read_store(spark, store, form).filter(F.col("batch") == batch)
-    mark = processed_at or datetime.now(timezone.utc).replace(tzinfo=None)
+    mark = wall_clock(processed_at or datetime.now(timezone.utc))
     save_progress(last_update_by_project(stored), state, batch)
-    save_processed(stored.select("key", F.lit(mark).cast("timestamp_ntz").alias("processed_at")), state, batch)
+    save_processed(stored.select("key", mark.alias("processed_at")), state, batch)
+    discard(spark, scratch)
 
 
 def ingest(spark: SparkSession, landing: str, store: str, state: str, batch: int = 0, layout: str = "files",

@@ -52,6 +52,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table of a job that has finished; only below this library's own folder."""
+    if path.startswith(f"{shared_folder(spark)}/ticketloom/"):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``; of a file table, the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -112,7 +112,9 @@ def dated_comment_rows(spark: SparkSession, folder: str) -> DataFrame:
 def prepared_issues(spark: SparkSession, folder: str, first: bool = False, resolution: bool = False,
                     counts: bool = False, parts: tuple[str, ...] = ("pages", "events", "labels")) -> DataFrame:
     """Prepared issue table (see ``operators.tasks``) with the comment columns asked for."""
-    issues = with_clean_description(issue_rows(spark, folder, parts))
+    issues = issue_rows(spark, folder, parts)
+    if "description" in issues.columns:
+        issues = with_clean_description(issues)
     comments = comment_rows(spark, folder)
     if first:
         issues = issues.join(first_bodies(comments, "doc_id"), "doc_id", "left")

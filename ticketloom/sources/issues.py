@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ticketloom.functions.fence import computed_once
 from ticketloom.functions.names import (
-    path_text, project_from_key, project_from_object_key, project_from_path,
+    name_of, path_text, project_from_key, project_from_object_key, project_from_path,
 )
 from ticketloom.functions.times import parse_ts
 from ticketloom.operators.validate import bad_time, is_kind, kind_of, object_or_missing, violations
@@ -138,10 +138,9 @@ def extracted(parsed: DataFrame, shape: str, carried: list[str]) -> DataFrame:
         _text(raw, "$.key").alias("key"),
         *[_text(raw, f"$.fields.{a}").alias(a) for a in
           ("summary", "description", "created", "updated", "resolutiondate")],
-        *[F.coalesce(_text(raw, f"$.fields.{a}.name"), F.lit("")).alias(a) for a in
-          ("status", "priority", "resolution")],
+        *[name_of(raw, f"$.fields.{a}").alias(a) for a in ("status", "priority", "resolution")],
         F.coalesce(*[_text(raw, f"{_TYPE[s]}.name") for s in shapes], F.lit("")).alias("issue_type"),
-        *[F.coalesce(_text(raw, f"$.fields.{a}.displayName"), F.lit("")).alias(a) for a in ("reporter", "assignee")])
+        *[name_of(raw, f"$.fields.{a}", "displayName").alias(a) for a in ("reporter", "assignee")])
     times = ("created", "updated", "resolutiondate")
     timed = texts.select(
         *[c for c in texts.columns if c not in (*times, "comments")],

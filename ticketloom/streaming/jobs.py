@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ticketloom.functions.times import epoch_micros
+from ticketloom.operators.dedupe import dedupe_ttl, drop_marked
 from ticketloom.plans.corpus import corpus_from_issues
 from ticketloom.plans.ingest import ingest_documents
-from ticketloom.sinks.tables import read_store, write_corpus
+from ticketloom.sinks.tables import read_store, save_processed, write_corpus
 from ticketloom.sources.issues import with_path_project
+from ticketloom.sources.state import load_processed
 
 
 def stream_documents(spark: SparkSession, path: str, layout: str = "files",
@@ -47,10 +51,27 @@ def append_by_batch(path: str) -> Callable[[DataFrame, int], None]:
 def stream_dedupe(issues: DataFrame, ttl: str = "30 days") -> DataFrame:
     """First record of a key within the time-to-live; the state forgets a key after it.
 
-    Rows later than the watermark are dropped. Jobs that must not drop any use the ledger
-    (``stream_corpus``).
+    Rows later than the watermark are dropped, and all rows of a key pass through its state task.
+    For late rows or hot keys use ``stream_dedupe_ledger``.
     """
-    return issues.withWatermark("updated", ttl).dropDuplicatesWithinWatermark(["key"])
+    # watermarks need a TIMESTAMP
+    clock = F.timestamp_micros(epoch_micros(F.col("updated")))
+    return issues.withColumn("_at", clock).withWatermark("_at", ttl).dropDuplicatesWithinWatermark(["key"]).drop("_at")
+
+
+def stream_dedupe_ledger(issues: DataFrame, checkpoint: str, folder: str, ttl: timedelta = timedelta(days=30)
+                         ) -> StreamingQuery:
+    """The same rule with the ledger as state: no row is dropped for being late, and a hot key is cut
+    down before the shuffle. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``.
+    """
+    def each(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        fresh = drop_marked(rows, load_processed(spark, folder, before=batch), ttl)
+        append_by_batch(f"{folder}/kept")(dedupe_ttl(fresh, ttl), batch)
+        kept = spark.read.parquet(f"{folder}/kept/batch={batch}")
+        save_processed(kept.select("key", F.col("updated").alias("processed_at")), folder, batch)
+
+    return run_available(issues, checkpoint, each)
 
 
 def stream_progress(issues: DataFrame, checkpoint: str, folder: str) -> StreamingQuery:
