@@ -26,8 +26,8 @@ def _one_per(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def drop_processed(df: DataFrame, processed: DataFrame) -> DataFrame:
-    """Rows whose key is not in the ledger.
+def drop_processed(df: DataFrame, processed: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Rows whose key is not in the ledger. ``keys`` may give the keys of ``df`` where they come cheaper.
 
     The ledger outgrows every batch. Once it is too large to broadcast, it is first reduced to the
     keys of the batch: with a small batch that is a filter over its scan, so the ledger is never
@@ -35,7 +35,7 @@ def drop_processed(df: DataFrame, processed: DataFrame) -> DataFrame:
     """
     known = processed.select("key")
     if not fits_broadcast(known):
-        known = known.join(df.select("key"), "key", "left_semi")
+        known = known.join((df if keys is None else keys).select("key").distinct(), "key", "left_semi")
     return df.join(known, "key", "left_anti")
 
 

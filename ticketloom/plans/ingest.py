@@ -44,7 +44,7 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mo
 
     fresh = valid.drop("violations", "value", "path_project")
     if mode == "first":
-        fresh = drop_processed(dedupe_first(fresh), load_processed(spark, state, before=batch))
+        fresh = drop_processed(dedupe_first(fresh), load_processed(spark, state, before=batch), keys=fresh)
     else:
         fresh = dedupe_latest(fresh)
     write_raw(fresh, store, batch, form)

@@ -215,6 +215,8 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
     def damaged(cases: dict[int, str | None], good: Column) -> Column:
         """``good``, or in the numbered cases another JSON text (None: attribute missing)."""
         out = good
+        if not broken:
+            return out
         for case, text in cases.items():
             out = F.when(n == case, F.lit(text)).otherwise(out)
         return out
@@ -251,6 +253,9 @@ def raw_documents(spark: SparkSession, folder: str, broken: bool = False) -> Dat
     value = F.concat(F.lit("{"), F.concat_ws(
         ",", _field("key", key), _field("fields", damaged({4: None}, F.concat(F.lit("{"), fields, F.lit("}"))))),
         F.lit("}"))
-    return issues.select("doc_id", "project", value.alias("value")).select(
+    whole = issues.select("doc_id", "project", value.alias("value"))
+    if not broken:
+        return whole.select("value", F.col("doc_id").cast("string").alias("source_path"), "project", "doc_id")
+    return whole.select(
         F.when(n == 1, F.left("value", F.length("value") - 1)).otherwise(F.col("value")).alias("value"),
         F.col("doc_id").cast("string").alias("source_path"), "project", "doc_id")
