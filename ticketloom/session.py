@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,18 +25,9 @@ def local_session(cores: str = "8", app: str = "ticketloom", **conf: str) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; every executor can reach it.
-
-    Only a local master may fall back to a folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = "file://" + tempfile.mkdtemp(prefix="ticketloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse; every executor can reach either."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return base.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
