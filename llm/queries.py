@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from llm import mixing
+from llm.mixing import op7_mixing
 from llm.quality import op3_quality_rules
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
+    "op7_mixing": op7_mixing,
+}
+ORACLES: dict[str, str] = {"op7_mixing": mixing.ORACLE}
