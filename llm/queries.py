@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from llm import mixing
 from llm.mixing import op7_mixing
+from llm.packing import op4_packing
 from llm.quality import op3_quality_rules
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_packing": op4_packing,
     "op7_mixing": op7_mixing,
 }
 ORACLES: dict[str, str] = {"op7_mixing": mixing.ORACLE}
