@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Tokenizer
 
 from llm.common import table
@@ -85,10 +86,10 @@ def pieces_of(rows: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bo
 
     A document is its ids and the end id; null text is empty. Only documents above ``capacity`` are cut.
     """
-    schema = rows.select("row_id", "doc_id").schema.add("piece", "int").add("start", "long").add(
+    schema = rows.select("row_id", "doc_id").schema.add("piece", "integer").add("start", "long").add(
         "length", "long").add("ids_crc32", "long")
     if keep_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = encoder(path), np.array([END], dtype="<u4").tobytes()
