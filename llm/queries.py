@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from llm import mixing
+from llm import lines, mixing
+from llm.lines import op5_line_dedup
 from llm.mixing import op7_mixing
 from llm.packing import op4_packing
 from llm.quality import op3_quality_rules
@@ -10,6 +11,10 @@ from llm.quality import op3_quality_rules
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
 }
-ORACLES: dict[str, str] = {"op7_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": lines.ORACLE,
+    "op7_mixing": mixing.ORACLE,
+}
