@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from llm import lines, mixing
 from llm.lines import op5_line_dedup
+from llm.minhash import op10_near_duplicates
 from llm.mixing import op7_mixing
 from llm.packing import op4_packing
 from llm.quality import op3_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_mixing": op7_mixing,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
