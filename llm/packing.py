@@ -10,8 +10,10 @@ it by their rank inside their bin.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -32,43 +34,52 @@ CAPACITY, END = 4096, 1
 #: Tokens per bin of the histogram, and pieces that a pattern has at most.
 BIN, PATTERN = 16, 3
 #: Pre-tokens whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 #: Rows that one rank counter handles on average.
 RANK_ROWS = 50_000
 
-# The word tokenizer's own split, for lower-case text of Latin letters below U+0250. A text with any
+# The word tokenizer's own split, for Latin letters below U+0180 whose lower case also is. A text with any
 # other character, or with the opening of a special token, goes to the tokenizer as a whole.
-_LETTERS, _NUMBERS = "a-zªµºß-öø-ɏ", "0-9²³¹¼-¾"
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s\x85\xa0{_LETTERS}{_NUMBERS}]+")
-_OTHER = re.compile(r"[^\x00-\x1b\x20-ɏ]|<\|")
+_OTHER = re.compile(r"[^\x00-\x1b\x20-\u012f\u0131-\u017f]|<\|")
+# byte-level BPE writes a byte as a character: printable ones as themselves, the others from U+0100 on
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class TokenIds:
     """Token ids of texts as little-endian unsigned 32-bit bytes, each pre-token encoded once while it is remembered."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.words: dict[str, bytes] = {}
         self.splits = path.endswith("word_bpe_49k.json")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            low = text.lower()
-            split.append(_SPLIT.findall(low) if self.splits and not _OTHER.search(low) and not _OTHER.search(text) else None)
+        split = [_SPLIT.findall(t.lower()) if self.splits and not _OTHER.search(t) else None for t in texts]
         if len(self.words) > self.remembered:
             self.words.clear()
-        new = list({w for tokens in split if tokens for w in tokens if w not in self.words})
-        for some in range(0, len(new), 20_000):
-            part = new[some:some + 20_000]
-            self.words.update(zip(part, self._whole(part), strict=True))
+        known = [None if tokens is None else list(map(self.words.get, tokens)) for tokens in split]
+        new = list({w for tokens, ids in zip(split, known, strict=True) if tokens and None in ids
+                    for w, i in zip(tokens, ids, strict=True) if i is None})
+        tokenize = self.tokenizer.model.tokenize
+        for word in new:
+            tokens = tokenize(word.encode().decode("latin-1").translate(_BYTE_LEVEL))
+            self.words[word] = array("I", [t.id for t in tokens]).tobytes()
         whole = iter(self._whole([t for t, tokens in zip(texts, split, strict=True) if tokens is None]))
-        get = self.words.__getitem__
-        return [next(whole) if tokens is None else b"".join(map(get, tokens)) for tokens in split]
+        out = []
+        for tokens, ids in zip(split, known, strict=True):
+            if tokens is None:
+                out.append(next(whole))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, tokens) if None in ids else ids))
+        return out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
+        return [array("I", e.ids).tobytes() for e in done]  # little-endian, as all of Spark's platforms are
 
 
 _ENCODERS: dict[str, TokenIds] = {}
