@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-from llm import lines, mixing, vectors
+from llm import lines, mixing, preferences, vectors
+from llm.extract import op9_main_text
 from llm.lines import op5_line_dedup
 from llm.minhash import op10_near_duplicates
 from llm.mixing import op7_mixing
 from llm.packing import op4_packing
+from llm.preferences import op1_preference_format
 from llm.quality import op3_quality_rules
+from llm.toxicity import op8_toxicity
 from llm.vectors import op6_embedding_links
 
 QUERIES = {
+    "op1_preference_format": op1_preference_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_embedding_links": op6_embedding_links,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
+    "op9_main_text": op9_main_text,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {
+    "op1_preference_format": preferences.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op6_embedding_links": vectors.ORACLE,
     "op7_mixing": mixing.ORACLE,
