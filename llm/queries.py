@@ -12,9 +12,11 @@ from llm.preferences import op1_preference_format
 from llm.quality import op3_quality_rules
 from llm.toxicity import op8_toxicity
 from llm.vectors import op6_embedding_links
+from llm.warc import op2_warc_derivatives
 
 QUERIES = {
     "op1_preference_format": op1_preference_format,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
