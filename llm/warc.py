@@ -13,6 +13,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
+from html import unescape
 
 import pandas as pd
 import pyarrow as pa
@@ -80,7 +81,7 @@ def page_parts(html: str) -> tuple[str, list[str], str]:
         node = stack.pop()
         node.around = node.tag in _HIDDEN
         if node.tag == "title" and not title:
-            title = " ".join("".join(x for x in node.items if isinstance(x, str)).split())
+            title = " ".join(unescape("".join(x for x in node.items if isinstance(x, str))).split())
         stack.extend(x for x in reversed(node.items) if isinstance(x, Node))
     return title, builder.links, "\n".join(blocks(builder.root))
 
@@ -141,9 +142,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """
     border = f"\r\n\r\n{VERSION}\r\n"
     raw = spark.read.option("lineSep", border).text(path)
-    value = F.regexp_replace("value", f"^{VERSION}\r\n", "")
-    head, block = F.substring_index(value, "\r\n\r\n", 1), F.expr("substring(v, length(substring_index(v, '\\r\\n\\r\\n', 1)) + 5)")
-    rows = raw.where("value <> ''").select(value.alias("v")).select(head.alias("h"), block.alias("b"))
+    rows = raw.where("value <> ''").select(F.regexp_replace("value", f"^{VERSION}\r\n", "").alias("v")).select(
+        F.substring_index("v", "\r\n\r\n", 1).alias("h"), "v").select("h", F.expr("substring(v, length(h) + 5)").alias("b"))
     # the last record of a file keeps its own end
     rows = rows.withColumn("b", F.regexp_replace("b", "\r\n\r\n$", ""))
     field = lambda name: F.nullif(F.regexp_extract("h", rf"(?im)^{name}:[ \t]*(.*?)\r?$", 1), F.lit(""))
