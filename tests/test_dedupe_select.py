@@ -150,6 +150,9 @@ def test_search_pages_and_missing_offsets(spark):
     assert {(r.key, r.total, r.max_results) for r in keys} == {("A-1", 170, 50), ("A-2", 170, 50)}
     offsets = lambda **k: sorted(r.start_at for r in fetch.missing_pages(df, **k).collect())
     assert offsets() == [50, 100] and offsets(max_issues=60) == [50]
+    small = [("C", 0, 200, '{"total":60,"maxResults":25}'), ("C", 50, 200, '{"total":60,"maxResults":25}'), ("D", 0, 500, None)]
+    df = spark.createDataFrame(small, "project string, start_at long, status int, body string")
+    assert {(r.project, r.start_at) for r in fetch.missing_pages(df).collect()} == {("C", 25), ("D", 0)}
 
 
 def test_retry_backlog(spark):

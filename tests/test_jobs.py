@@ -4,13 +4,15 @@ from pathlib import Path
 
 import pytest
 from conftest import comment, issue, stored
+from pyspark.sql import functions as F
 
+from ticketloom.functions.names import project_from_object_key
 from ticketloom.plans.corpus import build_corpus
 from ticketloom.plans.ingest import ingest, read_quarantine
 from ticketloom.sinks.tables import read_store, save_processed, save_progress, stored_json
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import load_processed, load_progress
-from ticketloom.streaming.jobs import run_available, append_by_batch, stream_corpus, stream_dedupe, stream_dedupe_ledger
+from ticketloom.streaming.jobs import append_by_batch, run_available, stream_corpus, stream_dedupe, stream_dedupe_ledger
 
 
 def put(folder: Path, name: str, doc) -> None:
@@ -58,7 +60,10 @@ def test_build_corpus_variants(spark, raw, tmp_path):
 def test_object_store_rule_uses_the_second_component(spark, raw):
     # the key of an object begins below the bucket; for a local path that is below the root
     names = {r.path_project for r in read_raw(spark, "file://" + raw, store="object").select("path_project").collect()}
-    assert names == {"tmp"}
+    assert names == {Path(raw).parts[1]}
+    uris = {"s3a://bucket/raw/WEB/WEB-1.json": "WEB", "gs://b/raw/APP/x/y.json": "APP", "s3a://b/raw/WEB-1.json": None, "s3a://b/x.json": None}
+    df = spark.createDataFrame([(u,) for u in uris], "uri string").select("uri", project_from_object_key(F.col("uri")).alias("p"))
+    assert {r.uri: r.p for r in df.collect()} == uris
 
 
 def test_ingest_first_and_latest(spark, tmp_path):
@@ -69,7 +74,9 @@ def test_ingest_first_and_latest(spark, tmp_path):
     put(Path(landing), "WEB/3.json", issue("WEB-1", summary="two", updated="2024-02-01T00:00:00.000+0000"))
     put(Path(landing), "WEB/4.json", issue("WEB-3"))
     assert {r.key for r in ingest(spark, landing, store, state, batch=1).collect()} == {"WEB-3"}
-    ingest(spark, landing, store, state, batch=1)  # again: same tables
+    with pytest.raises(ValueError):  # a complete number is not written over by chance
+        ingest(spark, landing, store, state, batch=1)
+    ingest(spark, landing, store, state, batch=1, replace=True)  # again: same tables
     assert sorted(r.key for r in read_store(spark, store).collect()) == ["WEB-1", "WEB-3"]
     assert sorted(r.key for r in load_processed(spark, state).collect()) == ["WEB-1", "WEB-3"]
     assert [(r.violations, r.batch) for r in read_quarantine(spark, state).orderBy("batch").collect()] == [(["summary"], 0), (["summary"], 1)]
@@ -83,14 +90,14 @@ def test_ingest_first_and_latest(spark, tmp_path):
 def test_ingest_strict(spark, tmp_path):
     put(tmp_path / "landing", "1.json", issue("WEB-1", summary=None))
     with pytest.raises(Exception, match="invalid issue WEB-1"):
-        ingest(spark, str(tmp_path / "landing"), str(tmp_path / "s"), str(tmp_path / "t"), strict=True)
+        ingest(spark, str(tmp_path / "landing"), str(tmp_path / "s"), str(tmp_path / "t"), batch=0, strict=True)
 
 
 def test_json_store_keeps_whole_objects(spark, docs, tmp_path):
     put(tmp_path / "landing", "1.json", issue(status={"name": "Open", "id": "3", "more": {"a": [1]}}, comment={"comments": [
         comment(author={"displayName": "Bob", "active": True})]}))
     store = str(tmp_path / "store")
-    ingest(spark, str(tmp_path / "landing"), store, str(tmp_path / "state"), form="json")
+    ingest(spark, str(tmp_path / "landing"), store, str(tmp_path / "state"), batch=0, form="json")
     (doc,) = [json.loads(x) for f in Path(store).rglob("part-*") for x in f.read_text().splitlines()]
     assert doc["fields"]["status"] == {"name": "Open", "id": "3", "more": {"a": [1]}}
     assert doc["fields"]["assignee"] is None and doc["fields"]["comments"] is None
@@ -107,7 +114,7 @@ def test_stored_form_parses_to_the_same_issue(docs):
     assert first.select(*columns).orderBy("key").collect() == again.select(*columns).orderBy("key").collect()
 
 
-def test_state_survives_and_damage_starts_anew(spark, tmp_path):
+def test_state_survives_and_damage_is_an_error(spark, tmp_path):
     folder = str(tmp_path / "state")
     assert load_progress(spark, folder).count() == 0
     mark = spark.createDataFrame([("WEB", datetime(2024, 1, 2))], "project string, last_update timestamp_ntz")
@@ -116,11 +123,57 @@ def test_state_survives_and_damage_starts_anew(spark, tmp_path):
     assert load_progress(spark, folder).collect() == mark.collect()
     keys = spark.createDataFrame([("WEB-1", datetime(2024, 1, 2))], "key string, processed_at timestamp_ntz")
     save_processed(keys, folder, 0)
-    assert load_processed(spark, folder, before=0).count() == 0
+    assert load_processed(spark, folder, without=("job", 0)).count() == 0
+    assert load_processed(spark, folder, without=("stream", 0)).count() == 1
     for part in Path(folder, "processed").rglob("*.parquet"):
         part.write_bytes(b"damaged")
         part.with_name(f".{part.name}.crc").unlink()
-    assert load_processed(spark, folder).count() == 0
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
+        load_processed(spark, folder).select("key").collect()
+
+
+def test_job_and_streams_share_a_store(spark, tmp_path):
+    landing, at = tmp_path / "landing", str(tmp_path / "at")
+    put(landing, "WEB/1.json", issue("WEB-1"))
+    ingest(spark, str(landing), f"{at}/store", f"{at}/state", batch=7)
+    for n, key in enumerate(("WEB-2", "WEB-3")):  # two checkpoints, whose numbers both start at 0
+        put(landing, f"WEB/{key}.json", issue(key))
+        stream_corpus(spark, str(landing), f"{at}/cp{n}", f"{at}/store", f"{at}/state", f"{at}/corpus")
+    assert sorted(r.key for r in read_store(spark, f"{at}/store").collect()) == ["WEB-1", "WEB-2", "WEB-3"]
+    assert sorted(r["metadata"]["issue_key"] for r in lines(f"{at}/corpus")) == ["WEB-2", "WEB-3"]
+
+
+def test_a_batch_is_replaced_as_a_whole_whatever_the_session_says(spark, tmp_path):
+    landing, at = tmp_path / "landing", str(tmp_path / "at")
+    put(landing, "WEB/1.json", issue("WEB-1"))
+    put(landing, "APP/2.json", issue("APP-2"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ingest(spark, str(landing), f"{at}/store", f"{at}/state", batch=0)
+        again = ingest(spark, str(landing), f"{at}/store", f"{at}/state", batch=0, projects=["WEB"], replace=True)
+        assert [r.key for r in again.collect()] == ["WEB-1"]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_the_newer_batch_wins_a_tie(spark, tmp_path):
+    landing, at = tmp_path / "landing", str(tmp_path / "at")
+    for n in range(4):
+        put(landing, f"{n}/WEB/1.json", issue("WEB-1", summary=f"version {n}"))
+        ingest(spark, str(landing / str(n)), f"{at}/store", f"{at}/state", batch=n, mode="latest")
+    assert [r.summary for r in read_store(spark, f"{at}/store", latest=True).collect()] == ["version 3"]
+
+
+def test_late_rows_are_kept_in_any_order_of_deliveries(spark, tmp_path):
+    schema = "key string, updated timestamp_ntz"
+    source, at = str(tmp_path / "in"), str(tmp_path / "at")
+    start = datetime(2024, 1, 1)
+    days = [200, 1, 90, 2, 201, 150, 91, 3, 199]
+    for n in days:
+        spark.createDataFrame([("a", start + timedelta(days=n))], schema).coalesce(1).write.mode("append").parquet(source)
+        stream_dedupe_ledger(spark.readStream.schema(schema).parquet(source), f"{at}/cp", f"{at}/ledger", timedelta(days=4))
+    kept = {(r.updated - start).days for r in spark.read.parquet(f"{at}/ledger/kept").collect()}
+    assert kept == {200, 1, 90, 150}
 
 
 def test_stream_equals_batch_and_resumes(spark, tmp_path):

@@ -59,7 +59,7 @@ def test_text_is_parsed_and_cleaned_once(spark, docs, tmp_path, dedupe):
 
 def test_project_filter_prunes_folders_and_files(spark, docs, tmp_path):
     store = str(tmp_path / "store")
-    write_raw(parse_issue(docs([issue(), issue("APP-1")])), store)
+    write_raw(parse_issue(docs([issue(), issue("APP-1")])), store, batch=0)
     assert re.search(r"PartitionFilters: \[[^\]]*project#\d+ = WEB", plan(read_store(spark, store, projects=["WEB"])))
 
     for name in ("WEB/WEB-1", "APP/APP-1", "APP/APP-2", "WEB-3"):

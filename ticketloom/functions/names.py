@@ -42,6 +42,7 @@ def project_from_path(path: Column, root: str) -> Column:
 
 
 def project_from_object_key(path: Column) -> Column:
-    """Second component of an object-store key; null for a key of one component."""
+    """Second component of an object-store key; null where that is the file itself or there is none."""
     key = F.regexp_replace(path, r"^[A-Za-z0-9+.-]+://[^/]*/", "")
-    return F.get(F.split(key, "/", -1), 1)
+    parts = F.split(key, "/", -1)
+    return F.when(F.size(parts) > 2, F.get(parts, 1))

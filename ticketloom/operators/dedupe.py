@@ -46,22 +46,24 @@ def dedupe_first(df: DataFrame, order: tuple[str, ...] = ("updated", "source_pat
 
 
 def dedupe_latest(df: DataFrame) -> DataFrame:
-    """Latest ``updated`` per key wins."""
-    return _one_per(df, ["key"], [F.col("updated").desc(), _content_hash(df)])
+    """Latest ``updated`` per key wins; of equal ones the highest ``batch``, where the rows have one."""
+    later = [F.col("batch").desc()] if "batch" in df.columns else []
+    return _one_per(df, ["key"], [F.col("updated").desc(), *later, _content_hash(df)])
 
 
 def upsert_latest(old: DataFrame, new: DataFrame) -> DataFrame:
     """Table with one row per key, brought up to date: latest ``updated`` wins, new wins a tie.
 
-    Only keys of the batch compete. All other rows pass an anti-join, which needs no shuffle of the
-    table while the batch is small enough for Spark to broadcast its keys.
+    ``old`` is read once.
     """
-    batch = written(dedupe_latest(new), "upsert")  # used three times, and of known size
-    keys = batch.select("key")
-    contest = old.join(keys, "key", "left_semi").withColumn("_new", F.lit(0)).unionByName(
-        batch.withColumn("_new", F.lit(1)))
-    winners = _one_per(contest, ["key"], [F.col("updated").desc(), F.col("_new").desc(), _content_hash(contest)])
-    return old.join(keys, "key", "left_anti").unionByName(winners.drop("_new"))
+    batch = written(dedupe_latest(new), "upsert")  # used twice, and of known size
+    rival = batch.select(F.col("key").alias("_key"), F.struct(*[F.col(c) for c in old.columns]).alias("_new"))
+    # one row per key on either side: each old row meets its rival once, and the table is read once
+    both = old.select(F.struct(*[F.col(c) for c in old.columns]).alias("_old")).join(
+        rival, F.col("_old.key") == F.col("_key"), "full")
+    newer = F.col("_old").isNull() | (F.col("_new.updated") >= F.col("_old.updated")) | F.col("_old.updated").isNull()
+    won = F.when(F.col("_new").isNotNull() & F.coalesce(newer, F.lit(False)), F.col("_new")).otherwise(F.col("_old"))
+    return both.select(won.alias("_row")).select("_row.*")
 
 
 def append_processed(ledger: DataFrame, keys: DataFrame, cap: int | None = None) -> DataFrame:
@@ -97,10 +99,18 @@ def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "k
 
 
 def drop_marked(df: DataFrame, marks: DataFrame, ttl: timedelta = timedelta(days=30)) -> DataFrame:
-    """Rows that are not within ``ttl`` after (or before) their key's last mark in the ledger."""
-    last = marks.groupBy("key").agg(F.max("processed_at").alias("_mark"))
-    due = F.col("_mark") + F.lit(ttl)
-    return df.join(last, "key", "left").filter(F.col("_mark").isNull() | (F.col("updated") >= due)).drop("_mark")
+    """Rows that are not within ``ttl`` of any mark of their key in the ledger, before or after it.
+
+    So a row that is late by more than ``ttl`` counts as any other. Times are cut into spans of ``ttl``: a row
+    meets the few marks of its own span and the two beside it, however many its key has.
+    """
+    micros = int(ttl.total_seconds() * 1_000_000)
+    near = marks.select(
+        F.col("key").alias("_key"), epoch_micros(F.col("processed_at")).alias("_mark")).distinct().withColumn(
+        "_span", F.explode(F.sequence(F.floor(F.col("_mark") / micros) - 1, F.floor(F.col("_mark") / micros) + 1)))
+    at = epoch_micros(F.col("updated"))
+    same = (F.col("key") == F.col("_key")) & (F.floor(at / micros) == F.col("_span")) & (F.abs(at - F.col("_mark")) < micros)
+    return df.join(near, same, "left_anti")
 
 
 def _walk(times: DataFrame, micros: int) -> DataFrame:

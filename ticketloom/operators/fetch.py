@@ -14,17 +14,24 @@ _RUN = 10_000  # offsets made per inner sequence, so that no array grows with a
 
 
 def missing_pages(pages: DataFrame, max_issues: int | None = None, page: int = SEARCH_PAGE_SIZE) -> DataFrame:
-    """Offsets below a project's total (or ``max_issues``) that no good page covers."""
+    """Offsets below a project's total (or ``max_issues``) that no good page covers.
+
+    Steps are of the largest page size that the project's good pages state, ``page`` where none does. A project
+    without a good page misses offset 0, the only one that is known to exist.
+    """
     good = good_pages(pages)
-    totals = good.groupBy("project").agg(F.max("total").alias("total"))
+    seen = good.groupBy("project").agg(F.max("total").alias("total"), F.max("max_results").alias("step"))
+    totals = pages.select("project").distinct().join(seen, "project", "left").select(
+        "project", F.coalesce("total", F.lit(1)).alias("total"),
+        F.when(F.col("step") > 0, F.col("step")).otherwise(page).alias("step"))
     if max_issues is not None:
         totals = totals.withColumn("total", F.least("total", F.lit(max_issues)))
-    last = F.expr(f"(total - 1) div {page}")
+    last = F.expr("(total - 1) div step")
     runs = totals.filter(F.col("total") > 0).select(
-        "project", last.alias("last"), F.explode(F.sequence(F.lit(0), F.expr(f"((total - 1) div {page}) div {_RUN}"))).alias("run"))
-    expected = runs.select("project", F.explode(F.sequence(
+        "project", "step", last.alias("last"), F.explode(F.sequence(F.lit(0), F.expr(f"((total - 1) div step) div {_RUN}"))).alias("run"))
+    expected = runs.select("project", "step", F.explode(F.sequence(
         F.col("run") * _RUN, F.least("last", F.col("run") * _RUN + F.lit(_RUN - 1)))).alias("n"))
-    offsets = expected.select("project", (F.col("n") * page).alias("start_at"))
+    offsets = expected.select("project", (F.col("n") * F.col("step")).alias("start_at"))
     return offsets.join(good.select("project", "start_at").distinct(), ["project", "start_at"], "left_anti")
 
 

@@ -12,15 +12,17 @@ from ticketloom.operators.dedupe import dedupe_first, dedupe_latest, drop_proces
 from ticketloom.operators.metrics import last_update_by_project
 from ticketloom.operators.validate import split_valid
 from ticketloom.session import discard, scratch_path
-from ticketloom.sinks.tables import read_store, save_processed, save_progress, write_raw
+from ticketloom.sinks.tables import batch_path, read_store, save_processed, save_progress, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
-from ticketloom.sources.state import load_processed
+from ticketloom.sources.state import has_batch, load_processed
 
 
-def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mode: str = "first",
+def ingest_documents(docs: DataFrame, store: str, state: str, batch: int, mode: str = "first",
                      shape: str = "auto", strict: bool = False, form: str = "parquet",
-                     processed_at: datetime | None = None) -> None:
-    """Store one batch of raw documents.
+                     processed_at: datetime | None = None, writer: str = "job", replace: bool = False) -> None:
+    """Store one batch of raw documents under the next number of its writer.
+
+    A number that was completed is refused unless ``replace`` says to run it again.
 
     ``mode="first"`` never replaces a stored key; ``"latest"`` adds the newer version, and
     ``read_store(latest=True)`` picks it. Parsing happens once: the parsed batch is written to the
@@ -28,6 +30,8 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mo
     so a batch that stops half way is simply run again under its number.
     """
     spark = docs.sparkSession
+    if not replace and has_batch(spark, state, writer, batch):
+        raise ValueError(f"batch {batch} of writer {writer} is complete; take a new number, or replace=True")
     parsed = parse_issue(docs, shape)
     if strict:
         valid, _ = split_valid(parsed, strict=True)
@@ -40,28 +44,29 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int = 0, mo
     staged = spark.read.schema(parsed.schema).parquet(scratch)
     valid, invalid = split_valid(staged)
     kept = [c for c in ("key", "project", "violations", "source_path", "value") if c in invalid.columns]
-    invalid.select(*kept).write.mode("overwrite").parquet(f"{state}/quarantine/batch={batch}")
+    invalid.select(*kept).write.mode("overwrite").parquet(batch_path(f"{state}/quarantine", writer, batch))
 
     fresh = valid.drop("violations", "value", "path_project")
     if mode == "first":
-        fresh = drop_processed(dedupe_first(fresh), load_processed(spark, state, before=batch), keys=fresh)
+        # known rows go first, so that the wide sort of the rest is small
+        fresh = dedupe_first(drop_processed(fresh, load_processed(spark, state, without=(writer, batch))))
     else:
         fresh = dedupe_latest(fresh)
-    write_raw(fresh, store, batch, form)
+    write_raw(fresh, store, batch, form, writer)
 
-    stored = read_store(spark, store, form).filter(F.col("batch") == batch)
+    stored = read_store(spark, store, form, batch=(writer, batch))
     mark = wall_clock(processed_at or datetime.now(timezone.utc))
-    save_progress(last_update_by_project(stored), state, batch)
-    save_processed(stored.select("key", mark.alias("processed_at")), state, batch)
+    save_progress(last_update_by_project(stored), state, batch, writer)
+    save_processed(stored.select("key", mark.alias("processed_at")), state, batch, writer)
     discard(spark, scratch)
 
 
-def ingest(spark: SparkSession, landing: str, store: str, state: str, batch: int = 0, layout: str = "files",
+def ingest(spark: SparkSession, landing: str, store: str, state: str, batch: int, layout: str = "files",
            projects: list[str] | None = None, glob: str = "*.json", **options: object) -> DataFrame:
     """``ingest_documents`` over a landing folder; returns what the batch stored."""
     ingest_documents(read_raw(spark, landing, projects, layout, glob=glob), store, state, batch, **options)
-    form = options.get("form", "parquet")
-    return read_store(spark, store, form).filter(F.col("batch") == batch)
+    form, writer = options.get("form", "parquet"), options.get("writer", "job")
+    return read_store(spark, store, form, batch=(writer, batch))
 
 
 def read_quarantine(spark: SparkSession, state: str) -> DataFrame:

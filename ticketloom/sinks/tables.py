@@ -15,7 +15,7 @@ from ticketloom.operators.dedupe import dedupe_latest
 from ticketloom.schema import ISSUE_COLUMNS
 from ticketloom.sources.issues import parse_issue, path_exists
 
-STORE_SCHEMA = T.StructType(ISSUE_COLUMNS + [T.StructField("batch", T.LongType())])
+STORE_SCHEMA = T.StructType(ISSUE_COLUMNS + [T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
 
 
 def _object(raw: Column | None, paths: list[str], typed: Column, required: bool) -> Column:
@@ -82,39 +82,51 @@ def stored_json(issues: DataFrame) -> DataFrame:
         F.to_json(F.struct("key", "project", "fields", "comments"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_raw(issues: DataFrame, path: str, batch: int = 0, form: str = "parquet") -> None:
-    """Add validated issues to the store, below ``batch=<n>/project=<p>/``.
+def batch_path(folder: str, writer: str, batch: int) -> str:
+    """Where a batch lies: every writer has its own numbers, so that a job and a stream never share one."""
+    return f"{folder}/writer={writer}/batch={batch}"
+
+
+def _replacing(writer: DataFrameWriter) -> DataFrameWriter:
+    """Overwrite the whole folder, whatever the session says about partitions."""
+    return writer.mode("overwrite").option("partitionOverwriteMode", "static")
+
+
+def write_raw(issues: DataFrame, path: str, batch: int, form: str = "parquet", writer: str = "job") -> None:
+    """Add validated issues to the store, below ``writer=<w>/batch=<n>/project=<p>/``; the batch is replaced as a whole.
 
     ``form="parquet"`` keeps the typed table, ``"json"`` one stored document per line. The rebalance
     hint collects a project's rows into few files and lets adaptive execution split a hot project.
     """
     if form == "json":
-        writer = stored_json(issues).hint("rebalance", "project").write
-        writer.mode("overwrite").partitionBy("project").text(f"{path}/batch={batch}")
+        lines = stored_json(issues).hint("rebalance", "project").write
+        _replacing(lines).partitionBy("project").text(batch_path(path, writer, batch))
         return
     columns = [f.name for f in ISSUE_COLUMNS]
-    writer = issues.select(*columns).hint("rebalance", "project").write
-    writer.mode("overwrite").partitionBy("project").parquet(f"{path}/batch={batch}")
+    rows = issues.select(*columns).hint("rebalance", "project").write
+    _replacing(rows).partitionBy("project").parquet(batch_path(path, writer, batch))
 
 
 def read_store(spark: SparkSession, path: str, form: str = "parquet", latest: bool = False,
-               projects: list[str] | None = None) -> DataFrame:
-    """Issues of the store; ``latest`` keeps the newest version of a key over all batches.
+               projects: list[str] | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
+    """Issues of the store; ``latest`` keeps the newest version of a key, of equal ones that of the highest batch.
 
-    ``project`` and ``batch`` are partition columns, so filters on them skip folders.
+    ``project``, ``writer`` and ``batch`` are partition columns, so filters on them skip folders. ``batch``, a writer
+    and a number, reads that one folder and lists no other.
     """
+    whole, path = path, path if batch is None else batch_path(path, *batch)
     if not path_exists(spark, path):
         issues = spark.createDataFrame([], STORE_SCHEMA)
     elif form == "json":
-        lines = T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.StringType()),
-                              T.StructField("project", T.StringType())])
-        docs = spark.read.schema(lines).text(path)
+        lines = T.StructType([T.StructField(n, T.StringType()) for n in ("value", "writer", "batch", "project")])
+        docs = spark.read.schema(lines).option("basePath", whole).text(path)
         docs = docs.filter(F.col("project").isin(projects)) if projects else docs
         parsed = parse_issue(docs.select("value", F.col("project").alias("path_project"),
-                                         F.col("batch").alias("source_path")), shape="stored")
-        issues = parsed.select(*[f.name for f in ISSUE_COLUMNS], F.col("source_path").cast("bigint").alias("batch"))
+                                         F.concat_ws("/", "writer", "batch").alias("source_path")), shape="stored")
+        issues = parsed.select(*[f.name for f in ISSUE_COLUMNS], F.regexp_replace("source_path", "/[^/]*$", "").alias("writer"),
+                               F.substring_index("source_path", "/", -1).cast("bigint").alias("batch"))
     else:
-        issues = spark.read.schema(STORE_SCHEMA).parquet(path)
+        issues = spark.read.schema(STORE_SCHEMA).option("basePath", whole).parquet(path)
     issues = issues.filter(F.col("project").isin(projects)) if projects else issues
     return dedupe_latest(issues) if latest else issues
 
@@ -126,9 +138,9 @@ def write_corpus(corpus: DataFrame, path: str) -> int:
     return int(seen.get["n"])
 
 
-def save_progress(progress: DataFrame, folder: str, batch: int = 0) -> None:
-    progress.select("project", "last_update").write.mode("overwrite").parquet(f"{folder}/progress/batch={batch}")
+def save_progress(progress: DataFrame, folder: str, batch: int, writer: str = "job") -> None:
+    _replacing(progress.select("project", "last_update").write).parquet(batch_path(f"{folder}/progress", writer, batch))
 
 
-def save_processed(keys: DataFrame, folder: str, batch: int = 0) -> None:
-    keys.select("key", "processed_at").write.mode("overwrite").parquet(f"{folder}/processed/batch={batch}")
+def save_processed(keys: DataFrame, folder: str, batch: int, writer: str = "job") -> None:
+    _replacing(keys.select("key", "processed_at").write).parquet(batch_path(f"{folder}/processed", writer, batch))

@@ -1,4 +1,4 @@
-"""Progress per project and the ledger of processed keys, as Parquet tables (one folder per batch)."""
+"""Progress per project and the ledger of processed keys, as Parquet tables (one folder per writer and batch)."""
 
 from __future__ import annotations
 
@@ -10,24 +10,28 @@ from ticketloom.schema import PROCESSED_SCHEMA, PROGRESS_SCHEMA
 from ticketloom.sources.issues import path_exists
 
 
-def _load(spark: SparkSession, path: str, schema: T.StructType, before: int | None) -> DataFrame:
-    """Rows of the batches before ``before``. No folder, or nothing readable in it: no rows."""
+def _load(spark: SparkSession, path: str, schema: T.StructType, without: tuple[str, int] | None) -> DataFrame:
+    """Rows of all batches but one. No folder: no rows. A damaged file fails the read, as skipping it would store its keys again."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    whole = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    # damaged files are skipped: the state then simply starts anew for their keys
-    rows = spark.read.option("ignoreCorruptFiles", "true").schema(whole).parquet(path)
-    if before is not None:
-        rows = rows.filter(F.col("batch") < before)
+    whole = T.StructType(schema.fields + [T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
+    rows = spark.read.schema(whole).parquet(path)
+    if without is not None:
+        rows = rows.filter((F.col("writer") != without[0]) | (F.col("batch") != without[1]))
     return rows.select(*schema.fieldNames())
 
 
-def load_progress(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+def has_batch(spark: SparkSession, folder: str, writer: str, batch: int) -> bool:
+    """Was this batch completed? The ledger is written last."""
+    return path_exists(spark, f"{folder}/processed/writer={writer}/batch={batch}/_SUCCESS")
+
+
+def load_progress(spark: SparkSession, folder: str, without: tuple[str, int] | None = None) -> DataFrame:
     """Latest saved mark per project."""
-    rows = _load(spark, f"{folder}/progress", PROGRESS_SCHEMA, before)
+    rows = _load(spark, f"{folder}/progress", PROGRESS_SCHEMA, without)
     return rows.groupBy("project").agg(F.max("last_update").alias("last_update"))
 
 
-def load_processed(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
-    """The ledger. A repeated batch passes its own number, so that it does not see its own keys."""
-    return _load(spark, f"{folder}/processed", PROCESSED_SCHEMA, before)
+def load_processed(spark: SparkSession, folder: str, without: tuple[str, int] | None = None) -> DataFrame:
+    """The ledger of all writers. A repeated batch passes its own writer and number, so that it does not see its own keys."""
+    return _load(spark, f"{folder}/processed", PROCESSED_SCHEMA, without)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -13,7 +14,7 @@ from ticketloom.functions.times import epoch_micros
 from ticketloom.operators.dedupe import dedupe_ttl, drop_marked
 from ticketloom.plans.corpus import corpus_from_issues
 from ticketloom.plans.ingest import ingest_documents
-from ticketloom.sinks.tables import read_store, save_processed, write_corpus
+from ticketloom.sinks.tables import batch_path, read_store, save_processed, write_corpus
 from ticketloom.sources.issues import with_path_project
 from ticketloom.sources.state import load_processed
 
@@ -31,6 +32,11 @@ def stream_documents(spark: SparkSession, path: str, layout: str = "files",
     return with_path_project(docs, path)
 
 
+def stream_writer(checkpoint: str) -> str:
+    """The writer that a checkpoint's batch numbers belong to."""
+    return f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+
+
 def run_available(df: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None],
                   mode: str = "append") -> StreamingQuery:
     """Run a stream over what is available now and wait for it; the checkpoint remembers the rest."""
@@ -61,15 +67,19 @@ def stream_dedupe(issues: DataFrame, ttl: str = "30 days") -> DataFrame:
 
 def stream_dedupe_ledger(issues: DataFrame, checkpoint: str, folder: str, ttl: timedelta = timedelta(days=30)
                          ) -> StreamingQuery:
-    """The same rule with the ledger as state: no row is dropped for being late, and a hot key is cut
-    down before the shuffle. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``.
+    """The same rule with the ledger as state, and a hot key cut down before the shuffle.
+
+    A row is dropped only if a kept row of its key lies within ``ttl`` of it, before or after; being late is no
+    reason. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``.
     """
+    writer = stream_writer(checkpoint)
+
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        fresh = drop_marked(rows, load_processed(spark, folder, before=batch), ttl)
+        fresh = drop_marked(rows, load_processed(spark, folder, without=(writer, batch)), ttl)
         append_by_batch(f"{folder}/kept")(dedupe_ttl(fresh, ttl), batch)
         kept = spark.read.parquet(f"{folder}/kept/batch={batch}")
-        save_processed(kept.select("key", F.col("updated").alias("processed_at")), folder, batch)
+        save_processed(kept.select("key", F.col("updated").alias("processed_at")), folder, batch, writer)
 
     return run_available(issues, checkpoint, each)
 
@@ -84,15 +94,18 @@ def stream_progress(issues: DataFrame, checkpoint: str, folder: str) -> Streamin
 
 def stream_corpus(spark: SparkSession, landing: str, checkpoint: str, store: str, state: str, corpus: str,
                   layout: str = "files", max_files: int | None = None, shape: str = "auto",
-                  glob: str = "*.json") -> StreamingQuery:
+                  glob: str = "*.json", **options: object) -> StreamingQuery:
     """Parse, validate, drop known keys, store, and append the batch's corpus lines.
 
     Each part of a batch is replaced as a whole under the batch number, so a replay after a failure
-    leaves no duplicate and no gap.
+    leaves no duplicate and no gap. Numbers belong to the checkpoint: a new one, or a job on the same store,
+    never writes over them. ``options`` go to ``ingest_documents`` (``mode``, ``strict``, ``form``).
     """
+    writer = stream_writer(checkpoint)
+
     def each(docs: DataFrame, batch: int) -> None:
-        ingest_documents(docs, store, state, batch, shape=shape)
-        issues = read_store(docs.sparkSession, store).filter(F.col("batch") == batch)
-        write_corpus(corpus_from_issues(issues, dedupe=False), f"{corpus}/batch={batch}")
+        ingest_documents(docs, store, state, batch, shape=shape, writer=writer, replace=True, **options)
+        issues = read_store(docs.sparkSession, store, options.get("form", "parquet"), batch=(writer, batch))
+        write_corpus(corpus_from_issues(issues, dedupe=False), batch_path(corpus, writer, batch))
 
     return run_available(stream_documents(spark, landing, layout, max_files, glob), checkpoint, each)
