@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -61,7 +60,7 @@ class TreeBuilder(HTMLParser):
     """Elements and text of a page, with missing end tags supplied and stray ones ignored."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=False)
+        super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -78,15 +77,21 @@ class TreeBuilder(HTMLParser):
                 self.at = last.parent
         if tag == "body" and self.at.tag == "head":
             self.at = self.at.parent or self.root
-        names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-        page_head = tag == "header" and not any(p.tag in ("article", "main") for p in self._path())
-        node = Node(tag, self.at, tag in DROPPED or hidden or page_head or (
-            tag not in ("body", "article", "main") and bool(names) and bool(_AROUND.search(names)) and not _ARTICLE.search(names)))
+        node = Node(tag, self.at, self.surrounds(tag, attrs))
         self.at.items.append(node)
         if tag not in VOID:
             self.at = node
 
+    def surrounds(self, tag: str, attrs: list) -> bool:
+        """Is this element around the main text, by its name or by what its attributes say?"""
+        if tag in DROPPED or tag == "header" and not any(p.tag in ("article", "main") for p in self._path()):
+            return True
+        if not attrs:
+            return False
+        names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
+        named = bool(names) and tag not in ("body", "article", "main") and _AROUND.search(names) and not _ARTICLE.search(names)
+        return bool(named) or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+
     def _path(self) -> Iterator[Node]:
         node: Node | None = self.at
         while node is not None:
@@ -107,19 +112,11 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.at.items.append(data)
 
-    def handle_entityref(self, name: str) -> None:
-        self.at.items.append(f"&{name};")
-
-    def handle_charref(self, name: str) -> None:
-        self.at.items.append(f"&#{name};")
-
 
 def parse(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
-    rest = builder.rawdata
-    if rest and rest.strip():  # an unfinished tag or reference at the end is text
-        builder.at.items.append(rest if not rest.startswith("<") else "")
+    builder.close()
     return builder.root
 
 
@@ -144,7 +141,7 @@ def measure(root: Node) -> Node:
             continue
         for item in node.items:
             if isinstance(item, str):
-                node.chars += len(_SPACE.sub(" ", unescape(item)).strip())
+                node.chars += len(_SPACE.sub(" ", item).strip())
             elif not item.around:
                 node.chars += item.chars
                 node.tags += item.tags + 1
@@ -209,12 +206,12 @@ def article(body: Node) -> Node:
 
 
 def blocks(node: Node) -> list[str]:
-    """Text of a subtree by block, references decoded, white space made single."""
+    """Text of a subtree by block, white space made single. The parser has decoded the references."""
     out: list[str] = []
     now: list[str] = []
 
     def flush() -> None:
-        text = _SPACE.sub(" ", unescape("".join(now))).strip()
+        text = _SPACE.sub(" ", "".join(now)).strip()
         now.clear()
         if text:
             out.append(text)

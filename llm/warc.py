@@ -13,9 +13,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
-from html import unescape
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,24 +64,26 @@ class _LinkedTree(TreeBuilder):
         super().__init__()
         self.links: list[str] = []
 
+        self.title: Node | None = None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "a":
             self.links += [v for k, v in attrs if k == "href" and v]
         super().handle_starttag(tag, attrs)
+        if tag == "title" and self.title is None:
+            self.title = self.at
+
+    def surrounds(self, tag: str, attrs: list) -> bool:
+        return tag in _HIDDEN
 
 
 def page_parts(html: str) -> tuple[str, list[str], str]:
     """Title, links in page order and visible text (menus and the like included) of a page."""
     builder = _LinkedTree()
     builder.feed(html)
-    title, stack = "", [builder.root]
-    while stack:
-        node = stack.pop()
-        node.around = node.tag in _HIDDEN
-        if node.tag == "title" and not title:
-            title = " ".join(unescape("".join(x for x in node.items if isinstance(x, str))).split())
-        stack.extend(x for x in reversed(node.items) if isinstance(x, Node))
-    return title, builder.links, "\n".join(blocks(builder.root))
+    builder.close()
+    title = "".join(x for x in builder.title.items if isinstance(x, str)) if builder.title else ""
+    return " ".join(title.split()), builder.links, "\n".join(blocks(builder.root))
 
 
 def derive(record_id: str | None, uri: str | None, date: str | None, content_type: str | None, block: str | None) -> list[tuple]:
@@ -121,9 +121,9 @@ def derivatives(responses: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 rows = [r for one in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True) for r in derive(*one)]
-                frame = pd.DataFrame(rows, columns=names)
+                columns = zip(*rows, strict=True) if rows else [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(
-                    frame[n], pa.int64() if n == "content_length" else pa.string()) for n in names], names=names)
+                    c, pa.int64() if n == "content_length" else pa.string()) for n, c in zip(names, columns, strict=True)], names=names)
 
     return responses.select("record_id", "target_uri", "date", "content_type", "block").mapInArrow(run, SCHEMA)
 
