@@ -102,7 +102,7 @@ def test_json_store_keeps_whole_objects(spark, docs, tmp_path):
     assert doc["fields"]["status"] == {"name": "Open", "id": "3", "more": {"a": [1]}}
     assert doc["fields"]["assignee"] is None and doc["fields"]["comments"] is None
     assert doc["comments"][0]["author"] == {"displayName": "Bob", "active": True}
-    assert doc["fields"]["created"] == "2024-01-15 10:30:00+00:00"
+    assert doc["fields"]["created"] == "2024-01-09 08:45:12+00:00"
     row = read_store(spark, store, form="json").first()
     assert (row.key, row.project, row.comments[0].author, row.batch) == ("WEB-1", "WEB", "Bob", 0)
 

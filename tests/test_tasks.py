@@ -92,8 +92,8 @@ def test_all_tasks_metadata(docs):
     doc = issue(assignee={"displayName": "Zoe"}, comment={"comments": [comment("<i>ok</i>")]})
     line = json.loads(tasks.all_tasks(tasks.prepare(parse_issue(docs([doc])))).select(F.to_json(F.struct("*"))).first()[0])
     assert line["metadata"] == {
-        "issue_key": "WEB-1", "project": "WEB", "title": "Broken link", "status": "Open", "priority": "High",
-        "reporter": "Ann", "created": "2024-01-15T10:30:00+00:00", "updated": "2024-01-15T11:30:00+00:00",
+        "issue_key": "WEB-1", "project": "WEB", "title": "Broken link", "status": "Open", "priority": "Urgent",
+        "reporter": "Ann", "created": "2024-01-09T08:45:12+00:00", "updated": "2024-01-11T17:20:33+00:00",
         "assignee": "Zoe"}
     assert line["comments"] == [{"author": "Bob", "body": "ok", "created": "2024-01-16T08:00:00+00:00"}]
     assert list(line["tasks"]) == ["summarization", "classification", "qa"]
