@@ -1,4 +1,4 @@
-"""What several operators share: reading tables, stable row numbers, words, 64-bit mixing."""
+"""What several operators share: reading tables, keys of texts and rows, words, 64-bit mixing."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.session import written
-
 #: Words are runs of anything but the ASCII space and the controls from tab to carriage return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SQL_WORD = r"[^\x20\x09-\x0D]+"
@@ -19,14 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(df: DataFrame, label: str) -> DataFrame:
-    """``row_id`` (long, unique) and ``row`` (all columns as one struct), written once.
-
-    The numbers come from the write, so they stay the same for every later reader, also when an
-    executor is lost. The struct keeps columns of any name apart from an operator's own.
-    """
-    return written(df.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*[
-        F.col(f"`{c}`") for c in df.columns]).alias("row")), label)
+def row_key(df: DataFrame) -> Column:
+    """128 bits of a whole row, as text: rows that share it are the same in every column."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.concat_ws(":", F.xxhash64(F.lit(1), *columns), F.xxhash64(F.lit(2), *columns))
 
 
 def n_words(text: Column) -> Column:

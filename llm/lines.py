@@ -3,7 +3,7 @@
 Every run of three consecutive lines is a window, known by 128 bits of its lines. The first place of a
 window, by document id and position, stays; at every later place its three lines are covered, and the
 union of covered lines is removed. Lines are split at \\n and compared exactly; lines without a word
-are not part of any window and stay.
+are not part of any window and stay. Rows that share id and text are one document and treated alike.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import numbered, table
+from llm.common import content_key, table
 from ticketloom.functions.fence import computed_once
 
 WINDOW = 3
@@ -22,7 +22,7 @@ def _has_word(line: Column) -> Column:
 
 
 def covered_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``row_id, doc_id, text`` (stored) -> ``row_id, covered``: the places of lines to remove, for rows that have some.
+    """``doc_id, key, text`` -> ``doc_id, key, covered``: the places of lines to remove, for documents that have some.
 
     Only hashes and places are shuffled. A frequent window is summed up before the shuffle, and its
     later places meet the one first place in a join that Spark splits when it is skewed.
@@ -39,23 +39,24 @@ def covered_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
                         F.array(*[p["at"] for p in parts]).alias("at"))
 
     places = F.transform(F.sequence(F.lit(0), F.size("lines") - window), one)
-    windows = kept.select("row_id", "doc_id", F.inline(places))
-    # null ids come last; the row number settles repeated ids
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", F.col("at")[0].alias("at"))
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where(
-        "n > 1").select("h1", "h2", F.col("first.row_id").alias("of"), F.col("first.at").alias("from"))
-    later = windows.join(first, ["h1", "h2"]).where(
-        (F.col("row_id") != F.col("of")) | (F.col("at")[0] != F.col("from")))
-    return later.groupBy("row_id").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("covered"))
+    windows = kept.select("doc_id", "key", F.inline(places))
+    # null ids come last; the text's key settles repeated ids
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", F.col("at")[0].alias("at"))
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = windows.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where(place != F.col("first"))
+    return later.groupBy("doc_id", "key").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("covered"))
 
 
 def dedup_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``row_id, doc_id, text, ...`` -> the same with ``clean`` (null stays null), ``n_lines`` and ``n_removed``.
+    """``doc_id, text, ...`` -> the same with ``clean`` (null stays null), ``n_lines`` and ``n_removed``.
 
     Two lines that meet when those between them go are not compared again.
     """
-    covered = covered_lines(rows.select("row_id", "doc_id", "text"), window)
-    out = computed_once(rows.join(covered, "row_id", "left"), lines=F.split("text", "\n"))
+    keyed = rows.withColumn("key", content_key(F.col("text")))
+    covered = covered_lines(keyed.select("doc_id", "key", "text"), window).select(
+        F.col("doc_id").alias("of"), F.col("key").alias("with"), "covered")
+    found = keyed.join(covered, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("with")), "left")
+    out = computed_once(found, lines=F.split("text", "\n"))
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "covered")
     left = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")
     return out.select(
@@ -65,17 +66,16 @@ def dedup_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its deduplicated text. Repeated rows come one after another: the first keeps its lines."""
-    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"), "lines-rows")
-    return dedup_lines(docs.select("row_id", "row.*")).select(
+    """Every document with its deduplicated text."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("clean").alias("text"), "n_lines", "n_removed")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated lines; ``n_chars`` follows the text, and a text that loses every line is empty."""
-    rows = numbered(docs, "lines-rows")
-    clean = dedup_lines(rows.select("row_id", "row.doc_id", "row.text", "row"))
-    new = clean.select("row", "clean").withColumn("row", F.col("row").withField("text", F.col("clean")).withField(
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    clean = dedup_lines(rows).select("row", "clean")
+    new = clean.withColumn("row", F.col("row").withField("text", F.col("clean")).withField(
         "n_chars", F.when(F.col("clean").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(
             F.length("clean").cast("long"))))
     return new.select("row.*")

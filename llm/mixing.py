@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from llm.common import n_words, numbered, table
+from llm.common import n_words, row_key, table
 from ticketloom.session import written
 
 SHARE, MAX_PASSES, WEIGHTS = 1.5, 2, (3, 1, 2)
@@ -81,13 +81,13 @@ def running_total(df: DataFrame, group: list[str], order: list[str], place: Colu
 
 
 def fair_queue(items: DataFrame, share: float = SHARE, passes: int = MAX_PASSES,
-               weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``item, doc_id, source, size`` -> the same rows with ``source_size, target`` and ``copies``, how often the mix has them.
+               weights: tuple[int, ...] = WEIGHTS, extra: str | None = None) -> DataFrame:
+    """``item, doc_id, source, size`` (and a column to carry along) -> the same rows with ``source_size, target`` and ``copies``, how often the mix has them.
 
     ``item`` is a unique number. A row of size 0 and a source whose target is 0 get no copies. Rows
     that share an id follow one another by size, then by ``item``; a null source is a source of its own.
     """
-    items = written(items.withColumn("place", shuffle_key(F.col("doc_id"))), "mix-items")
+    items = written(items.withColumn("place", shuffle_key(F.col("doc_id"))), "mix-items")  # fixes the numbers
     spark = items.sparkSession
     targets = source_targets(items, share, passes, weights)
     n, budget = items.count(), targets.agg(F.sum("target")).first()[0] or 0.0
@@ -107,7 +107,8 @@ def fair_queue(items: DataFrame, share: float = SHARE, passes: int = MAX_PASSES,
         copies.withColumn("all", F.lit(0)), ["all"], ["finish", "source", "pass", *key], place, ranges * passes, "spent")
     counts = merged.where(F.col("spent") <= F.lit(budget)).groupBy("item").agg(F.count(F.lit(1)).alias("copies"))
     return rows.join(counts, "item", "left").select(
-        "item", "doc_id", "source", "size", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"))
+        "item", *([extra] if extra else []), "doc_id", "source", "size", "source_size", "target",
+        F.coalesce("copies", F.lit(0)).alias("copies"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,13 +120,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed corpus: each document as many times as the mix has copies of it, columns unchanged."""
-    rows = numbered(docs, "mix-rows")
+    """The mixed corpus: each document as many times as the mix has copies of it, columns unchanged.
+
+    Rows that are the same in every column are one row whose copies add up.
+    """
+    rows = docs.select(F.struct("*").alias("row"), row_key(docs).alias("key"))
     items = rows.select(
-        F.col("row_id").alias("item"), "row.doc_id", "row.source", n_words(F.col("row.text")).alias("size"))
-    copies = fair_queue(items).where("copies > 0").select(F.col("item").alias("row_id"), "copies")
-    return rows.join(copies, "row_id").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+        F.monotonically_increasing_id().alias("item"), "key", "row.doc_id", "row.source", n_words(F.col("row.text")).alias("size"))
+    copies = fair_queue(items, extra="key").groupBy("key").agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    found = rows.join(copies, "key")
+    once = found.where("rows = 1").unionAll(found.where("rows > 1").dropDuplicates(["key"]))
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 ORACLE = """
