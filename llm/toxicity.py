@@ -15,9 +15,9 @@ from __future__ import annotations
 import json
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -62,18 +62,17 @@ def tokens_of(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
-def grams(token: str, low: int = 4, high: int = 5) -> Iterator[str]:
-    """Letter sequences of a token, its start and end marked."""
+def grams(token: str) -> list[str]:
+    """Letter sequences of four and five of a token, its start and end marked."""
     marked = f"^{token}$"
-    for n in (low, high):
-        for i in range(len(marked) - n + 1):
-            yield marked[i:i + n]
+    n = len(marked)
+    return [marked[i:i + 4] for i in range(n - 3)] + [marked[i:i + 5] for i in range(n - 4)]
 
 
 class PerToken(dict):
     """What ``of`` says of a token, remembered within a bound."""
 
-    def __init__(self, of: Callable[[str], object], remembered: int = 300_000):
+    def __init__(self, of: Callable[[str], object], remembered: int = 600_000):
         super().__init__()
         self.of, self.remembered = of, remembered
 
@@ -88,8 +87,8 @@ def token_features(bits: PerToken) -> Callable[[str], list[int]]:
     """Features of a token: the voters it moves, then itself and its letter sequences by their hashes."""
     def of(token: str) -> list[int]:
         moved = bits[token]
-        return [i for i in range(VOTING) if moved >> i & 1] + [
-            VOTING + zlib.crc32(g.encode("utf-8", "surrogatepass")) % (FEATURES - VOTING) for g in {token, *grams(token)}]
+        hashed = [VOTING + crc32(g.encode()) % (FEATURES - VOTING) for g in (token, *grams(token))]
+        return [i for i in range(VOTING) if moved >> i & 1] + hashed if moved else hashed
     return of
 
 
@@ -138,10 +137,20 @@ LEXICONS = (INSULTS, CONTEMPT, THREATS, PROFANE, FOREIGN)
 
 def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
     """Bits of the voters that a token makes vote: the lexicons, then the mined groups."""
+    masks = {word: 0 for words in LEXICONS for word in words}
+    for i, words in enumerate(LEXICONS):
+        masks |= {word: masks[word] | 1 << i for word in words}
+    parts: dict[str, int] = {}
+    for i, group in enumerate(mined):
+        parts |= {g: parts.get(g, 0) | 1 << len(LEXICONS) + i for g in group}
+
     def of(token: str) -> int:
-        found = set(grams(token)) if any(mined) else set()
-        return sum(1 << i for i, words in enumerate(LEXICONS) if token in words) | sum(
-            1 << len(LEXICONS) + i for i, group in enumerate(mined) if not found.isdisjoint(group))
+        found = masks.get(token, 0)
+        for g in grams(token) if parts else ():
+            if g in parts:
+                found |= parts[g]
+        return found
+
     return PerToken(of)
 
 
