@@ -33,15 +33,15 @@ WIDTH, THRESHOLD = 5, 0.8
 #: 36 bands of 6: at similarity 0.8 all bands miss with probability 2e-5, at 0.3 a pair meets with probability 0.03.
 BANDS, ROWS = 36, 6
 K = BANDS * ROWS
-#: Of 216 coordinates, 173 agree on average at similarity 0.8; fewer than 134 do with probability below 1e-10.
-LEAST_EQUAL = 134
-#: Members of one block of a bucket; two blocks meet in one task at a time.
-BLOCK = 2048
+#: Of 216 coordinates, 173 agree on average at similarity 0.8; fewer than 146 do with probability 5e-6.
+LEAST_EQUAL = 146
+#: Texts and characters of one block of a bucket, on average; two blocks meet in one task at a time.
+BLOCK, BLOCK_CHARS = 2048, 16_000_000
 REMEMBERED = 400_000
 #: Cells of a text that are looked at in one step.
 GRID = 2_000_000
 
-_WORDS: dict[str, int] = {}
+_WORDS: dict[str, bytes] = {}
 
 
 def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -51,13 +51,12 @@ def shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0)
     if len(_WORDS) > REMEMBERED:
         _WORDS.clear()
-    ids = []
-    for w in words:
-        h = _WORDS.get(w)
-        if h is None:
-            h = _WORDS[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        ids.append(h)
-    hashes = np.array(ids, dtype=np.uint64)
+    ids = list(map(_WORDS.get, words))
+    if None in ids:
+        for w in {w for w, known in zip(words, ids, strict=True) if known is None}:
+            _WORDS[w] = xxhash.xxh64_digest(w.encode("utf-8", "surrogatepass"))
+        ids = map(_WORDS.__getitem__, words)
+    hashes = np.frombuffer(b"".join(ids), dtype=">u8").astype(np.uint64)
     n = max(1, len(hashes) - WIDTH + 1)
     with np.errstate(over="ignore"):
         out = np.full(n, min(len(hashes), WIDTH), dtype=np.uint64)
@@ -209,12 +208,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Those of the stored ``pairs`` whose texts reach the threshold, by their shingles themselves."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.select("node", "key", "doc_id").join(ends, "node")
-    texts = docs.select("doc_id", "text", content_key(F.col("text")).alias("key"))
-    # a text is looked up by its first document; only repeated rows can still give it twice
-    same = (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
-    found = written(texts.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "minhash-texts")
+    found = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs)
     full = pairs.join(found.select(F.col("node").alias("a"), F.col("text").alias("t_a")), "a").join(
         found.select(F.col("node").alias("b"), F.col("text").alias("t_b")), "b")
 
@@ -233,33 +227,113 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: floa
     return written(full.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long"), "minhash-links")
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Likely pairs of texts that share a bucket and that no links connect yet; compared in blocks, and none left out."""
+def _texts_of(ends: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node`` -> node, text: each text looked up by its first document; only repeated rows can still give it twice."""
+    wanted = nodes.select("node", "key", "doc_id").join(ends, "node")
+    texts = docs.select("doc_id", "text", content_key(F.col("text")).alias("key"))
+    same = (texts["key"] == wanted["key"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
+    return written(texts.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "minhash-texts")
+
+
+class Block:
+    """The weighted shingles of many texts, to compare one with many of them exactly."""
+
+    def __init__(self, texts: list[str]):
+        sets = [shingles(t) for t in texts]
+        self.starts = np.cumsum([0, *[len(v) for v, _ in sets]])
+        values = np.concatenate([v for v, _ in sets])
+        self.weights = np.concatenate([w for _, w in sets])
+        known, self.ids = np.unique(values, return_inverse=True)
+        self.totals = np.array([w.sum() for _, w in sets])
+        self.own = np.zeros(len(known))
+
+    def similar(self, i: int, to: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of text ``i`` with those of ``to``."""
+        mine = slice(self.starts[i], self.starts[i + 1])
+        self.own[self.ids[mine]] = self.weights[mine]
+        shared = np.empty(len(to))
+        for at in range(0, len(to), 64):
+            some = to[at:at + 64]
+            sizes = self.starts[some + 1] - self.starts[some]
+            ends = np.cumsum(sizes)
+            entries = np.arange(ends[-1]) + np.repeat(self.starts[some] - (ends - sizes), sizes)
+            least = np.minimum(self.weights[entries], self.own[self.ids[entries]])
+            shared[at:at + 64] = np.add.reduceat(least, ends - sizes)
+        self.own[self.ids[mine]] = 0
+        return shared / (self.totals[i] + self.totals[to] - shared)
+
+
+def _across(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Links between texts that share a bucket and that no links connect yet, as a forest per pair of blocks.
+
+    Every pair of a bucket's texts that the links so far leave apart is looked at, in blocks of bounded size;
+    what comes out is at most one link per text and pair of blocks.
+    """
     grouped = nodes.select("node", "sketch").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = buckets.select("band", "node").join(grouped.select("node", "root"), "node")
-    mixed = rows.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where(
-        "r1 <> r2").select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    members = rows.join(mixed, "band").join(nodes.select("node", "sketch"), "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), "blocks"))
-    sides = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root", "sketch")
+    mixed = rows.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band")
+    members = written(rows.join(mixed, "band"), "minhash-mixed")
+    texts = _texts_of(members.select("node").distinct(), nodes, docs)
+    sizes = members.join(texts.select("node", F.length("text").cast("long").alias("chars")), "node")
+    blocks = sizes.groupBy("band").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS)).alias("blocks"))
+    # buckets of one block share a group, as most are small; larger ones have a group per pair of blocks
+    n, chars = sizes.agg(F.count(F.lit(1)), F.sum("chars")).first()
+    together = max(1, n // BLOCK, (chars or 0) // BLOCK_CHARS)
+    sides = members.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root",
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("band"), F.lit(together))).otherwise(F.col("band")).alias("group"),
+        (F.col("blocks") == 1).alias("small"))
+    full = sides.join(nodes.select("node", "sketch"), "node").join(texts, "node")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
-        left, right = group[group["block"] == i], group[group["block"] == j]
-        y = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, K)
-        nodes_r, roots_r = right["node"].to_numpy(), right["root"].to_numpy()
+        cross = bool(group["i"].iloc[0] != group["j"].iloc[0])
+        group = group.sort_values(["band", "node"], kind="stable")
+        node, root, block = (group[c].to_numpy() for c in ("node", "root", "block"))
+        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, K)
+        band = group["band"].to_numpy()
+        ends = np.append(np.flatnonzero(band[1:] != band[:-1]) + 1, len(band))
+        likely: list[tuple[int, np.ndarray]] = []
+        start = 0
+        for end in ends.tolist():
+            for k in range(start, end - 1):
+                rest = np.arange(k + 1, end)
+                apart = root[k + 1:end] != root[k]
+                if cross:
+                    apart &= block[k + 1:end] != block[k]
+                rest = rest[apart]
+                if len(rest):
+                    rest = rest[(sketch[rest] == sketch[k]).sum(axis=1) >= LEAST_EQUAL]
+                    if len(rest):
+                        likely.append((k, rest))
+            start = end
         a, b = [], []
-        for node, root, sketch in zip(left["node"], left["root"], left["sketch"], strict=True):
-            to = np.flatnonzero((roots_r != root) & ((nodes_r > node) if i == j else True))
-            if len(to):
-                equal = (y[to] == np.frombuffer(sketch, np.uint8)).sum(axis=1)
-                hits = nodes_r[to[equal >= LEAST_EQUAL]]
-                a += [node] * len(hits)
-                b += hits.tolist()
+        if likely:
+            used = np.unique(node[np.concatenate([[k for k, _ in likely], *(r for _, r in likely)])])
+            first = pd.Series(np.arange(len(node)), index=node).groupby(level=0).first()
+            text = group["text"].to_numpy()
+            exact = Block(text[first.loc[used].to_numpy()].tolist())
+            label = {r: r for r in root.tolist()}  # union of roots, by path halving
+
+            def top(r: int) -> int:
+                while label[r] != r:
+                    label[r] = r = label[label[r]]
+                return r
+
+            for k, rest in likely:
+                rest = rest[[top(int(root[o])) != top(int(root[k])) for o in rest]]
+                if len(rest):
+                    near = exact.similar(int(np.searchsorted(used, node[k])), np.searchsorted(used, node[rest])) >= threshold
+                    for other in rest[near].tolist():
+                        x, y = top(int(root[other])), top(int(root[k]))
+                        if x != y:
+                            label[max(x, y)] = min(x, y)
+                            a.append(node[k])
+                            b.append(node[other])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    return sides.groupBy("band", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return written(full.groupBy("small", "group", "i", "j").applyInPandas(compare, "a long, b long"), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -281,9 +355,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pairs = buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     links = _linked(written(_likely(pairs, nodes), "minhash-pairs"), nodes, docs, threshold)
     roots = components(links)
-    more = written(_across(buckets, nodes, roots), "minhash-pairs")
+    more = _across(buckets, nodes, docs, roots, threshold)
     if not more.isEmpty():
-        roots = components(links.unionAll(_linked(more, nodes, docs, threshold)))
+        roots = components(links.unionAll(more))
     # rows -> the node of their text -> its root; a row without words is its own
     owned = rows.select("row_id", "doc_id", "key").join(copies, "key", "left").withColumn(
         "node", F.coalesce("node", "row_id")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
