@@ -3,7 +3,8 @@
 Every run of three consecutive lines is a window, known by 128 bits of its lines. The first place of a
 window, by document id and position, stays; at every later place its three lines are covered, and the
 union of covered lines is removed. Lines are split at \\n and compared exactly; lines without a word
-are not part of any window and stay. Rows that share id and text are one document and treated alike.
+are not part of any window and stay. Rows that repeat id and text are places of their own: one of them,
+which does not matter, keeps its lines.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import content_key, table
+from llm.common import table
 from ticketloom.functions.fence import computed_once
 
 WINDOW = 3
@@ -22,7 +23,7 @@ def _has_word(line: Column) -> Column:
 
 
 def covered_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, key, text`` -> ``doc_id, key, covered``: the places of lines to remove, for documents that have some.
+    """``row_id, doc_id, text`` -> ``row_id, covered``: the places of lines to remove, for rows that have some.
 
     Only hashes and places are shuffled. A frequent window is summed up before the shuffle, and its
     later places meet the one first place in a join that Spark splits when it is skewed.
@@ -39,23 +40,25 @@ def covered_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
                         F.array(*[p["at"] for p in parts]).alias("at"))
 
     places = F.transform(F.sequence(F.lit(0), F.size("lines") - window), one)
-    windows = kept.select("doc_id", "key", F.inline(places))
-    # null ids come last; the text's key settles repeated ids
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", F.col("at")[0].alias("at"))
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = windows.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where(place != F.col("first"))
-    return later.groupBy("doc_id", "key").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("covered"))
+    windows = kept.select("row_id", "doc_id", F.xxhash64("text").alias("key"), F.inline(places))
+    # null ids come last; the text's hash settles repeated ids, the row number repeated texts
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", (-F.col("row_id")).alias("row"), F.col("at")[0].alias("at"))
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "h1", "h2", (-F.col("first.row")).alias("of"), F.col("first.at").alias("from"))
+    later = windows.select("row_id", "h1", "h2", "at").join(first, ["h1", "h2"]).where(
+        (F.col("row_id") != F.col("of")) | (F.col("at")[0] != F.col("from")))
+    return later.groupBy("row_id").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("covered"))
 
 
 def dedup_lines(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, text, ...`` -> the same with ``clean`` (null stays null), ``n_lines`` and ``n_removed``.
 
-    Two lines that meet when those between them go are not compared again.
+    Two lines that meet when those between them go are not compared again. ``rows`` is read twice and has to come
+    in the same order and partitions both times, as tables do: rows are known by their place, so that texts are not copied.
     """
-    keyed = rows.withColumn("key", content_key(F.col("text")))
-    covered = covered_lines(keyed.select("doc_id", "key", "text"), window).select(
-        F.col("doc_id").alias("of"), F.col("key").alias("with"), "covered")
-    found = keyed.join(covered, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("with")), "left")
+    placed = rows.withColumn("row_id", F.monotonically_increasing_id())
+    covered = covered_lines(placed.select("row_id", "doc_id", "text"), window)
+    found = placed.join(covered, "row_id", "left")
     out = computed_once(found, lines=F.split("text", "\n"))
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "covered")
     left = F.array_join(F.transform(places, lambda i: F.get("lines", i)), "\n")

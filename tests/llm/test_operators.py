@@ -231,6 +231,15 @@ def test_later_windows_go_and_first_stay(spark, docs):
     assert got[12] == ("stupid idiot\n" * 3, 5)  # eight equal lines: the first window stays, the final empty line too
 
 
+def test_one_of_repeated_and_null_id_rows_keeps_its_lines(spark, tmp_path):
+    data = [(7, LINES)] * 3 + [(None, "n " + LINES)] * 40 + [(8, LINES), (9, "own one\nown two\nown three")]
+    spark.createDataFrame(data, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = collections.Counter(tuple(r) for r in lines.op5_line_dedup(spark, str(tmp_path)).select("doc_id", "text", "n_removed").collect())
+    # the null-id texts share the window of lines two to four with document 7
+    assert got == {(7, LINES, 0): 1, (7, "", 4): 2, (8, "", 4): 1, (9, "own one\nown two\nown three", 0): 1,
+                   (None, "n alpha one two", 3): 1, (None, "", 4): 39}
+
+
 # --- op6 ---
 
 
