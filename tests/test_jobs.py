@@ -12,7 +12,7 @@ from ticketloom.plans.ingest import ingest, read_quarantine
 from ticketloom.sinks.tables import read_store, save_processed, save_progress, stored_json
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import load_processed, load_progress
-from ticketloom.streaming.jobs import append_by_batch, run_available, stream_corpus, stream_dedupe, stream_dedupe_ledger
+from ticketloom.streaming.jobs import append_by_batch, run_available, stream_corpus, stream_dedupe, stream_dedupe_ledger, stream_progress
 
 
 def put(folder: Path, name: str, doc) -> None:
@@ -176,6 +176,18 @@ def test_late_rows_are_kept_in_any_order_of_deliveries(spark, tmp_path):
     assert kept == {200, 1, 90, 150}
 
 
+def test_two_checkpoints_share_a_folder(spark, tmp_path):
+    schema = "key string, project string, updated timestamp_ntz"
+    at, day = str(tmp_path / "at"), datetime(2024, 1, 1)
+    for name in ("one", "two"):
+        spark.createDataFrame([(name, name, day)], schema).coalesce(1).write.parquet(f"{at}/in-{name}")
+        feed = spark.readStream.schema(schema).parquet(f"{at}/in-{name}")
+        stream_dedupe_ledger(feed, f"{at}/cp-{name}", f"{at}/ledger", timedelta(days=4))
+        stream_progress(feed, f"{at}/cp2-{name}", f"{at}/ledger")
+    assert {r.key for r in spark.read.parquet(f"{at}/ledger/kept").collect()} == {"one", "two"}
+    assert {r.project for r in spark.read.parquet(f"{at}/ledger/progress").collect()} == {"one", "two"}
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     landing, at = tmp_path / "landing", str(tmp_path / "at")
     put(landing, "WEB/1.json", issue("WEB-1"))

@@ -47,10 +47,13 @@ def run_available(df: DataFrame, checkpoint: str, each_batch: Callable[[DataFram
     return query
 
 
-def append_by_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink with one folder per batch number, replaced when the batch is run again."""
+def append_by_batch(path: str, writer: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Sink with one folder per batch number, replaced when the batch is run again.
+
+    Checkpoints that share ``path`` need a ``writer`` each, as each of them counts from 0.
+    """
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(batch_path(path, writer, batch) if writer else f"{path}/batch={batch}")
     return write
 
 
@@ -70,15 +73,15 @@ def stream_dedupe_ledger(issues: DataFrame, checkpoint: str, folder: str, ttl: t
     """The same rule with the ledger as state, and a hot key cut down before the shuffle.
 
     A row is dropped only if a kept row of its key lies within ``ttl`` of it, before or after; being late is no
-    reason. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``.
+    reason. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``, both by writer and batch.
     """
     writer = stream_writer(checkpoint)
 
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         fresh = drop_marked(rows, load_processed(spark, folder, without=(writer, batch)), ttl)
-        append_by_batch(f"{folder}/kept")(dedupe_ttl(fresh, ttl), batch)
-        kept = spark.read.parquet(f"{folder}/kept/batch={batch}")
+        append_by_batch(f"{folder}/kept", writer)(dedupe_ttl(fresh, ttl), batch)
+        kept = spark.read.parquet(batch_path(f"{folder}/kept", writer, batch))
         save_processed(kept.select("key", F.col("updated").alias("processed_at")), folder, batch, writer)
 
     return run_available(issues, checkpoint, each)
@@ -89,7 +92,7 @@ def stream_progress(issues: DataFrame, checkpoint: str, folder: str) -> Streamin
     marks = (
         issues.filter(F.trim(F.coalesce("project", F.lit(""))) != "")
         .groupBy("project").agg(F.max("updated").alias("last_update")))
-    return run_available(marks, checkpoint, append_by_batch(f"{folder}/progress"), mode="update")
+    return run_available(marks, checkpoint, append_by_batch(f"{folder}/progress", stream_writer(checkpoint)), mode="update")
 
 
 def stream_corpus(spark: SparkSession, landing: str, checkpoint: str, store: str, state: str, corpus: str,
