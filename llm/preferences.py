@@ -27,16 +27,17 @@ def rendered(role: Column, text: Column) -> Column:
     return F.concat(rendered_header(role), F.coalesce(text, F.lit("")), F.lit("<|end|>\n"))
 
 
-def running(df: DataFrame, group: list[str], order: str, value: Column, name: str) -> DataFrame:
+def running(df: DataFrame, group: list[str], order: str | list[str], value: Column, name: str, ranges: Column | None = None) -> DataFrame:
     """Sum of ``value`` over the rows of a group that come before in ``order`` (0, 1, 2, ...), whatever the group's size.
 
-    Ranges of RANGE_TURNS are summed by their own tasks; totals of earlier ranges are added.
+    Ranges of RANGE_TURNS are summed by their own tasks; totals of earlier ranges are added. Any other order needs its
+    ``ranges``, which are not null and follow it.
     """
-    cut = df.withColumn("_value", value).withColumn("_range", F.floor(F.col(order) / RANGE_TURNS))
+    cut = df.withColumn("_value", value).withColumn("_range", F.floor(F.col(order) / RANGE_TURNS) if ranges is None else ranges)
     before = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     totals = cut.groupBy(*group, "_range").agg(F.sum("_value").alias("_sum")).select(
         *group, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy(*group, "_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*group, "_range").orderBy(*([order] if isinstance(order, str) else order)).rowsBetween(W.unboundedPreceding, -1)
     return cut.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0))).join(
         totals, [*group, "_range"]).withColumn(name, F.col("_start") + F.col("_inside")).drop(
         "_value", "_range", "_start", "_inside")
@@ -80,11 +81,15 @@ def preference_pairs(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Chosen is the conversation. Rejected has its turns up to the last assistant turn, which it replaces, with what
     follows, by the turns of the neighbour (id xor 1) from that one's last assistant turn on. Without an assistant
-    turn the replacement begins at the first turn. Repeated rows of a turn count once, the smallest by role and text.
+    turn the replacement begins at the first turn. Every row is a turn, in the order of turn (null last), role and text;
+    rows without a turn are ordered by a hash first, so that any number of them is spread.
     """
-    rows = turns.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(
-        F.min(F.struct("role", "text")).alias("t")).select("conv_id", "turn", "t.role", "t.text")
-    rows = running(rows.withColumn("_all", F.lit(1)), ["conv_id"], "turn", F.lit(1), "position").drop("_all")
+    rows = turns.where("conv_id is not null").groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n")).withColumns({
+        "none": F.col("turn").isNull(), "part": F.when(F.col("turn").isNull(), F.pmod(F.xxhash64("role", "text"), F.lit(256))).otherwise(0)})
+    ranges = F.struct("none", F.coalesce(F.floor(F.col("turn") / RANGE_TURNS), F.lit(0)).alias("turns"), "part")
+    rows = running(rows, ["conv_id"], ["none", "turn", "part", "role", "text"], F.col("n"), "before", ranges)
+    copies = rows.select("conv_id", "turn", "role", "text", "before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
+    rows = copies.select("conv_id", "turn", "role", "text", (F.col("before") + F.col("copy")).alias("position"))
     last = rows.groupBy("conv_id").agg(F.coalesce(
         F.max(F.when(F.col("role") == "assistant", F.col("position"))), F.lit(0)).alias("last"))
     cut = rows.join(last, "conv_id")

@@ -124,6 +124,25 @@ def test_long_conversations_are_placed_in_ranges(spark):
         at += len(r["segment"])
 
 
+def test_every_row_of_a_turn_is_kept_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    turns = [(0, 0, "user", "hi"), (0, 1, "assistant", "same"), (0, 1, "assistant", "same"), (0, None, "user", "no turn"),
+             (1, 0, "user", "hi"), (1, 3, "assistant", "b"), (None, 0, "user", "q")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = preferences.op1_preference_format(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", turns)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({preferences.ORACLE})").fetchall()
+    assert rows_of(got, *got.columns) == sorted(want, key=repr)
+    retried = spark.createDataFrame([(0, 1, "assistant", t) for t in ("a", "b")] + [(0, None, "user", str(i)) for i in range(700)], "conv_id long, turn long, role string, text string")
+    chosen, _ = preferences.preference_pairs(retried)
+    rows = chosen.orderBy("position").collect()
+    assert [r["position"] for r in rows] == list(range(702)) and [r["text"] for r in rows[:2]] == ["a", "b"]
+    assert {r["text"] for r in rows[2:]} == {str(i) for i in range(700)}
+
+
 # --- op2 ---
 
 
