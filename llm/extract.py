@@ -26,9 +26,13 @@ DROPPED = frozenset("head title script style noscript template nav footer aside
 BLOCKS = frozenset((
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul").split())
+#: End tags of these close whatever is open inside; any other end tag stays inside its block.
+CONTAINERS = BLOCKS | DROPPED
+#: What may stand in the head; anything else ends it, as both </head> and <body> may be left out.
+HEAD_CONTENT = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 #: An element that opens closes those of the first set up to one of the second.
 CLOSES = {
-    **{t: (frozenset({"p"}), frozenset({"table", "td", "th", "button"})) for t in BLOCKS - {"html", "body", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}},
+    **{t: (frozenset({"p"}), frozenset({"table", "td", "th", "button"})) for t in (BLOCKS | {"aside", "dialog", "footer", "form", "menu", "nav"}) - {"html", "body", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}},
     "li": (frozenset({"li", "p"}), frozenset({"ul", "ol"})),
     "dt": (frozenset({"dt", "dd", "p"}), frozenset({"dl"})), "dd": (frozenset({"dt", "dd", "p"}), frozenset({"dl"})),
     "tr": (frozenset({"tr", "td", "th", "p"}), frozenset({"table"})),
@@ -64,8 +68,10 @@ class TreeBuilder(HTMLParser):
         self.root = self.at = Node("html", None)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("html", "body") and tag == "html":
+        if tag == "html" or tag == "body" and any(n.tag == "body" for n in self._path()):
             return
+        if self.at.tag == "head" and tag not in HEAD_CONTENT:
+            self._leave_head(tag)
         if tag in CLOSES:
             closed, until = CLOSES[tag]
             node, last = self.at, None
@@ -75,13 +81,19 @@ class TreeBuilder(HTMLParser):
                 node = node.parent
             if last is not None and last.parent is not None:
                 self.at = last.parent
-        if tag == "body" and self.at.tag == "head":
-            self.at = self.at.parent or self.root
         node = Node(tag, self.at, self.surrounds(tag, attrs))
         self.at.items.append(node)
         if tag not in VOID:
             self.at = node
 
+    def _leave_head(self, tag: str | None = None) -> None:
+        """Close the head; unless ``tag`` is the body itself, open the body that the page leaves out."""
+        self.at = self.at.parent or self.root
+        if tag != "body":
+            body = Node("body", self.at)
+            self.at.items.append(body)
+            self.at = body
+
     def surrounds(self, tag: str, attrs: list) -> bool:
         """Is this element around the main text, by its name or by what its attributes say?"""
         if tag in DROPPED or tag == "header" and not any(p.tag in ("article", "main") for p in self._path()):
@@ -106,10 +118,12 @@ class TreeBuilder(HTMLParser):
             if node.tag == tag and node.parent is not None:
                 self.at = node.parent
                 return
-            if tag not in BLOCKS and node.tag in BLOCKS:
+            if tag not in CONTAINERS and node.tag in CONTAINERS:
                 return  # an inline element is not closed from inside another block
 
     def handle_data(self, data: str) -> None:
+        if self.at.tag == "head" and data.strip():
+            self._leave_head()
         self.at.items.append(data)
 
 

@@ -363,6 +363,25 @@ def test_article_without_what_surrounds_it():
 
 # --- op10 ---
 
+@pytest.mark.parametrize("around", [
+    "<aside><p>Note</aside>", "<nav><ul><li>Home</nav>", "<form><p>Search<input></form>", "<noscript><p>Note</noscript>",
+    "<footer><div><p>Note</footer>", "<p>Text<aside><p>Note</aside>", "<dialog><table><tr><td>Note</dialog>"])
+def test_what_surrounds_ends_with_its_end_tag(around):
+    body = "<p>The article has a sentence of many words in it.<p>And it has a second one that is as long."
+    for page in (f"<body><div>{around}{body}</div>", f"<head><title>T</title><body><div>{around}{body}</div>"):
+        text = extract.main_text(page)
+        assert "many words" in text and "as long" in text and "Note" not in text and "Home" not in text and "Search" not in text
+
+
+@pytest.mark.parametrize("start", ["<head>", "<html><head><title>T</title>", "<head><meta charset=utf-8><style>p{}</style><noscript><img></noscript>"])
+def test_the_head_ends_where_content_begins(start):
+    for first, later in (("<p>", ""), ("", ""), ("<div>", "</div></head><body><p>And more.")):
+        page = f"{start}{first}The article has a sentence.{later}"
+        assert extract.main_text(page).startswith("The article has a sentence.")
+        assert "The article" in warc.page_parts(page)[2]
+
+
+
 
 def test_signatures_agree_like_weighted_jaccard():
     rng = np.random.default_rng(10)
