@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from llm.common import table
 from ticketloom.session import written
 
-#: Labelled texts that voters are mined from at most, and texts that the classifier is fitted on at most.
-MINE_ROWS, FIT_ROWS = 9_000, 6_000
+#: Texts that the classifier is fitted on at most.
+FIT_ROWS = 6_000
 #: Hashed features, those of them that the classifier weighs, and letter sequences of the learned voters.
 FEATURES, CHOSEN, MINED = 1 << 18, 3_000, 600
 #: Voters that single tokens move: five lexicons and three mined groups.
@@ -267,13 +267,13 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """``doc_id, text`` and ``doc_id, toxic`` -> the fitted model, a few hundred kB.
 
-    Only labels of ids outside the held-out fold are read, and of those at most MINE_ROWS, by hash; an id with
-    several labels is toxic if one says so.
+    Only labels of ids outside the held-out fold are read, and all of those: they mine the voters, give the prior
+    and start the label model. An id with several labels is toxic if one says so.
     """
     some = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    marks = written(some(labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
-        "doc_id").agg(F.max("toxic").cast("int").alias("toxic")), MINE_ROWS), "toxic-marks")
-    marked = written(_texts(docs, marks).select("doc_id", "text", "toxic"), "toxic-marked")
+    marks = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
+        "doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = written(docs.join(marks, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), "toxic-marked")
     found = mine(marked)
     groups = tuple(frozenset(found[k::3]) for k in range(3))
 
@@ -302,7 +302,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     soft = dict(zip([json.dumps(p) for p, _ in counted], posterior(patterns, weights, bias).tolist(), strict=True))
     # the fitting sample: labelled texts, which also set offset and scale, and any texts
     any_ids = some(docs.where("doc_id is not null").select("doc_id").distinct(), FIT_ROWS // 3)
-    sample = some(marked, FIT_ROWS - FIT_ROWS // 3).unionByName(
+    marked_ids = some(marked.select("doc_id"), FIT_ROWS - FIT_ROWS // 3)
+    sample = _texts(marked, marked_ids).select("doc_id", "text", "toxic").unionByName(
         _texts(docs, any_ids).select("doc_id", "text", F.lit(None).cast("int").alias("toxic")))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -344,24 +344,24 @@ def test_scores_on_held_out_documents(spark):
     assert right >= 0.95 * len(rows) and all(0 <= r["score"] <= 1 for r in rows)
 
 
-# --- op9 ---
+def test_all_labels_outside_the_fold_are_mined(spark, monkeypatch):
+    class Seen(Exception):
+        pass
 
-PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><a href=1>Home</a></nav>
-<div id="wrap"><div class="sidebar"><ul><li><a href=2>Old post one two three</a></ul></div><div class="post-content"><h2>My &eacute; title</h2>
-<p>First para with  a lot of text that goes on and on, certainly.<p>Second one, <a href=3>with link</a>, also long enough to count here.
-<ul><li>item one<li>item two</ul><div class="share">Tweet</div><form><input><label>Mail</label></form></div>
-<div id="comments"><h3>Comments</h3><div class="comment"><p>I really liked this very long comment which has many words in it, so many words.</p></div></div></div>
-<div class="cookie-notice">We use cookies</div><footer>c 2020</footer></body></html>"""
+    def seen(texts):
+        raise Seen(texts.count())
 
+    monkeypatch.setattr(toxicity, "mine", seen)
+    docs = spark.range(15_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 20 == 0).cast("int").alias("toxic"))
+    with pytest.raises(Seen) as found:
+        toxicity.fit(docs, labels)
+    outside = docs.where(~toxicity.held_out(F.col("doc_id"))).count()
+    assert found.value.args == (outside,) and outside > 9_000
 
-def test_article_without_what_surrounds_it():
-    assert extract.main_text(PAGE) == (
-        "My é title\nFirst para with a lot of text that goes on and on, certainly.\nSecond one, with link, also long enough to count here.\nitem one\nitem two")
-    assert extract.main_text(None) == extract.main_text("") == extract.main_text("<nav>menu</nav>") == ""
-    assert extract.main_text("<div>" * 5000 + "deep") == "deep" and extract.main_text("<p>a<br>b &lt; c") == "a b < c"
 
+# --- op9 ---
 
-# --- op10 ---
 
 @pytest.mark.parametrize("around", [
     "<aside><p>Note</aside>", "<nav><ul><li>Home</nav>", "<form><p>Search<input></form>", "<noscript><p>Note</noscript>",
@@ -381,6 +381,22 @@ def test_the_head_ends_where_content_begins(start):
         assert "The article" in warc.page_parts(page)[2]
 
 
+PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><a href=1>Home</a></nav>
+<div id="wrap"><div class="sidebar"><ul><li><a href=2>Old post one two three</a></ul></div><div class="post-content"><h2>My &eacute; title</h2>
+<p>First para with  a lot of text that goes on and on, certainly.<p>Second one, <a href=3>with link</a>, also long enough to count here.
+<ul><li>item one<li>item two</ul><div class="share">Tweet</div><form><input><label>Mail</label></form></div>
+<div id="comments"><h3>Comments</h3><div class="comment"><p>I really liked this very long comment which has many words in it, so many words.</p></div></div></div>
+<div class="cookie-notice">We use cookies</div><footer>c 2020</footer></body></html>"""
+
+
+def test_article_without_what_surrounds_it():
+    assert extract.main_text(PAGE) == (
+        "My é title\nFirst para with a lot of text that goes on and on, certainly.\nSecond one, with link, also long enough to count here.\nitem one\nitem two")
+    assert extract.main_text(None) == extract.main_text("") == extract.main_text("<nav>menu</nav>") == ""
+    assert extract.main_text("<div>" * 5000 + "deep") == "deep" and extract.main_text("<p>a<br>b &lt; c") == "a b < c"
+
+
+# --- op10 ---
 
 
 def test_signatures_agree_like_weighted_jaccard():
