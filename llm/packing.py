@@ -1,11 +1,11 @@
 """Packing documents into token sequences by length patterns.
 
-The histogram of piece lengths, in bins of a few tokens, is all that planning needs. Patterns of up
-to three bins that fill a sequence are enumerated, and non-negative least squares fits how often each
-is used so that together they use up the histogram. The repeats are rounded down to what is there; the
-rest of the histogram is packed best-fit, longest first, into new sequences and into the room left.
-The plan has a number of rows bounded by the bins, whatever the corpus; pieces find their places in
-it by their rank inside their bin.
+The histogram of piece lengths is all that planning needs. Patterns of up to three bins of a few tokens that
+fill a sequence are enumerated, and non-negative least squares fits how often each is used so that together
+they use up the histogram. The repeats are rounded down to what is there and take the longest pieces of their
+bins; the rest of the histogram, in exact lengths, is packed best-fit, longest first.
+The plan has a number of rows bounded by the lengths, whatever the corpus; pieces find their places in
+it by their rank among pieces of their length.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -175,11 +176,34 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
     return x
 
 
-def plan_patterns(histogram: dict[int, int], bins: int, parts: int = PATTERN) -> list[tuple[tuple[int, ...], int]]:
-    """``{bin: pieces}`` -> ``[(bins of a sequence, repeats)]`` that uses every piece exactly once."""
+def _longest(exact: np.ndarray, pattern: list[int], repeats: int, width: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Take the longest pieces that fit a pattern of bins out of ``exact``: the lengths taken, and how often."""
+    while repeats:
+        taken: dict[int, int] = defaultdict(int)
+        kind = []
+        for size in pattern:
+            length = next(x for x in range(size * width, (size - 1) * width, -1) if exact[x] > taken.get(x, 0))
+            taken[length] += 1
+            kind.append(length)
+        n = min(repeats, *(int(exact[x]) // c for x, c in taken.items()))
+        for x, c in taken.items():
+            exact[x] -= n * c
+        repeats -= n
+        yield tuple(kind), n
+
+
+def plan_patterns(histogram: dict[int, int], capacity: int, parts: int = PATTERN, width: int = 1) -> list[tuple[tuple[int, ...], int]]:
+    """``{length: pieces}`` -> ``[(lengths in a sequence, repeats)]`` that uses every piece exactly once.
+
+    Patterns count in bins of ``width``, best fit in exact lengths.
+    """
+    bins = capacity // width
+    exact = np.zeros(capacity + 1, dtype=np.int64)
     left = np.zeros(bins + 1, dtype=np.int64)
     for size, n in histogram.items():
-        left[size] = n
+        exact[size] = n
+        if size <= bins * width:
+            left[-(-size // width)] += n
     plan: dict[tuple[int, ...], int] = defaultdict(int)
     present = set(np.flatnonzero(left).tolist())
     options = [p for p in patterns(bins, parts).tolist() if all(s == 0 or s in present for s in p)]
@@ -197,14 +221,15 @@ def plan_patterns(histogram: dict[int, int], bins: int, parts: int = PATTERN) ->
             repeats = min(int(round(wanted[j])), int((left[sizes] // need[sizes]).min()))
             if repeats > 0:
                 left -= repeats * need
-                plan[tuple(s for s in options[j] if s)] += repeats
+                for kind, n in _longest(exact, [s for s in options[j] if s], repeats, width):
+                    plan[kind] += n
     open_: dict[int, dict[tuple[int, ...], int]] = defaultdict(dict)  # room -> kinds of sequences with it
-    for size in range(bins, 0, -1):
-        n = int(left[size])
+    for size in range(capacity, 0, -1):
+        n = int(exact[size])
         while n:
             room = min((r for r in open_ if r >= size and open_[r]), default=None)
             if room is None:
-                kind, have, room = (), n, bins
+                kind, have, room = (), n, capacity
             else:
                 kind, have = open_[room].popitem()
             fit = room // size  # best fit fills the tightest sequence until nothing more goes in
@@ -226,45 +251,50 @@ def plan_patterns(histogram: dict[int, int], bins: int, parts: int = PATTERN) ->
 
 
 def slots(plan: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
-    """The plan as rank ranges: of bin ``bin``, ranks ``low`` to ``low + n - 1`` sit at ``slot`` of sequences from ``first`` on."""
+    """The plan as rank ranges: of length ``size``, the ``n`` ranks from ``low`` on sit ``each`` to a sequence, from sequence
+    ``first`` and slot ``slot`` on."""
     rows, next_rank, first = [], defaultdict(int), 0
     for kind, repeats in plan:
-        for slot, size in enumerate(kind):
-            rows.append((size, next_rank[size], repeats, first, slot))
-            next_rank[size] += repeats
+        slot = 0
+        for size, run in groupby(kind):
+            each = len(list(run))
+            rows.append((size, next_rank[size], repeats * each, first, slot, each))
+            next_rank[size] += repeats * each
+            slot += each
         first += repeats
-    return pd.DataFrame(rows, columns=["bin", "low", "n", "first", "slot"], dtype="int64")
+    return pd.DataFrame(rows, columns=["size", "low", "n", "first", "slot", "each"], dtype="int64")
 
 
 def packed(pieces: DataFrame, capacity: int = CAPACITY, width: int = BIN) -> DataFrame:
     """``pieces`` (a stored table with ``row_id, piece, length``) with ``sequence_id`` and ``offset``.
 
-    Ranks inside a bin come from counters over hashed parts of it, so that a bin of any size is spread.
-    The plan is at most a few thousand rows: bins x patterns kept, never more with more documents.
+    Ranks inside a length come from counters over hashed parts of it, so that a length of any size is spread.
+    The plan is bounded by the lengths and the patterns kept, never more with more documents.
     """
     spark = pieces.sparkSession
-    bins = -(-capacity // width)
-    cut = pieces.withColumn("bin", F.ceil(F.col("length") / width))
-    counts = cut.groupBy("bin").count().collect()  # one row per bin
+    cut = pieces.withColumn("size", F.col("length").cast("long"))
+    counts = cut.groupBy("size").count().collect()  # one row per length
     total = sum(r["count"] for r in counts)
-    plan = slots(plan_patterns({int(r["bin"]): r["count"] for r in counts}, bins))
+    plan = slots(plan_patterns({int(r["size"]): r["count"] for r in counts}, capacity, width=width))
     parts = max(1, total // RANK_ROWS)
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("row_id", "piece"), F.lit(parts)))
-    before = W.partitionBy("bin").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
-    starts = salted.groupBy("bin", "salt").agg(F.count(F.lit(1)).alias("n")).select(
-        "bin", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_rank"))
-    inside = W.partitionBy("bin", "salt").orderBy("row_id", "piece")
-    ranked = salted.withColumn("in_rank", F.row_number().over(inside) - 1).join(starts, ["bin", "salt"]).withColumn(
+    before = W.partitionBy("size").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    starts = salted.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n")).select(
+        "size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_rank"))
+    inside = W.partitionBy("size", "salt").orderBy("row_id", "piece")
+    ranked = salted.withColumn("in_rank", F.row_number().over(inside) - 1).join(starts, ["size", "salt"]).withColumn(
         "rank", F.col("in_rank") + F.col("start_rank"))
-    # ranks of a bin -> the one range that holds them: ranges of a bin are bounded by the plan
-    ranges = spark.createDataFrame(plan, "bin long, low long, n long, first long, slot long").groupBy("bin").agg(
-        F.sort_array(F.collect_list(F.struct("low", "n", "first", "slot"))).alias("ranges"))
+    # ranks of a length -> the one range that holds them: ranges of a length are bounded by the plan
+    ranges = spark.createDataFrame(plan, "size long, low long, n long, first long, slot long, each long").groupBy("size").agg(
+        F.sort_array(F.collect_list(F.struct("low", "n", "first", "slot", "each"))).alias("ranges"))
     at = F.filter("ranges", lambda r: (r["low"] <= F.col("rank")) & (F.col("rank") < r["low"] + r["n"]))[0]
-    placed = ranked.join(F.broadcast(ranges), "bin").withColumn("at", at).withColumn(
-        "sequence_id", F.col("at.first") + F.col("rank") - F.col("at.low")).withColumn("slot", F.col("at.slot"))
+    placed = ranked.join(F.broadcast(ranges), "size").withColumn("at", at).withColumn(
+        "in_range", F.col("rank") - F.col("at.low")).withColumn(
+        "sequence_id", F.col("at.first") + F.floor(F.col("in_range") / F.col("at.each"))).withColumn(
+        "slot", F.col("at.slot") + F.col("in_range") % F.col("at.each"))
     earlier = W.partitionBy("sequence_id").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0))).drop(
-        "bin", "salt", "in_rank", "start_rank", "rank", "ranges", "at", "slot")
+        "size", "salt", "in_rank", "start_rank", "rank", "ranges", "at", "in_range", "slot")
 
 
 def default_tokenizer() -> str:

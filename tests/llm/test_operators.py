@@ -210,6 +210,15 @@ def test_plans_use_every_piece_once_and_few_sequences():
         assert sum(n for _, n in plan) <= 1.06 * least + 1
 
 
+def test_short_pieces_fill_sequences(spark):
+    lengths = [1] * 5000 + [2] * 9000 + [17, 33] * 600 + [3000] * 7
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "row_id long, piece int, length int")
+    got = packing.packed(packing.written(pieces, "short")).groupBy("sequence_id").agg(
+        F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"), F.count("*").alias("pieces")).collect()
+    assert all(r["n"] == r["end"] <= 4096 for r in got) and sum(r["pieces"] for r in got) == len(lengths)
+    assert len(got) <= -(-sum(lengths) // 4096) + 1
+
+
 def test_nnls_meets_its_conditions():
     rng = np.random.default_rng(5)
     a, b = rng.random((20, 40)), rng.random(20) * 5
