@@ -51,16 +51,19 @@ def test_ledger(spark):
     assert [r.key for r in dedupe.drop_processed(issues, ledger).collect()] == ["z"]
 
 
-def test_a_large_ledger_is_first_reduced_to_the_batch(spark):
+def test_the_ledger_is_first_reduced_to_the_batch(spark):
     ledger = spark.createDataFrame([("a", START), ("b", START)], "key string, processed_at timestamp_ntz")
     issues = spark.createDataFrame([("a",), ("a",), ("z",)], "key string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        fresh = dedupe.drop_processed(issues, ledger)
-        assert [r.key for r in fresh.collect()] == ["z"]
-        assert "LeftSemi" in fresh._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            fresh = dedupe.drop_processed(issues, ledger)
+            assert [r.key for r in fresh.collect()] == ["z"]
+            plans.append(fresh._jdf.queryExecution().optimizedPlan().toString())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("LeftSemi" in p and "LeftAnti" in p for p in plans)  # one plan, whatever the size
 
 
 def test_marks_hold_for_the_ttl(spark):
@@ -84,15 +87,45 @@ def chain(times, ttl):
     return kept
 
 
-@pytest.mark.parametrize("hot_rows", [100_000, 20])
-def test_ttl_counts_from_the_last_kept_row(feed, hot_rows):
+@pytest.mark.parametrize("ttl, ranges", [(timedelta(days=6, hours=5), 8), (timedelta(hours=1), 8), (timedelta(days=9), 40)])
+def test_ttl_counts_from_the_last_kept_row(spark, feed, ttl, ranges):
     rows, df = feed
-    ttl = timedelta(days=6, hours=5)
-    got = dedupe.dedupe_ttl(df, ttl, hot_rows=hot_rows).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)  # with 40 the hot key fills several ranges
+    try:
+        got = dedupe.dedupe_ttl(df, ttl).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
     want = {(k, t) for k in {r[0] for r in rows} for t in chain([r[2] for r in rows if r[0] == k], ttl)}
     assert {(r.key, r.updated) for r in got} == want and len(got) == len(want)
 
 
+def test_ttl_over_one_key_with_a_long_chain(spark):
+    # 40,000 distinct times of one key, 20,000 of them kept, without a gap that would end the chain
+    minutes = F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz")
+    df = spark.range(40_000).select(F.lit("HOT-1").alias("key"), minutes.alias("updated"), "id").repartition(6)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ttl", "")
+    kept = [r.id for r in dedupe.dedupe_ttl(df, timedelta(seconds=90)).select("id").collect()]
+    jobs = len(tracker.getJobIdsForGroup("ttl"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(kept) == list(range(0, 40_000, 2)) and jobs < 200  # rounds grow with the logarithm: 15 of them
+
+
+def test_pointers_give_what_the_walk_gives(feed):
+    rows, df = feed
+    times = df.select(F.col("key").alias("_k"), F.unix_micros(F.col("updated").cast("timestamp")).alias("_t")).distinct()
+    ttl = timedelta(days=3)
+    micros = int(ttl.total_seconds() * 1_000_000)
+    got = {(r["_k"], r["_t"]) for r in dedupe.followed_times(times, micros).collect()}
+    assert got == {(r["_k"], r["_t"]) for r in dedupe.kept_times(times, micros).collect()} and len(got) > 100
+
+
+def test_ttl_keeps_one_row_without_a_time(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("a", START, 3), (None, START, 4), (None, START, 5)], "key string, updated timestamp_ntz, n int")
+    got = dedupe.dedupe_ttl(df, timedelta(days=1)).collect()
+    assert sorted((str(r.key), str(r.updated)) for r in got) == [("None", str(START)), ("a", str(START)), ("a", "None")]
+
+
 def test_ttl_ends_exactly_after_the_ttl(spark):
     rows = [("a", START), ("a", START + timedelta(days=1)), ("a", START + timedelta(days=1, hours=23))]
     df = spark.createDataFrame(rows, "key string, updated timestamp_ntz")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.times import epoch_micros
-from ticketloom.session import fits_broadcast, written
+from ticketloom.session import written
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -29,14 +32,12 @@ def _one_per(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
 def drop_processed(df: DataFrame, processed: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Rows whose key is not in the ledger. ``keys`` may give the keys of ``df`` where they come cheaper.
 
-    The ledger outgrows every batch. Once it is too large to broadcast, it is first reduced to the
-    keys of the batch: with a small batch that is a filter over its scan, so the ledger is never
-    shuffled, and the anti-join meets only keys that do repeat.
+    The ledger outgrows every batch, so it is first reduced to the keys of the batch: with a small batch that is a
+    filter over its scan, and the anti-join meets only keys that do repeat. ``load_processed`` leaves out the buckets
+    without a key of the batch before that.
     """
-    known = processed.select("key")
-    if not fits_broadcast(known):
-        known = known.join((df if keys is None else keys).select("key").distinct(), "key", "left_semi")
-    return df.join(known, "key", "left_anti")
+    wanted = (df if keys is None else keys).select("key").distinct()
+    return df.join(processed.select("key").join(wanted, "key", "left_semi"), "key", "left_anti")
 
 
 def dedupe_first(df: DataFrame, order: tuple[str, ...] = ("updated", "source_path")) -> DataFrame:
@@ -74,68 +75,117 @@ def append_processed(ledger: DataFrame, keys: DataFrame, cap: int | None = None)
     return merged if cap is None else merged.orderBy(F.col("processed_at").desc(), "key").limit(cap)
 
 
-def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "key", at: str = "updated",
-               hot_rows: int = 100_000) -> DataFrame:
+def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "key", at: str = "updated") -> DataFrame:
     """A row is a duplicate only within ``ttl`` after its key was last *kept*.
 
-    Kept times form a chain (the next one is the first at or after last + ttl), so the rows between
-    two kept ones matter only by their times. Keys with up to ``hot_rows`` distinct times walk their
-    sorted array of times. Larger keys advance together, one chain link per round, each round one
-    map-side-combined minimum; rounds are bounded by time span / ttl.
+    Kept times form a chain: the next one is the first at or after last + ttl. One row per key and time takes part
+    (``kept_times``). Of equal times one row stays; a row without a time is a duplicate only of others without.
     """
     micros = int(ttl.total_seconds() * 1_000_000)
-    clock = epoch_micros(F.col(at))
-    times = written(df.select(F.col(key).alias("_k"), clock.alias("_t")).distinct(), "ttl-times")
-    hot = written(times.groupBy("_k").count().filter(F.col("count") > hot_rows).select("_k"), "ttl-hot")
-    if hot.isEmpty():
-        kept = _walk(times, micros)
-    else:
-        kept = _walk(times.join(hot, "_k", "left_anti"), micros).unionByName(
-            _advance(times.join(hot, "_k", "left_semi"), micros))
+    named = df.withColumn("_k", F.col(key)).withColumn("_t", epoch_micros(F.col(at)))
     # one row per key and time first: that cut happens before the shuffle, whatever a time holds
     order = [F.col(c) for c in ("source_path",) if c in df.columns] + [_content_hash(df)]
-    single = _one_per(df.withColumn("_k", F.col(key)).withColumn("_t", clock), ["_k", "_t"], order)
-    return single.join(kept, ["_k", "_t"], "left_semi").drop("_k", "_t")
+    single = _one_per(named, ["_k", "_t"], order)
+    kept = kept_times(named.select("_k", "_t").where("_k is not null and _t is not null").distinct(), micros)
+    same = F.col("_k").eqNullSafe(F.col("_key")) & F.col("_t").eqNullSafe(F.col("_kept"))
+    timeless = named.where("_k is null or _t is null").select("_k", "_t").distinct()
+    stays = kept.unionByName(timeless).select(F.col("_k").alias("_key"), F.col("_t").alias("_kept"))
+    return single.join(stays, same, "left_semi").drop("_k", "_t")
+
+
+def successors(times: DataFrame, micros: int) -> DataFrame:
+    """Distinct ``_k, _t`` -> the same with ``to``, the key's first time at or after ``_t + micros``, and ``starts``.
+
+    ``starts`` marks times without another less than ``micros`` before them. Times and due times are merged in one range-partitioned order of
+    key and time. What lies in a later range is looked up in a list with one row per key and range it touches.
+    """
+    parts = int(times.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = times.select("_k", F.col("_t").alias("_at"), "_t", F.lit(False).alias("_due")).unionAll(
+        times.select("_k", (F.col("_t") + F.lit(micros)).alias("_at"), "_t", F.lit(True).alias("_due")))
+    # written once: the ranges must be the same in both uses
+    merged = written(both.repartitionByRange(parts, "_k", "_at").withColumn("_part", F.spark_partition_id()), "ttl-merged")
+    given = F.when(~F.col("_due"), F.col("_t"))
+    touched = merged.groupBy("_k", "_part").agg(F.min(given).alias("_first"), F.max(given).alias("_last"))
+    # what follows is asked in descending order: frames that grow cost one step per row, frames that shrink start anew
+
+    def passed(*by: str, order: list) -> W:
+        return W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+
+    around = touched.select(
+        "_k", "_part", F.min("_first").over(passed("_k", order=[F.desc("_part")])).alias("_later"),
+        F.max("_last").over(passed("_k", order=["_part"])).alias("_earlier"))
+    # a time at the very moment of a due time answers it, so it comes after it
+    placed = merged.select(
+        "*", F.min(given).over(passed("_k", "_part", order=[F.desc("_at"), "_due"])).alias("_next"),
+        F.max(given).over(passed("_k", "_part", order=["_at", F.desc("_due")])).alias("_before")).join(around, ["_k", "_part"])
+    before = F.coalesce("_before", "_earlier")
+    found = placed.select(
+        "_k", "_t", F.when(F.col("_due"), F.coalesce("_next", "_later")).alias("to"),
+        F.when(~F.col("_due"), before.isNull() | (F.col("_t") - before >= micros)).alias("starts"))
+    return found.groupBy("_k", "_t").agg(F.max("to").alias("to"), F.max("starts").alias("starts"))
 
 
 def drop_marked(df: DataFrame, marks: DataFrame, ttl: timedelta = timedelta(days=30)) -> DataFrame:
     """Rows that are not within ``ttl`` of any mark of their key in the ledger, before or after it.
 
-    So a row that is late by more than ``ttl`` counts as any other. Times are cut into spans of ``ttl``: a row
-    meets the few marks of its own span and the two beside it, however many its key has.
+    So a row that is late by more than ``ttl`` counts as any other. The ledger is first reduced to the keys of the rows.
+    Times are cut into spans of ``ttl``: a row meets the few marks of its own span and the two beside it, however many
+    its key has.
     """
     micros = int(ttl.total_seconds() * 1_000_000)
-    near = marks.select(
-        F.col("key").alias("_key"), epoch_micros(F.col("processed_at")).alias("_mark")).distinct().withColumn(
+    known = marks.select("key", "processed_at").join(df.select("key").distinct(), "key", "left_semi")
+    near = known.select(F.col("key").alias("_key"), epoch_micros(F.col("processed_at")).alias("_mark")).withColumn(
         "_span", F.explode(F.sequence(F.floor(F.col("_mark") / micros) - 1, F.floor(F.col("_mark") / micros) + 1)))
     at = epoch_micros(F.col("updated"))
     same = (F.col("key") == F.col("_key")) & (F.floor(at / micros) == F.col("_span")) & (F.abs(at - F.col("_mark")) < micros)
     return df.join(near, same, "left_anti")
 
 
-def _walk(times: DataFrame, micros: int) -> DataFrame:
-    """Chain of each key over its sorted times; arrays hold at most ``hot_rows`` numbers."""
-    def step(acc: Column, t: Column) -> Column:
-        last = F.element_at(acc, -1)
-        return F.when((F.size(acc) == 0) | (t >= last + F.lit(micros)), F.concat(acc, F.array(t))).otherwise(acc)
+def kept_times(times: DataFrame, micros: int) -> DataFrame:
+    """The times of each key that the time-to-live keeps, from its distinct times.
 
-    chain = F.aggregate(F.sort_array(F.collect_list("_t")), F.array().cast("array<bigint>"), step)
-    return times.groupBy("_k").agg(chain.alias("_chain")).select("_k", F.explode("_chain").alias("_t"))
-
-
-def _advance(times: DataFrame, micros: int) -> DataFrame:
-    """Chain of hot keys, one link per round. A round's state has one row per hot key."""
+    Times are laid out over ranges of key and time. A key that fills no range lies in two neighbours at most, so it is
+    walked in order of time by one task, which holds one row of it. The few keys that do fill one, at most one per
+    two ranges, are followed by doubled pointers instead: no task sees a whole one of them.
+    """
     parts = int(times.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    times = written(times.repartitionByRange(parts, "_t").sortWithinPartitions("_t"), "ttl-hot-times")
-    state = written(times.groupBy("_k").agg(F.min("_t").alias("_t")), "ttl-link")
-    links = state
-    while True:
-        floor = state.agg(F.min("_t")).first()[0]
-        if floor is None:
-            return links
-        later = times.filter(F.col("_t") >= floor + micros)  # skips files and row groups by their statistics
-        due = state.select("_k", (F.col("_t") + F.lit(micros)).alias("_due"))
-        state = written(
-            later.join(due, "_k").filter(F.col("_t") >= F.col("_due")).groupBy("_k").agg(F.min("_t").alias("_t")),
-            "ttl-link")
-        links = links.unionByName(state)
+    placed = written(times.repartitionByRange(parts, "_k", "_t").withColumn("_part", F.spark_partition_id()), "ttl-times")
+    large = written(placed.groupBy("_k").agg(F.min("_part").alias("a"), F.max("_part").alias("b")).where("b - a > 1").select("_k"), "ttl-large")
+    walked = placed.join(large, "_k", "left_anti").select("_k", "_t").repartition("_k").sortWithinPartitions("_k", "_t").mapInArrow(
+        _walking(micros), times.schema)
+    if large.isEmpty():
+        return walked
+    return walked.unionAll(followed_times(placed.join(large, "_k", "left_semi").select("_k", "_t"), micros))
+
+
+def _walking(micros: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by key and time -> those that are kept."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, due = None, 0
+        for batch in batches:
+            stays = np.zeros(batch.num_rows, bool)
+            for row, (key, at) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if key != last_key or at >= due:
+                    stays[row], last_key, due = True, key, at + micros
+            yield batch.filter(pa.array(stays))
+    return run
+
+
+def followed_times(times: DataFrame, micros: int) -> DataFrame:
+    """The same by pointers, for keys of any size.
+
+    Every time points to its successor. A time that comes ``micros`` or more after the one before it starts a chain of
+    its own, as it is kept whatever came before. Each round reaches twice as far, so that the rounds grow with the
+    logarithm of the longest chain.
+    """
+    linked = written(successors(times, micros), "ttl-links")
+    starts = linked.where("starts").select("_k", "_t")
+    # chains end where another one starts
+    ends = starts.select("_k", F.col("_t").alias("to"))
+    jumps = written(linked.where("to is not null").select("_k", "_t", "to").join(ends, ["_k", "to"], "left_anti"), "ttl-jumps")
+    kept = starts
+    while not jumps.isEmpty():
+        kept = kept.unionAll(written(kept.join(jumps, ["_k", "_t"]).select("_k", F.col("to").alias("_t")), "ttl-kept"))
+        further = jumps.select("_k", F.col("_t").alias("to"), F.col("to").alias("_to"))
+        jumps = written(jumps.join(further, ["_k", "to"]).select("_k", "_t", F.col("_to").alias("to")), "ttl-jumps")
+    return kept

@@ -54,12 +54,6 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Would Spark broadcast ``df``? Asks for the estimate and the session's own limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return planned_bytes(df) <= limit
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a small scan to all cores.
 
