@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ticketloom.functions.names import project_from_object_key
 from ticketloom.plans.corpus import build_corpus
 from ticketloom.plans.ingest import ingest, read_quarantine
-from ticketloom.sinks.tables import read_store, save_processed, save_progress, stored_json
+from ticketloom.sinks.keyed import BUCKETS, batch_path, buckets_of, drop_merged, read_manifest
+from ticketloom.sinks.tables import compact_ledger, compact_store, read_store, save_processed, save_progress, stored_json, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
-from ticketloom.sources.state import load_processed, load_progress
+from ticketloom.sources.state import has_batch, load_processed, load_progress
 from ticketloom.streaming.jobs import append_by_batch, run_available, stream_corpus, stream_dedupe, stream_dedupe_ledger, stream_progress
 
 
@@ -125,7 +126,7 @@ def test_state_survives_and_damage_is_an_error(spark, tmp_path):
     save_processed(keys, folder, 0)
     assert load_processed(spark, folder, without=("job", 0)).count() == 0
     assert load_processed(spark, folder, without=("stream", 0)).count() == 1
-    for part in Path(folder, "processed").rglob("*.parquet"):
+    for part in Path(folder, "processed").rglob("part-*.parquet"):
         part.write_bytes(b"damaged")
         part.with_name(f".{part.name}.crc").unlink()
     with pytest.raises(Exception, match="(?i)parquet|footer|corrupt"):
@@ -219,3 +220,108 @@ def test_streamed_duplicates_over_two_runs(spark, tmp_path):
     assert kept == {("a", 1), ("a", 5), ("a", 9), ("b", 2)}
     first = {r.key for r in spark.read.parquet(f"{at}/watermark").collect()}
     assert first == {"a", "b"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files_read(df):
+    """Files that the scans of a plan open."""
+    executed = df._jdf.queryExecution()
+    executed.toRdd().count()
+    found, stack = 0, [executed.executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+            continue
+        if node.metrics().contains("numFiles"):
+            found += node.metrics().apply("numFiles").value()
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def versions(docs, *rows):
+    return parse_issue(docs([issue(key, summary=summary, updated=f"2024-02-{day:02}T00:00:00.000+0000") for key, summary, day in rows]))
+
+
+def test_a_merged_store_has_one_row_per_key_and_reads_without_a_shuffle(spark, docs, tmp_path):
+    store = str(tmp_path / "store")
+    latest = lambda: {r.key: (r.summary, r.batch) for r in read_store(spark, store, latest=True).collect()}
+    write_raw(versions(docs, ("WEB-1", "a", 5), ("WEB-2", "a", 5), ("APP-1", "a", 5)), store, 0)
+    write_raw(versions(docs, ("WEB-1", "b", 7), ("WEB-2", "b", 3), ("WEB-4", "b", 5)), store, 1)
+    want = {"WEB-1": ("b", 1), "WEB-2": ("a", 0), "APP-1": ("a", 0), "WEB-4": ("b", 1)}
+    assert latest() == want and compact_store(spark, store) == 1 and latest() == want
+    merged = read_store(spark, store, latest=True)
+    assert "Exchange" not in plan(merged) and merged.count() == 4
+    assert compact_store(spark, store) == 1  # nothing new
+    # a later batch replaces, ties go to it, late versions do not
+    write_raw(versions(docs, ("WEB-1", "c", 7), ("WEB-2", "c", 4), ("WEB-5", "c", 1)), store, 2)
+    want |= {"WEB-1": ("c", 2), "WEB-5": ("c", 2)}
+    assert latest() == want and {r.key for r in read_store(spark, store, latest=True, projects=["APP"]).collect()} == {"APP-1"}
+    assert compact_store(spark, store) == 2 and latest() == want and "Exchange" not in plan(read_store(spark, store, latest=True))
+    drop_merged(spark, store)
+    assert latest() == want and not Path(batch_path(store, "job", 0)).exists()
+    write_raw(versions(docs, ("WEB-9", "d", 9)), store, 3)
+    assert latest() == want | {"WEB-9": ("d", 3)}
+
+
+def test_a_merge_that_stopped_half_way_is_not_seen(spark, docs, tmp_path):
+    store = str(tmp_path / "store")
+    write_raw(versions(docs, ("WEB-1", "a", 5)), store, 0)
+    compact_store(spark, store)
+    write_raw(versions(docs, ("WEB-1", "b", 6)), store, 1)
+    # files of a generation without a manifest, and a manifest that lacks rows
+    write_raw(versions(docs, ("WEB-1", "lost", 9)), f"{store}/_live/generation=2/bucket=0", 0)
+    spark.createDataFrame([(3, 0, 2)], "entries long, bucket int, generation long").write.json(f"{store}/_manifest/version=2")
+    assert read_manifest(spark, store).version == 1
+    assert [r.summary for r in read_store(spark, store, latest=True).collect()] == ["b"]
+
+
+def test_a_ledger_lookup_opens_only_its_buckets(spark, tmp_path):
+    folder, at = str(tmp_path / "state"), datetime(2024, 1, 2)
+    schema = "key string, processed_at timestamp_ntz"
+    for batch in range(3):
+        save_processed(spark.createDataFrame([(f"K-{n}", at + timedelta(batch)) for n in range(batch * 100, batch * 100 + 300)], schema), folder, batch)
+    few = spark.createDataFrame([("K-7",), ("K-250",), ("Z-1",)], "key string")
+    assert len(buckets_of(few)) <= 3 < BUCKETS
+    whole = files_read(load_processed(spark, folder))
+    known = load_processed(spark, folder, keys=few)
+    assert files_read(known) <= 9 < whole
+    assert {r.key for r in known.join(few, "key", "left_semi").collect()} == {"K-7", "K-250"}
+    assert load_processed(spark, folder, without=("job", 2)).count() == 600
+    # merged: one mark per key, its latest; a repeated batch still leaves its own out
+    compact_ledger(spark, folder)
+    merged = load_processed(spark, folder)
+    assert merged.count() == 500 == merged.select("key").distinct().count() and files_read(load_processed(spark, folder, keys=few)) <= 3
+    assert merged.where("key = 'K-250'").first().processed_at == at + timedelta(2)
+    assert load_processed(spark, folder, without=("job", 2)).count() == 200
+
+
+def test_completion_does_not_hang_on_marker_files(spark, tmp_path):
+    put(tmp_path / "landing", "1.json", issue("WEB-1"))
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.sparkContext._jsc.hadoopConfiguration().set(name, "false")
+    try:
+        ingest(spark, str(tmp_path / "landing"), str(tmp_path / "s"), str(tmp_path / "t"), batch=0)
+        assert has_batch(spark, str(tmp_path / "t"), "job", 0) and not list(tmp_path.rglob("_SUCCESS"))
+        with pytest.raises(ValueError):
+            ingest(spark, str(tmp_path / "landing"), str(tmp_path / "s"), str(tmp_path / "t"), batch=0)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset(name)
+
+
+def test_a_checkpoint_made_anew_is_another_writer(spark, tmp_path):
+    at = str(tmp_path / "at")
+    for n, key in enumerate(("WEB-1", "WEB-2")):
+        put(tmp_path / f"landing{n}", "WEB/1.json", issue(key))
+        stream_corpus(spark, str(tmp_path / f"landing{n}"), f"{at}/cp", f"{at}/store", f"{at}/state", f"{at}/corpus")
+        Path(f"{at}/cp").rename(f"{at}/cp-old{n}")
+    assert sorted(r.key for r in read_store(spark, f"{at}/store").collect()) == ["WEB-1", "WEB-2"]
+    # another spelling of a path is the same writer: nothing is read twice
+    Path(f"{at}/cp-old1").rename(f"{at}/cp")
+    put(tmp_path / "landing1", "WEB/2.json", issue("WEB-3"))
+    stream_corpus(spark, str(tmp_path / "landing1"), f"file://{at}/cp/", f"{at}/store", f"{at}/state", f"{at}/corpus")
+    rows = read_store(spark, f"{at}/store").collect()
+    assert sorted(r.key for r in rows) == ["WEB-1", "WEB-2", "WEB-3"] and len({r.writer for r in rows}) == 2

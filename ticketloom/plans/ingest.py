@@ -12,7 +12,8 @@ from ticketloom.operators.dedupe import dedupe_first, dedupe_latest, drop_proces
 from ticketloom.operators.metrics import last_update_by_project
 from ticketloom.operators.validate import split_valid
 from ticketloom.session import discard, scratch_path
-from ticketloom.sinks.tables import batch_path, read_store, save_processed, save_progress, write_raw
+from ticketloom.sinks.keyed import batch_path
+from ticketloom.sinks.tables import commit_batch, read_store, save_processed, save_progress, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import has_batch, load_processed
 
@@ -49,7 +50,7 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int, mode:
     fresh = valid.drop("violations", "value", "path_project")
     if mode == "first":
         # known rows go first, so that the wide sort of the rest is small
-        fresh = dedupe_first(drop_processed(fresh, load_processed(spark, state, without=(writer, batch))))
+        fresh = dedupe_first(drop_processed(fresh, load_processed(spark, state, without=(writer, batch), keys=fresh)))
     else:
         fresh = dedupe_latest(fresh)
     write_raw(fresh, store, batch, form, writer)
@@ -58,6 +59,7 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int, mode:
     mark = wall_clock(processed_at or datetime.now(timezone.utc))
     save_progress(last_update_by_project(stored), state, batch, writer)
     save_processed(stored.select("key", mark.alias("processed_at")), state, batch, writer)
+    commit_batch(spark, state, batch, writer)
     discard(spark, scratch)
 
 

@@ -42,11 +42,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    """File system and path, from the same Hadoop layer that reads the tables; Spark has no public call for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file(spark, path)
+    return bool(fs.exists(target))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file(spark, path)
+    fs.delete(target, True)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table of a job that has finished; only below this library's own folder."""
     if path.startswith(f"{shared_folder(spark)}/ticketloom/"):
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove_path(spark, path)
 
 
 def planned_bytes(df: DataFrame) -> int:

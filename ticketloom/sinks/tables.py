@@ -1,7 +1,8 @@
 """Stored shape, issue store, corpus and state writers.
 
 Store and state are written in one folder per batch and only ever replaced batch by batch: running a
-batch again gives the same tables, whatever part of it had been written before.
+batch again gives the same tables, whatever part of it had been written before. Small batches are merged by
+key now and then (``keyed``).
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from pyspark.sql import types as T
 
 from ticketloom.functions.times import stored_format
 from ticketloom.operators.dedupe import dedupe_latest
-from ticketloom.schema import ISSUE_COLUMNS
-from ticketloom.sources.issues import parse_issue, path_exists
+from ticketloom.schema import ISSUE_COLUMNS, PROCESSED_SCHEMA
+from ticketloom.session import path_exists
+from ticketloom.sinks.keyed import batch_path, bucket_of, merge_batches, read_batches, read_newest
+from ticketloom.sources.issues import parse_issue
 
+_ISSUES = T.StructType(ISSUE_COLUMNS)
 STORE_SCHEMA = T.StructType(ISSUE_COLUMNS + [T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
 
 
@@ -82,11 +86,6 @@ def stored_json(issues: DataFrame) -> DataFrame:
         F.to_json(F.struct("key", "project", "fields", "comments"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def batch_path(folder: str, writer: str, batch: int) -> str:
-    """Where a batch lies: every writer has its own numbers, so that a job and a stream never share one."""
-    return f"{folder}/writer={writer}/batch={batch}"
-
-
 def _replacing(writer: DataFrameWriter) -> DataFrameWriter:
     """Overwrite the whole folder, whatever the session says about partitions."""
     return writer.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -109,11 +108,14 @@ def write_raw(issues: DataFrame, path: str, batch: int, form: str = "parquet", w
 
 def read_store(spark: SparkSession, path: str, form: str = "parquet", latest: bool = False,
                projects: list[str] | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
-    """Issues of the store; ``latest`` keeps the newest version of a key, of equal ones that of the highest batch.
+    """Delivered issues; ``latest`` keeps the newest version of a key, of equal ones that of the highest batch.
 
     ``project``, ``writer`` and ``batch`` are partition columns, so filters on them skip folders. ``batch``, a writer
     and a number, reads that one folder and lists no other.
     """
+    def chosen(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col("project").isin(projects)) if projects else rows
+
     whole, path = path, path if batch is None else batch_path(path, *batch)
     if not path_exists(spark, path):
         issues = spark.createDataFrame([], STORE_SCHEMA)
@@ -125,10 +127,16 @@ def read_store(spark: SparkSession, path: str, form: str = "parquet", latest: bo
                                          F.concat_ws("/", "writer", "batch").alias("source_path")), shape="stored")
         issues = parsed.select(*[f.name for f in ISSUE_COLUMNS], F.regexp_replace("source_path", "/[^/]*$", "").alias("writer"),
                                F.substring_index("source_path", "/", -1).cast("bigint").alias("batch"))
+    elif latest and batch is None:
+        return chosen(read_newest(spark, path, _ISSUES, lambda rows: dedupe_latest(chosen(rows))))
     else:
-        issues = spark.read.schema(STORE_SCHEMA).option("basePath", whole).parquet(path)
-    issues = issues.filter(F.col("project").isin(projects)) if projects else issues
-    return dedupe_latest(issues) if latest else issues
+        issues = read_batches(spark, whole, _ISSUES, only=batch).select(*STORE_SCHEMA.fieldNames())
+    return dedupe_latest(chosen(issues)) if latest else chosen(issues)
+
+
+def compact_store(spark: SparkSession, path: str) -> int:
+    """Merge the batches of a Parquet store: afterwards each key has one row, its newest, and ``read_store(latest=True)`` is a scan."""
+    return merge_batches(spark, path, _ISSUES, dedupe_latest, ("project",))
 
 
 def write_corpus(corpus: DataFrame, path: str) -> int:
@@ -143,4 +151,22 @@ def save_progress(progress: DataFrame, folder: str, batch: int, writer: str = "j
 
 
 def save_processed(keys: DataFrame, folder: str, batch: int, writer: str = "job") -> None:
-    _replacing(keys.select("key", "processed_at").write).parquet(batch_path(f"{folder}/processed", writer, batch))
+    """Add marks to the ledger, by bucket of the key, with a Bloom filter of the keys in every file."""
+    marks = keys.select("key", "processed_at", bucket_of("key").alias("bucket")).hint("rebalance", "bucket").write
+    _replacing(marks).option("parquet.bloom.filter.enabled#key", "true").partitionBy("bucket").parquet(
+        batch_path(f"{folder}/processed", writer, batch))
+
+
+def compact_ledger(spark: SparkSession, folder: str) -> int:
+    """Merge the ledger's batches: one mark per key, its latest."""
+    def newest(marks: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct("writer", "batch"), F.struct("processed_at", "batch")).alias("of")
+        return marks.groupBy("key").agg(F.max("processed_at").alias("processed_at"), last).select("key", "processed_at", "of.*")
+
+    return merge_batches(spark, f"{folder}/processed", PROCESSED_SCHEMA, newest)
+
+
+def commit_batch(spark: SparkSession, folder: str, batch: int, writer: str = "job", keys: int = 0) -> None:
+    """Record that a batch is complete, whatever marker files the session's committer writes."""
+    record = spark.createDataFrame([(keys,)], "keys long").coalesce(1).write
+    _replacing(record).json(batch_path(f"{folder}/commits", writer, batch))

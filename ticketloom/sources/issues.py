@@ -13,6 +13,7 @@ from ticketloom.functions.names import (
 from ticketloom.functions.times import parse_ts
 from ticketloom.operators.validate import bad_time, is_kind, kind_of, object_or_missing, violations
 from ticketloom.schema import COMMENT_TYPE, UNKNOWN_AUTHOR, UNKNOWN_PROJECT
+from ticketloom.session import path_exists
 
 DOCUMENT_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
@@ -20,12 +21,6 @@ DOCUMENT_SCHEMA = T.StructType([
 ])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(target))
-
-
 def read_raw(spark: SparkSession, path: str, projects: list[str] | None = None,
              layout: str = "files", store: str = "tree", glob: str = "*.json") -> DataFrame:
     """``value, source_path, path_project`` of every ``*.json`` file below ``path``.

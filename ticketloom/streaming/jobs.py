@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import json
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -14,7 +14,8 @@ from ticketloom.functions.times import epoch_micros
 from ticketloom.operators.dedupe import dedupe_ttl, drop_marked
 from ticketloom.plans.corpus import corpus_from_issues
 from ticketloom.plans.ingest import ingest_documents
-from ticketloom.sinks.tables import batch_path, read_store, save_processed, write_corpus
+from ticketloom.sinks.keyed import batch_path
+from ticketloom.sinks.tables import read_store, save_processed, write_corpus
 from ticketloom.sources.issues import with_path_project
 from ticketloom.sources.state import load_processed
 
@@ -32,9 +33,12 @@ def stream_documents(spark: SparkSession, path: str, layout: str = "files",
     return with_path_project(docs, path)
 
 
-def stream_writer(checkpoint: str) -> str:
-    """The writer that a checkpoint's batch numbers belong to."""
-    return f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+def stream_writer(spark: SparkSession, checkpoint: str) -> str:
+    """The writer that a checkpoint's batch numbers belong to: the id that Spark wrote into the checkpoint when it began.
+
+    A checkpoint made anew under an old path is another writer; two spellings of one path are the same.
+    """
+    return "stream-" + json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0])["id"]
 
 
 def run_available(df: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None],
@@ -75,11 +79,10 @@ def stream_dedupe_ledger(issues: DataFrame, checkpoint: str, folder: str, ttl: t
     A row is dropped only if a kept row of its key lies within ``ttl`` of it, before or after; being late is no
     reason. Kept rows go to ``folder/kept``, their marks to the ledger in ``folder``, both by writer and batch.
     """
-    writer = stream_writer(checkpoint)
-
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        fresh = drop_marked(rows, load_processed(spark, folder, without=(writer, batch)), ttl)
+        writer = stream_writer(spark, checkpoint)
+        fresh = drop_marked(rows, load_processed(spark, folder, without=(writer, batch), keys=rows), ttl)
         append_by_batch(f"{folder}/kept", writer)(dedupe_ttl(fresh, ttl), batch)
         kept = spark.read.parquet(batch_path(f"{folder}/kept", writer, batch))
         save_processed(kept.select("key", F.col("updated").alias("processed_at")), folder, batch, writer)
@@ -92,7 +95,11 @@ def stream_progress(issues: DataFrame, checkpoint: str, folder: str) -> Streamin
     marks = (
         issues.filter(F.trim(F.coalesce("project", F.lit(""))) != "")
         .groupBy("project").agg(F.max("updated").alias("last_update")))
-    return run_available(marks, checkpoint, append_by_batch(f"{folder}/progress", stream_writer(checkpoint)), mode="update")
+
+    def each(rows: DataFrame, batch: int) -> None:
+        append_by_batch(f"{folder}/progress", stream_writer(rows.sparkSession, checkpoint))(rows, batch)
+
+    return run_available(marks, checkpoint, each, mode="update")
 
 
 def stream_corpus(spark: SparkSession, landing: str, checkpoint: str, store: str, state: str, corpus: str,
@@ -104,9 +111,8 @@ def stream_corpus(spark: SparkSession, landing: str, checkpoint: str, store: str
     leaves no duplicate and no gap. Numbers belong to the checkpoint: a new one, or a job on the same store,
     never writes over them. ``options`` go to ``ingest_documents`` (``mode``, ``strict``, ``form``).
     """
-    writer = stream_writer(checkpoint)
-
     def each(docs: DataFrame, batch: int) -> None:
+        writer = stream_writer(docs.sparkSession, checkpoint)
         ingest_documents(docs, store, state, batch, shape=shape, writer=writer, replace=True, **options)
         issues = read_store(docs.sparkSession, store, options.get("form", "parquet"), batch=(writer, batch))
         write_corpus(corpus_from_issues(issues, dedupe=False), batch_path(corpus, writer, batch))
