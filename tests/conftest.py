@@ -14,7 +14,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
-    session = local_session("8", "tests", **{"spark.checkpoint.dir": f"file://{folder}"})
+    conf = {"spark.checkpoint.dir": f"file://{folder}", "spark.sql.shuffle.partitions": "4"}
+    session = local_session("8", "tests", **conf)
     yield session
     session.stop()
 

@@ -87,14 +87,15 @@ def chain(times, ttl):
     return kept
 
 
-@pytest.mark.parametrize("ttl, ranges", [(timedelta(days=6, hours=5), 8), (timedelta(hours=1), 8), (timedelta(days=9), 40)])
+@pytest.mark.parametrize("ttl, ranges", [(timedelta(days=6, hours=5), 4), (timedelta(days=9), 20)])
 def test_ttl_counts_from_the_last_kept_row(spark, feed, ttl, ranges):
     rows, df = feed
-    spark.conf.set("spark.sql.shuffle.partitions", ranges)  # with 40 the hot key fills several ranges
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)  # with 20 the hot key fills several ranges
     try:
         got = dedupe.dedupe_ttl(df, ttl).collect()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     want = {(k, t) for k in {r[0] for r in rows} for t in chain([r[2] for r in rows if r[0] == k], ttl)}
     assert {(r.key, r.updated) for r in got} == want and len(got) == len(want)
 
@@ -188,6 +189,31 @@ def test_search_pages_and_missing_offsets(spark):
     assert {(r.project, r.start_at) for r in fetch.missing_pages(df).collect()} == {("C", 25), ("D", 0)}
 
 
+def test_missing_ranges_of_mixed_pages(spark):
+    def page(project, start, size, total, status=200):
+        return (project, start, status, f'{{"total":{total},"maxResults":{size}}}' if status == 200 else None)
+
+    rows = [page("A", 0, 10, 100), page("A", 10, 4, 100), page("A", 20, 30, 100), page("A", 30, 5, 100), page("A", 50, 25, 100, 500),
+            page("A", 75, 50, 100), page("B", 0, 50, 40), page("C", 0, 50, 9, 500), page("D", 0, 50, 0), page("E", 10, 10, 20), page("E", 30, 10, 20)]
+    df = spark.createDataFrame(rows, "project string, start_at long, status int, body string").repartition(3)
+    got = lambda **k: sorted((r.project, r["first"], r["last"]) for r in fetch.missing_ranges(df, **k).collect())
+    assert got() == [("A", 14, 19), ("A", 50, 74), ("C", 0, 0), ("E", 0, 9)]
+    assert got(max_issues=17) == [("A", 14, 16), ("C", 0, 0), ("E", 0, 9)]
+    many = [page("H", n * 10, 10, 30_000) for n in range(3000) if n % 500 != 7]
+    hot = spark.createDataFrame(many, "project string, start_at long, status int, body string").repartition(5)
+    assert sorted(r["first"] for r in fetch.missing_ranges(hot).collect()) == [70 + 5000 * n for n in range(6)]
+
+
+def test_a_large_cap_fills_no_single_task(spark):
+    marks = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), F.timestamp_seconds(F.col("id") % 100).cast("timestamp_ntz").alias("processed_at"))
+    capped = dedupe.append_processed(marks.limit(0), marks, cap=3020)
+    text = capped._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "SinglePartition" not in text
+    got = sorted(((r.processed_at.timestamp(), r.key) for r in capped.collect()), key=lambda r: (-r[0], r[1]))
+    want = sorted(((r.processed_at.timestamp(), r.key) for r in marks.collect()), key=lambda r: (-r[0], r[1]))[:3020]
+    assert got == want
+
+
 def test_retry_backlog(spark):
     rows = [
         ("u1", "A", 429, 0, "400", 1), ("u2", "A", 429, 2, "abc", 1), ("u3", "A", 503, 5, None, 1), ("u4", "A", 404, 0, None, 1),

@@ -7,13 +7,16 @@ from conftest import comment, issue, stored
 from pyspark.sql import functions as F
 
 from ticketloom.functions.names import project_from_object_key
-from ticketloom.plans.corpus import build_corpus
+from ticketloom.plans.corpus import build_corpus, build_corpus_counted
 from ticketloom.plans.ingest import ingest, read_quarantine
 from ticketloom.sinks.keyed import BUCKETS, batch_path, buckets_of, drop_merged, read_manifest
 from ticketloom.sinks.tables import compact_ledger, compact_store, read_store, save_processed, save_progress, stored_json, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
 from ticketloom.sources.state import has_batch, load_processed, load_progress
-from ticketloom.streaming.jobs import append_by_batch, run_available, stream_corpus, stream_dedupe, stream_dedupe_ledger, stream_progress
+from ticketloom.streaming.jobs import (
+    append_by_batch, progress_in_state, read_counters, run_available, state_operators, stream_corpus, stream_dedupe, stream_dedupe_ledger,
+    stream_dedupe_state, stream_progress, with_rocksdb,
+)
 
 
 def put(folder: Path, name: str, doc) -> None:
@@ -58,6 +61,15 @@ def test_build_corpus_variants(spark, raw, tmp_path):
     assert build_corpus(spark, str(tmp_path / "missing"), out) == 0
 
 
+def test_build_corpus_counts_rejects_and_takes_form_and_keywords(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    built = build_corpus_counted(spark, raw, out, form="instructions", keywords=["nothing"])
+    assert built == (6, 13, 1) and {frozenset(r) for r in lines(out)} == {frozenset(("instruction", "response", "input"))}
+    assert not any("a patch" in r["response"] for r in lines(out))
+    build_corpus(spark, raw, out, form="instructions")
+    assert sum("a patch" in r["response"] for r in lines(out)) == 5
+
+
 def test_object_store_rule_uses_the_second_component(spark, raw):
     # the key of an object begins below the bucket; for a local path that is below the root
     names = {r.path_project for r in read_raw(spark, "file://" + raw, store="object").select("path_project").collect()}
@@ -325,3 +337,37 @@ def test_a_checkpoint_made_anew_is_another_writer(spark, tmp_path):
     stream_corpus(spark, str(tmp_path / "landing1"), f"file://{at}/cp/", f"{at}/store", f"{at}/state", f"{at}/corpus")
     rows = read_store(spark, f"{at}/store").collect()
     assert sorted(r.key for r in rows) == ["WEB-1", "WEB-2", "WEB-3"] and len({r.writer for r in rows}) == 2
+
+
+def test_state_keeps_rows_apart_whatever_their_order(spark, tmp_path):
+    schema = "key string, project string, updated timestamp_ntz, n int"
+    source, at, start = str(tmp_path / "in"), str(tmp_path / "at"), datetime(2024, 1, 1)
+    days = [[20, 24], [1, 3], [9, 9], [2, 28], [21, 30], [15, 16], [11, 5], [4, 40]]
+    for n, some in enumerate(days):  # eight files, one per micro-batch, late rows among them
+        rows = [(k, "P", start + timedelta(days=d), n) for k in ("a", "b") for d in some] + [(None, "P", start, n), ("a", "P", None, n)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(source)
+    with with_rocksdb(spark):
+        run_available(stream_dedupe_state(feed, timedelta(days=4)), f"{at}/cp", append_by_batch(f"{at}/out"))
+    stream_progress(feed, f"{at}/cp2", f"{at}/state")
+    kept, marks = [], []
+    for d in [x for some in days for x in sorted(some)]:
+        if all(abs(d - m) >= 4 for m in marks):
+            marks.append(d)
+            kept.append(d)
+    rows = spark.read.parquet(f"{at}/out").collect()
+    assert sorted((r.key, (r.updated - start).days) for r in rows) == sorted((k, d) for k in ("a", "b") for d in kept)
+    assert [tuple(r) for r in progress_in_state(spark, f"{at}/cp2").collect()] == [("P", start + timedelta(days=40))]
+    assert state_operators(spark, f"{at}/cp2").first()["operatorName"] == "stateStoreSave"
+
+
+def test_counters_add_up_over_batches_and_resume_skips_old_days(spark, tmp_path):
+    landing, at = tmp_path / "landing", str(tmp_path / "at")
+    for n, key in enumerate(("WEB-1", "WEB-2", "APP-3")):
+        put(landing, f"{key[:3]}/{n}.json", issue(key, summary=None if n == 1 else "x"))
+    stream_corpus(spark, str(landing), f"{at}/cp", f"{at}/store", f"{at}/state", f"{at}/corpus", max_files=1)
+    assert {tuple(r) for r in read_counters(spark, f"{at}/state").collect()} == {("WEB", "stored", 1), ("APP", "stored", 1), ("WEB", "summary", 1)}
+    put(landing, "WEB/8.json", issue("WEB-8", updated="2024-01-10T23:00:00.000+0000"))
+    put(landing, "WEB/9.json", issue("WEB-9", updated="2024-01-11T01:00:00.000+0000"))
+    got = ingest(spark, str(landing), f"{at}/store", f"{at}/state", batch=0, resume=True)
+    assert [r.key for r in got.collect()] == ["WEB-9"]

@@ -10,7 +10,8 @@ from ticketloom.plans.corpus import corpus_from_issues
 from ticketloom.sinks.tables import read_store, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
 
-FILES = {"raw_scan", "raw_roundtrip", "corpus_jsonl_roundtrip", "ingest", "dedupe_ttl"}
+FILES = {"raw_scan", "raw_roundtrip", "corpus_jsonl_roundtrip", "corpus_alpaca_roundtrip", "corpus_rejects", "ingest", "ingest_latest",
+         "ingest_resume", "store_latest", "state_roundtrip", "dedupe_ttl"}
 
 
 def plan(df):

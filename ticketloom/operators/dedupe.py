@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.times import epoch_micros
+from ticketloom.operators.select import ranked_by_range
 from ticketloom.session import written
 
 
@@ -68,11 +69,15 @@ def upsert_latest(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def append_processed(ledger: DataFrame, keys: DataFrame, cap: int | None = None) -> DataFrame:
-    """Ledger with the keys added, latest mark per key; ``cap`` keeps the most recently marked."""
+    """Ledger with the keys added, latest mark per key; ``cap`` keeps the most recently marked, of equal marks the
+    first keys. Rows are ranked over ranges, so that a large cap fills no single task."""
     merged = (
         ledger.select("key", "processed_at").unionByName(keys.select("key", "processed_at"))
         .groupBy("key").agg(F.max("processed_at").alias("processed_at")))
-    return merged if cap is None else merged.orderBy(F.col("processed_at").desc(), "key").limit(cap)
+    if cap is None:
+        return merged
+    dated = merged.select(F.lit(0).alias("_all"), "key", "processed_at", (-epoch_micros(F.col("processed_at"))).alias("_age"))
+    return ranked_by_range(dated, "_all", ("_age", "key"), "_rank").where(F.col("_rank") <= cap).select("key", "processed_at")
 
 
 def dedupe_ttl(df: DataFrame, ttl: timedelta = timedelta(days=30), key: str = "key", at: str = "updated") -> DataFrame:

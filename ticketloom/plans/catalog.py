@@ -17,14 +17,15 @@ from ticketloom.functions.times import iso_format, parse_ts, stored_format, wall
 from ticketloom.operators import dedupe, fetch, metrics, select, tasks
 from ticketloom.operators.comments import resolution_rows
 from ticketloom.operators.validate import split_valid
-from ticketloom.plans.corpus import build_corpus
+from ticketloom.plans.corpus import build_corpus, build_corpus_counted
 from ticketloom.plans.ingest import ingest_documents, read_quarantine
+from ticketloom.schema import ISSUE_SCHEMA
 from ticketloom.session import scratch_path, spread
-from ticketloom.sinks.tables import read_store, stored_json, write_raw
+from ticketloom.sinks.tables import compact_ledger, compact_store, read_store, save_processed, save_progress, stored_json, write_raw
 from ticketloom.sources import bench_tables as bench
 from ticketloom.sources.issues import parse_issue, read_raw, with_path_project
 from ticketloom.sources.pages import parse_search_pages
-from ticketloom.sources.state import load_progress
+from ticketloom.sources.state import load_processed, load_progress
 from ticketloom.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,19 @@ def parse_issue_documents(spark: SparkSession, folder: str) -> DataFrame:
             c["author"], F.lit("@"), iso_format(c["created"]))), ";").alias("comment_heads"))
 
 
+@query("object_keys")
+def object_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Project of an object's key: its second component, where it has one."""
+    n, project = F.col("doc_id"), F.upper("source")
+    name = F.concat(project, F.lit("-"), n.cast("string"), F.lit(".json"))
+    uri = (
+        F.when(n % 4 == 0, F.concat(F.lit("s3a://bucket/raw/"), project, F.lit("/"), name))
+        .when(n % 4 == 1, F.concat(F.lit("gs://b/raw/"), project, F.lit("/more/"), name))
+        .when(n % 4 == 2, F.concat(F.lit("s3a://bucket/raw/"), name)).otherwise(F.concat(F.lit("s3a://bucket/"), name)))
+    docs = bench.table(spark, folder, "documents").select("doc_id", uri.alias("source_path"), F.lit("{}").alias("value"))
+    return with_path_project(docs, "s3a://bucket", "object").select("doc_id", F.col("path_project").alias("project"))
+
+
 @query("search_page_keys")
 def search_page_keys(spark: SparkSession, folder: str) -> DataFrame:
     return parse_search_pages(bench.search_pages(spark, folder)).select(
@@ -113,6 +127,62 @@ def raw_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         "assignee", F.size("comments").alias("n_comments"))
 
 
+@query("store_latest")
+def store_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Three deliveries that overlap, the first two merged; then all three merged."""
+    store, n = scratch_path(spark, "store"), F.col("doc_id")
+    issues = bench.issue_rows(spark, folder).withColumn("comments", F.array().cast(ISSUE_SCHEMA["comments"].dataType))
+
+    def version(rows: DataFrame, name: str, later: Column) -> DataFrame:
+        return rows.withColumn("summary", F.concat("summary", F.lit(name))).withColumn("updated", F.col("updated") + F.make_dt_interval(later))
+
+    def newest() -> DataFrame:
+        return read_store(spark, store, latest=True).select("key", "summary", iso_format(F.col("updated")).alias("updated"), "batch")
+
+    write_raw(issues.filter(n % 3 < 2), store, batch=0)
+    write_raw(version(issues.filter(n % 3 > 0), " (2)", F.lit(1)), store, batch=1)
+    compact_store(spark, store)
+    # versions that come late, and versions that repeat the time of the newest one
+    again = issues.filter((n % 5) < 2)
+    write_raw(version(again, " (3)", F.when(n % 5 == 0, -1).when(n % 3 > 0, 1).otherwise(0)), store, batch=2)
+    pending = newest().withColumn("state", F.lit("pending"))
+    compact_store(spark, store)
+    return pending.unionByName(newest().withColumn("state", F.lit("merged")))
+
+
+@query("state_roundtrip")
+def state_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Progress and ledger of two batches, the first one merged, as they are loaded again."""
+    at, feed = scratch_path(spark, "state"), bench.issue_feed(spark, folder)
+    middle = wall_clock(datetime(2024, 1, 16))
+    for batch, part in enumerate((feed.filter(F.col("updated") < middle), feed.filter(F.col("updated") >= middle))):
+        save_progress(metrics.last_update_by_project(part), at, batch)
+        save_processed(part.select("key", F.col("updated").alias("processed_at")), at, batch)
+        if batch == 0:
+            compact_ledger(spark, at)
+    marks = load_processed(spark, at).groupBy("key").agg(F.max("processed_at").alias("at"))
+    return load_progress(spark, at).select(F.lit("progress").alias("kind"), F.col("project").alias("name"), iso_format(F.col("last_update")).alias("at")).unionByName(
+        marks.select(F.lit("processed").alias("kind"), F.col("key").alias("name"), iso_format(F.col("at")).alias("at")))
+
+
+@query("corpus_alpaca_roundtrip")
+def corpus_alpaca_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    out = scratch_path(spark, "instructions")
+    build_corpus(spark, _landed(spark, folder), out, layout="lines", glob="*.txt", form="instructions")
+    line = F.parse_json("value")
+    return spark.read.text(out).select(*[F.variant_get(line, f"$.{n}", "string").alias(n) for n in ("instruction", "response", "input")])
+
+
+@query("corpus_rejects")
+def corpus_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a build over damaged documents writes and what it counts as unreadable; issues without a project are written."""
+    out = scratch_path(spark, "corpus")
+    built = build_corpus_counted(spark, _landed(spark, folder, broken=True), out, layout="lines", glob="*.txt", dedupe=False)
+    return spark.read.text(out).agg(F.count(F.lit(1)).alias("n_lines")).select(
+        "n_lines", F.lit(built.rows).cast("long").alias("n_rows"), F.lit(built.documents).cast("long").alias("n_documents"),
+        F.lit(built.rejected).cast("long").alias("n_rejected"))
+
+
 @query("corpus_jsonl_roundtrip")
 def corpus_jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "corpus")
@@ -213,6 +283,12 @@ def comment_projection(spark: SparkSession, folder: str) -> DataFrame:
         "key", "idx", "author", "body", "created")
 
 
+@query("order_by_updated")
+def order_by_updated(spark: SparkSession, folder: str) -> DataFrame:
+    feed = select.order_by_updated(bench.issue_feed(spark, folder))
+    return feed.select("event_id", "key", iso_format(F.col("updated")).alias("updated"))
+
+
 # --- lookups ---
 
 
@@ -287,6 +363,13 @@ def limit_per_project(spark: SparkSession, folder: str) -> DataFrame:
     return select.limit_per_project(feed, 12, page=5, order=order).select("project", "position", "event_id")
 
 
+@query("limit_per_project_large")
+def limit_per_project_large(spark: SparkSession, folder: str) -> DataFrame:
+    """A cap above the limit up to which Spark cuts groups before the shuffle."""
+    order = ("updated", "key", "event_id")
+    return select.limit_per_project(bench.issue_feed(spark, folder), 1190, order=order).select("project", "position", "event_id")
+
+
 @query("dedupe_first")
 def dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe.dedupe_first(bench.issue_feed(spark, folder)).select("key", "event_id", "event_type")
@@ -309,6 +392,14 @@ def append_processed(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.select("key", iso_format(F.col("processed_at")).alias("processed_at"))
 
 
+@query("append_processed_all")
+def append_processed_all(spark: SparkSession, folder: str) -> DataFrame:
+    marks = bench.issue_feed(spark, folder).select("key", F.col("updated").alias("processed_at"))
+    middle = wall_clock(datetime(2024, 1, 16))
+    ledger = dedupe.append_processed(marks.filter(F.col("processed_at") < middle), marks.filter(F.col("processed_at") >= middle))
+    return ledger.select("key", iso_format(F.col("processed_at")).alias("processed_at"))
+
+
 @query("dedupe_ttl")
 def dedupe_ttl(spark: SparkSession, folder: str) -> DataFrame:
     kept = dedupe.dedupe_ttl(bench.issue_feed(spark, folder), timedelta(days=7))
@@ -419,6 +510,12 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
         invalid.select(_doc_id(), "key", F.lit("quarantined").alias("outcome")))
 
 
+@query("validate_strict")
+def validate_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """Without a broken document, a strict job passes every row; with one it fails (see the tests)."""
+    return split_valid(_parsed(spark, folder), strict=True)[0].select(_doc_id(), "key")
+
+
 # --- streams and jobs ---
 
 
@@ -431,39 +528,72 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).select("key", F.col("path_project").alias("project"), "n_violations")
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = bench.table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return events.select(
-        F.concat(F.lit("USER-"), F.col("user_id").cast("string")).alias("key"),
-        F.concat(F.lit("SRC"), (F.col("user_id") % 20).cast("string")).alias("project"),
-        F.col("ts").alias("updated"))
+DELIVERIES = 4
+
+
+def _delivered(spark: SparkSession, folder: str, run: Callable[[DataFrame], object]) -> None:
+    """Let the events come in deliveries that each span all times, and run the stream over what is new after each."""
+    landing, events = scratch_path(spark, "events"), bench.table(spark, folder, "events")
+    for n in range(DELIVERIES):
+        events.filter(F.col("event_id") % DELIVERIES == n).write.mode("append").parquet(landing)
+        feed = spark.readStream.schema(events.schema).parquet(landing)
+        run(feed.select(
+            F.concat(F.lit("USER-"), F.col("user_id").cast("string")).alias("key"),
+            F.concat(F.lit("SRC"), (F.col("user_id") % 20).cast("string")).alias("project"),
+            F.col("ts").alias("updated")))
 
 
 @query("stream_dedupe")
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
-    out = scratch_path(spark, "stream-dedupe")
-    unique = streams.stream_dedupe(_event_stream(spark, folder)).select("key", "project")
-    streams.run_available(unique, scratch_path(spark, "checkpoint"), streams.append_by_batch(out))
+    out, checkpoint = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "checkpoint")
+    _delivered(spark, folder, lambda feed: streams.run_available(
+        streams.stream_dedupe(feed).select("key", "project"), checkpoint, streams.append_by_batch(out)))
     return spark.read.parquet(out).select("key", "project")
 
 
 @query("stream_dedupe_ledger")
 def stream_dedupe_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    at = scratch_path(spark, "stream-ledger")
-    feed = _event_stream(spark, folder)
-    streams.stream_dedupe_ledger(feed, scratch_path(spark, "checkpoint"), at, timedelta(days=7))
+    at, checkpoint = scratch_path(spark, "stream-ledger"), scratch_path(spark, "checkpoint")
+    _delivered(spark, folder, lambda feed: streams.stream_dedupe_ledger(feed, checkpoint, at, timedelta(days=7)))
     return spark.read.parquet(f"{at}/kept").select("key", iso_format(F.col("updated")).alias("updated"))
 
 
+@query("stream_dedupe_state")
+def stream_dedupe_state(spark: SparkSession, folder: str) -> DataFrame:
+    out, checkpoint = scratch_path(spark, "stream-state"), scratch_path(spark, "checkpoint")
+    with streams.with_rocksdb(spark):
+        _delivered(spark, folder, lambda feed: streams.run_available(
+            streams.stream_dedupe_state(feed, timedelta(days=7)), checkpoint, streams.append_by_batch(out)))
+    return spark.read.parquet(out).select("key", iso_format(F.col("updated")).alias("updated"))
+
+
 @query("stream_progress")
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    state = scratch_path(spark, "stream-progress")
-    feed = _event_stream(spark, folder)
-    streams.stream_progress(feed, scratch_path(spark, "checkpoint"), state)
+    """The saved marks, and what the state store of the stream holds."""
+    state, checkpoint = scratch_path(spark, "stream-progress"), scratch_path(spark, "checkpoint")
+    _delivered(spark, folder, lambda feed: streams.stream_progress(feed, checkpoint, state))
     return load_progress(spark, state).select("project", iso_format(F.col("last_update")).alias("last_update"))
 
 
+@query("stream_progress_audit")
+def stream_progress_audit(spark: SparkSession, folder: str) -> DataFrame:
+    state, checkpoint = scratch_path(spark, "stream-progress"), scratch_path(spark, "checkpoint")
+    _delivered(spark, folder, lambda feed: streams.stream_progress(feed, checkpoint, state))
+    held = streams.progress_in_state(spark, checkpoint).select("project", iso_format(F.col("last_update")).alias("in_state"))
+    saved = load_progress(spark, state).select("project", iso_format(F.col("last_update")).alias("saved"))
+    return held.join(saved, "project", "full")
+
+
+@query("stream_counters")
+def stream_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters of a streamed job: issues per project, rejects per project and rule, over all its batches."""
+    at = scratch_path(spark, "stream-counters")
+    streams.stream_corpus(
+        spark, _landed(spark, folder, broken=True), f"{at}/checkpoint", f"{at}/store", f"{at}/state", f"{at}/corpus",
+        layout="lines", max_files=8, glob="*.txt")
+    return streams.read_counters(spark, f"{at}/state")
+
+
 @query("stream_corpus")
 def stream_corpus(spark: SparkSession, folder: str) -> DataFrame:
     at = scratch_path(spark, "stream-corpus")
@@ -492,6 +622,25 @@ def ingest(spark: SparkSession, folder: str) -> DataFrame:
     return stored.unionByName(rejected)
 
 
+@query("ingest_latest")
+def ingest_latest(spark: SparkSession, folder: str) -> DataFrame:
+    at = scratch_path(spark, "ingest")
+    docs = bench.raw_documents(spark, folder, broken=True).select("value", "source_path", "doc_id")
+    for batch, part in enumerate(("doc_id % 3 < 2", "doc_id % 3 > 0")):
+        ingest_documents(docs.filter(part), f"{at}/store", f"{at}/state", batch=batch, mode="latest")
+    return read_store(spark, f"{at}/store", latest=True).select("key", iso_format(F.col("updated")).alias("updated"), "batch")
+
+
+@query("ingest_resume")
+def ingest_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the documents, then all of them from the day on up to which their project has been stored."""
+    at = scratch_path(spark, "ingest")
+    docs = bench.raw_documents(spark, folder, broken=True).select("value", "source_path", "doc_id")
+    ingest_documents(docs.filter("doc_id % 4 < 2"), f"{at}/store", f"{at}/state", batch=0)
+    ingest_documents(docs, f"{at}/store", f"{at}/state", batch=1, resume=True)
+    return read_store(spark, f"{at}/store").select("key", "batch")
+
+
 # --- fetch audits ---
 
 
@@ -505,6 +654,11 @@ def missing_pages_capped(spark: SparkSession, folder: str) -> DataFrame:
     return fetch.missing_pages(bench.search_pages(spark, folder), max_issues=400, page=10)
 
 
+@query("missing_ranges")
+def missing_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    return fetch.missing_ranges(bench.search_pages(spark, folder, mixed=True))
+
+
 @query("retry_backlog")
 def retry_backlog(spark: SparkSession, folder: str) -> DataFrame:
     return fetch.retry_backlog(bench.fetch_log(spark, folder))

@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 from ticketloom.functions.times import wall_clock
 from ticketloom.operators.dedupe import dedupe_first, dedupe_latest, drop_processed
 from ticketloom.operators.metrics import last_update_by_project
+from ticketloom.operators.select import resume as resume_after
 from ticketloom.operators.validate import split_valid
 from ticketloom.session import discard, scratch_path
 from ticketloom.sinks.keyed import batch_path
 from ticketloom.sinks.tables import commit_batch, read_store, save_processed, save_progress, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
-from ticketloom.sources.state import has_batch, load_processed
+from ticketloom.sources.state import has_batch, load_processed, load_progress
 
 
 def ingest_documents(docs: DataFrame, store: str, state: str, batch: int, mode: str = "first",
                      shape: str = "auto", strict: bool = False, form: str = "parquet",
-                     processed_at: datetime | None = None, writer: str = "job", replace: bool = False) -> None:
+                     processed_at: datetime | None = None, writer: str = "job", replace: bool = False, resume: bool = False) -> None:
     """Store one batch of raw documents under the next number of its writer.
 
     A number that was completed is refused unless ``replace`` says to run it again.
 
+    ``resume`` leaves out rows from before the day up to which their project has been stored; a batch that is run again
+    does not count its own progress.
+
     ``mode="first"`` never replaces a stored key; ``"latest"`` adds the newer version, and
     ``read_store(latest=True)`` picks it. Parsing happens once: the parsed batch is written to the
     shared folder, then rejects, issues and state are narrow reads of Parquet. State is saved last,
@@ -48,6 +52,8 @@ def ingest_documents(docs: DataFrame, store: str, state: str, batch: int, mode:
     invalid.select(*kept).write.mode("overwrite").parquet(batch_path(f"{state}/quarantine", writer, batch))
 
     fresh = valid.drop("violations", "value", "path_project")
+    if resume:
+        fresh = resume_after(fresh, load_progress(spark, state, without=(writer, batch)))
     if mode == "first":
         # known rows go first, so that the wide sort of the rest is small
         fresh = dedupe_first(drop_processed(fresh, load_processed(spark, state, without=(writer, batch), keys=fresh)))

@@ -104,8 +104,11 @@ def read_live(spark: SparkSession, root: str, schema: T.StructType, manifest: Ma
 
 
 def merge_batches(spark: SparkSession, root: str, schema: T.StructType, newest: Callable[[DataFrame], DataFrame],
-                  partitions: tuple[str, ...] = ()) -> int:
-    """Merge the batches that were delivered since the last merge; ``newest`` picks one row per key. Returns the version."""
+                  order: tuple[str, ...] = ()) -> int:
+    """Merge the batches that were delivered since the last merge; ``newest`` picks one row per key. Returns the version.
+
+    ``order`` sorts the rows of a file, so that filters on those columns skip by its statistics.
+    """
     known = read_manifest(spark, root)
     pending = read_batches(spark, root, schema, without=known.merged)
     taken = [(r["writer"], r["batch"]) for r in pending.select("writer", "batch").distinct().collect()]  # one row per batch
@@ -114,8 +117,8 @@ def merge_batches(spark: SparkSession, root: str, schema: T.StructType, newest:
     version, touched = known.version + 1, buckets_of(pending)
     rows = newest(pending.unionByName(read_live(spark, root, schema, known, touched))).withColumn("bucket", bucket_of("key"))
     # a bucket is a few files; adaptive execution splits a large one
-    rows.hint("rebalance", "bucket", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "bucket", *partitions).parquet(f"{root}/_live/generation={version}")
+    rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *order).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{root}/_live/generation={version}")
     merged = {w: list(ns) for w, ns in known.merged.items()}
     for writer, batch in taken:
         merged.setdefault(writer, []).append(batch)

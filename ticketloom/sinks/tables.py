@@ -136,7 +136,7 @@ def read_store(spark: SparkSession, path: str, form: str = "parquet", latest: bo
 
 def compact_store(spark: SparkSession, path: str) -> int:
     """Merge the batches of a Parquet store: afterwards each key has one row, its newest, and ``read_store(latest=True)`` is a scan."""
-    return merge_batches(spark, path, _ISSUES, dedupe_latest, ("project",))
+    return merge_batches(spark, path, _ISSUES, dedupe_latest, order=("project",))
 
 
 def write_corpus(corpus: DataFrame, path: str) -> int:

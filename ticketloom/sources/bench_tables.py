@@ -150,10 +150,11 @@ def fetch_log(spark: SparkSession, folder: str) -> DataFrame:
         F.when(n % 5 == 0, "400").when(n % 5 == 1, "abc").when(n % 5 == 2, "30").alias("retry_after"), "ts")
 
 
-def search_pages(spark: SparkSession, folder: str) -> DataFrame:
+def search_pages(spark: SparkSession, folder: str, mixed: bool = False) -> DataFrame:
     """Search responses: up to ten documents of a source per page of 200 document numbers.
 
-    Every seventh page failed and every eleventh is cut off, by a number made of page and source.
+    Every seventh page failed and every eleventh is cut off, by a number made of page and source. ``mixed`` pages state
+    sizes of 10, 4 and 25 by turns.
     """
     docs = table(spark, folder, "documents").select(
         F.upper("source").alias("project"), F.expr("doc_id div 200").alias("page"), "doc_id")
@@ -163,7 +164,8 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     # a page covers 200 document numbers, so its list has at most 200 entries
     pages = docs.groupBy("project", "page").agg(F.sort_array(F.collect_list(entry)).alias("issues"))
     number = F.col("page") * 20 + F.substring("project", 4, 9).cast("int")
-    body = F.to_json(F.struct("issues", "total", F.lit(10).alias("maxResults")))
+    size = F.when(F.col("page") % 3 == 1, 4).when(F.col("page") % 3 == 2, 25).otherwise(10) if mixed else F.lit(10)
+    body = F.to_json(F.struct("issues", "total", size.alias("maxResults")))
     return pages.join(totals, "project").select(
         "project", (F.col("page") * 10).alias("start_at"),
         F.when(number % 7 == 3, 500).otherwise(200).alias("status"),

@@ -16,9 +16,9 @@ def has_batch(spark: SparkSession, folder: str, writer: str, batch: int) -> bool
     return path_exists(spark, path) and not spark.read.schema("keys long").json(path).isEmpty()
 
 
-def load_progress(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest saved mark per project. A damaged file fails the read."""
-    rows = read_batches(spark, f"{folder}/progress", PROGRESS_SCHEMA)
+def load_progress(spark: SparkSession, folder: str, without: tuple[str, int] | None = None) -> DataFrame:
+    """Latest saved mark per project, of all batches but one. A damaged file fails the read."""
+    rows = read_batches(spark, f"{folder}/progress", PROGRESS_SCHEMA, without={without[0]: [without[1]]} if without else None)
     return rows.groupBy("project").agg(F.max("last_update").alias("last_update"))
 
 
