@@ -1,8 +1,9 @@
 """Line dedup by overlapping three-line windows.
 
 Every run of three consecutive lines is a window, known by 128 bits of its lines. The first place of a
-window, by document id and position, stays; at every later place its three lines are covered, and the
-union of covered lines is removed. Lines are split at \\n and compared exactly; lines without a word
+window, by document id and position, covers nothing; at every later place its three lines are covered, and the
+union of covered lines is removed. A later window that overlaps a first one also takes the lines they share: of many
+equal lines in a row the first alone stays. Lines are split at \\n and compared exactly; lines without a word
 are not part of any window and stay. Rows that repeat id and text are places of their own: one of them,
 which does not matter, keeps its lines.
 """
