@@ -36,11 +36,15 @@ def test_duplicates_are_cut_before_the_shuffle(spark):
 
 
 def test_every_table_is_shuffled_once(spark):
+    # as on a cluster: no broadcast, and as many partitions as a small scan is dealt to
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
     try:
         text = plan(QUERIES["corpus"](spark, SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert text.count("Exchange hashpartitioning") == text.count("FileScan parquet") == 7
 
 
