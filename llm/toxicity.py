@@ -30,10 +30,11 @@ from ticketloom.session import written
 
 #: Texts that the classifier is fitted on at most.
 FIT_ROWS = 6_000
-#: Hashed features, those of them that the classifier weighs, and letter sequences of the learned voters.
-FEATURES, CHOSEN, MINED = 1 << 18, 3_000, 600
-#: Voters that single tokens move: five lexicons and three mined groups.
+#: Hashed features, and those of them that the classifier weighs.
+FEATURES, CHOSEN = 1 << 18, 3_000
+#: Voters that single tokens move: five lexicons and three mined groups. The next bit marks tokens with a stretched letter.
 VOTING = 8
+STRETCHED = 1 << VOTING
 THRESHOLD = 0.7
 HELD_OUT, FOLDS = 1, 3
 
@@ -87,21 +88,47 @@ def token_features(bits: PerToken) -> Callable[[str], list[int]]:
     """Features of a token: the voters it moves, then itself and its letter sequences by their hashes."""
     def of(token: str) -> list[int]:
         moved = bits[token]
-        hashed = [VOTING + crc32(g.encode()) % (FEATURES - VOTING) for g in (token, *grams(token))]
+        hashed = [feature(g) for g in (token, *grams(token))]
         return [i for i in range(VOTING) if moved >> i & 1] + hashed if moved else hashed
     return of
 
 
+def feature(sequence: str) -> int:
+    return VOTING + crc32(sequence.encode()) % (FEATURES - VOTING)
+
+
+def weighed_features(groups: tuple[frozenset, ...], known: dict[str, int], used: frozenset) -> Callable[[str], tuple]:
+    """Features of a token that have a weight, by the sequences of the fitting sample: no hash has to be taken."""
+    masks, parts = vote_tables(groups)
+    told = {g: (parts.get(g, 0), known.get(g)) for g in parts.keys() | known.keys()}
+
+    def of(token: str) -> tuple:
+        moved, found = masks.get(token, 0), []
+        for g in (token, *grams(token)):
+            hit = told.get(g)
+            if hit is not None:
+                moved |= hit[0] if g is not token else 0
+                if hit[1] is not None:
+                    found.append(hit[1])
+        return (*(i for i in range(VOTING) if moved >> i & 1 and i in used), *found) if moved else tuple(found)
+    return of
+
+
 def features_of(text: str | None, features: PerToken) -> np.ndarray:
     """Distinct features of a text."""
-    parts = [features[t] for t in set(tokens_of(text))]
-    return np.fromiter(set().union(*parts), dtype=np.int32)
+    found: set[int] = set()
+    for token in set(tokens_of(text)):
+        some = features[token]
+        if some:
+            found.update(some)
+    return np.fromiter(found, dtype=np.int32)
 
 
 def mine(texts: DataFrame) -> list[str]:
-    """Letter sequences that mark toxic training texts: ``text, toxic`` -> at most MINED of them, by a bounded report.
+    """Letter sequences that mark toxic training texts: ``text, toxic`` -> all that pass the test, the best first.
 
-    Counted over all labelled training texts; only the top of the ranking leaves the executors.
+    Counted over all labelled training texts. As each is in at least 1 % of the toxic texts, there are at most a hundred
+    times as many as a toxic text has on average, whatever the number of texts.
     """
     def total(counts: list[Counter]) -> pa.RecordBatch:
         found = list(counts[0].keys() | counts[1].keys())
@@ -128,24 +155,30 @@ def mine(texts: DataFrame) -> list[str]:
     # a sequence counts if it is in at least 1 % of the toxic texts and 25 times likelier there
     lift = (F.col("bad") / n_bad) / ((F.col("clean") + 0.5) / n_clean)
     rows = counted.where((F.col("bad") >= F.lit(max(3, 0.01 * n_bad))) & (lift >= 25)).orderBy(
-        F.desc(F.col("bad") * F.log(lift)), "gram").limit(MINED).collect()
+        F.desc(F.col("bad") * F.log(lift)), "gram").collect()
     return [r["gram"] for r in rows]
 
 
 LEXICONS = (INSULTS, CONTEMPT, THREATS, PROFANE, FOREIGN)
 
 
-def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
-    """Bits of the voters that a token makes vote: the lexicons, then the mined groups."""
+def vote_tables(mined: tuple[frozenset, ...]) -> tuple[dict[str, int], dict[str, int]]:
+    """Bits of the voters that lexicon words and mined sequences make vote."""
     masks = {word: 0 for words in LEXICONS for word in words}
     for i, words in enumerate(LEXICONS):
         masks |= {word: masks[word] | 1 << i for word in words}
     parts: dict[str, int] = {}
     for i, group in enumerate(mined):
         parts |= {g: parts.get(g, 0) | 1 << len(LEXICONS) + i for g in group}
+    return masks, parts
+
+
+def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
+    """Bits of the voters that a token makes vote: the lexicons, then the mined groups; and whether a letter is stretched."""
+    masks, parts = vote_tables(mined)
 
     def of(token: str) -> int:
-        found = masks.get(token, 0)
+        found = masks.get(token, 0) | (STRETCHED if _STRETCHED.search(token) else 0)
         for g in grams(token) if parts else ():
             if g in parts:
                 found |= parts[g]
@@ -157,10 +190,13 @@ def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
 def votes(text: str | None, bits: PerToken, mined: bool) -> tuple[int, ...]:
     """1 toxic, -1 not toxic, 0 abstain, in the order of ``VOTERS``."""
     text, n = text or "", len(LEXICONS)
-    found = 0
-    for token in set(tokens_of(text)):
+    found, tokens = 0, set(tokens_of(text))
+    for token in tokens:
         found |= bits[token]
-    out = [found >> i & 1 for i in range(n)] + [int(bool(p.search(text))) for p in (_SHOUT, _STRETCHED, _ADDRESS)]
+    # what a pattern needs is looked for first: most texts have no such token, sign or word
+    out = [found >> i & 1 for i in range(n)] + [
+        int("!" in text and bool(_SHOUT.search(text))), int(bool(found & STRETCHED) and bool(_STRETCHED.search(text))),
+        int("you" in tokens and bool(_ADDRESS.search(text)))]
     # learned voters speak either way, as they know what training texts look like
     out += [1 if found >> n + i & 1 else -1 if mined else 0 for i in range(3)]
     out.append(0 if any(v > 0 for v in out) else -1)
@@ -260,20 +296,22 @@ def linear(w: np.ndarray, bias: float, features: np.ndarray) -> float:
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One text per id of a bounded, distinct set of ids, which is broadcast."""
-    return docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    """One text per id of a bounded, distinct set of ids, which is broadcast: of rows that share the id, the smallest text."""
+    rest = [F.first(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), *rest)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """``doc_id, text`` and ``doc_id, toxic`` -> the fitted model, a few hundred kB.
 
     Only labels of ids outside the held-out fold are read, and all of those: they mine the voters, give the prior
-    and start the label model. An id with several labels is toxic if one says so.
+    and start the label model. An id with several labels is toxic if one says so; all rows of a labelled id count.
     """
     some = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     marks = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(
         "doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    marked = written(docs.join(marks, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"), "toxic-marked")
+    # the same plan at every size: texts are shuffled by id
+    marked = written(docs.join(marks.hint("merge"), "doc_id").select("doc_id", "text", "toxic"), "toxic-marked")
     found = mine(marked)
     groups = tuple(frozenset(found[k::3]) for k in range(3))
 
@@ -283,28 +321,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 cast = [json.dumps(votes(t, bits, bool(found))) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(cast, pa.string())], names=["toxic", "pattern"])
-
-    def tally(texts: DataFrame) -> list:
-        return texts.select("toxic", "text").mapInArrow(vote, "toxic int, pattern string").groupBy("pattern").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect()
-
-    # every document votes; at most 3 ** voters patterns come back, in practice some hundred
-    counted = sorted((json.loads(r["pattern"]), r["n"]) for r in tally(docs.withColumn("toxic", F.lit(0))))
-    marks_of = {r["pattern"]: (r["n"] - r["toxic"], r["toxic"]) for r in tally(marked)}
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cast, pa.string())], names=["doc_id", "pattern"])
+
+    # every document votes, once; at most 3 ** voters patterns come back, in practice some hundred
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    ballots = written(docs.select("doc_id", "text").mapInArrow(vote, f"doc_id {id_type}, pattern string"), "toxic-votes")
+    counted = sorted((json.loads(r["pattern"]), r["n"]) for r in ballots.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect())
+    marks_of = {r["pattern"]: (r["clean"], r["toxic"]) for r in ballots.join(marks, "doc_id").groupBy("pattern").agg(
+        F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")).collect()}
     share = marked.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     prior = min(max(share if share is not None else 0.05, 0.001), 0.5)
     if not counted:
-        return {"w": np.zeros(FEATURES, np.float32), "bias": -5.0, "scale": 1.0, "offset": 0.0, "groups": groups}
+        return {"w": np.zeros(FEATURES, np.float32), "bias": -5.0, "scale": 1.0, "offset": 0.0, "groups": groups, "known": {}}
     patterns = np.array([p for p, _ in counted])
     known = np.array([marks_of.get(json.dumps(p), (0, 0)) for p, _ in counted], dtype=float)
     weights, bias = fit_label_model(patterns, np.array([c for _, c in counted], dtype=float), known, prior)
     soft = dict(zip([json.dumps(p) for p, _ in counted], posterior(patterns, weights, bias).tolist(), strict=True))
     # the fitting sample: labelled texts, which also set offset and scale, and any texts
     any_ids = some(docs.where("doc_id is not null").select("doc_id").distinct(), FIT_ROWS // 3)
-    marked_ids = some(marked.select("doc_id"), FIT_ROWS - FIT_ROWS // 3)
-    sample = _texts(marked, marked_ids).select("doc_id", "text", "toxic").unionByName(
-        _texts(docs, any_ids).select("doc_id", "text", F.lit(None).cast("int").alias("toxic")))
+    marked_ids = some(marked.select("doc_id").distinct(), FIT_ROWS - FIT_ROWS // 3)
+    sample = written(_texts(marked, marked_ids).select("doc_id", "text", "toxic").unionByName(
+        _texts(docs, any_ids).select("doc_id", "text", F.lit(None).cast("int").alias("toxic"))), "toxic-fitting")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = token_votes(groups)
@@ -318,8 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                     pa.array([features_of(t, features).tobytes() for t in texts], pa.binary())],
                     names=["doc_id", "toxic", "soft", "features"])
 
-    sets = written(sample.mapInArrow(featurise, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, "
-                                     "soft double, features binary"), "toxic-sample")
+    sets = written(sample.mapInArrow(featurise, f"doc_id {id_type}, toxic int, soft double, features binary"), "toxic-sample")
 
     def train(group: pd.DataFrame) -> pd.DataFrame:  # one task, FIT_ROWS rows at most
         group = group.sort_values(["doc_id", "toxic"])
@@ -332,8 +368,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     fitted = sets.groupBy(F.lit(0).alias("one")).applyInPandas(train, "w binary, bias double, scale double, offset double").first()
     if fitted is None:
-        return {"w": np.zeros(FEATURES, np.float32), "bias": -5.0, "scale": 1.0, "offset": 0.0, "groups": groups}
-    return {"groups": groups, "w": np.frombuffer(fitted["w"], np.float32), **{k: fitted[k] for k in ("bias", "scale", "offset")}}
+        return {"w": np.zeros(FEATURES, np.float32), "bias": -5.0, "scale": 1.0, "offset": 0.0, "groups": groups, "known": {}}
+    w = np.frombuffer(fitted["w"], np.float32)
+    used = frozenset(np.flatnonzero(w).tolist())
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = set().union(*(tokens_of(t) for t in batch.column("text").to_pylist()))
+            sequences = {g for t in tokens for g in (t, *grams(t))}
+            yield pa.RecordBatch.from_arrays([pa.array([g for g in sequences if feature(g) in used], pa.string())], names=["sequence"])
+
+    # the sequences of the sample behind the features that have a weight: bounded as the sample is
+    known = {r["sequence"]: feature(r["sequence"]) for r in sample.select("text").mapInArrow(spell, "sequence string").distinct().collect()}
+    return {"groups": groups, "w": w, "known": known, **{k: fitted[k] for k in ("bias", "scale", "offset")}}
 
 
 def calibrate(z: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -355,9 +402,8 @@ def scored(rows: DataFrame, model: dict) -> DataFrame:
     """``doc_id, text, ...`` -> the same with ``score``, from 0 to 1, over whole texts. Null and empty texts have no features."""
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = model["w"].astype(np.float64)
-        used = set(np.flatnonzero(w).tolist())
-        every = token_features(token_votes(model["groups"]))
-        features = PerToken(lambda token: [f for f in every(token) if f in used])
+        used = frozenset(np.flatnonzero(w).tolist())
+        features = PerToken(weighed_features(model["groups"], model["known"], used))
         for series in texts:
             z = np.array([linear(w, model["bias"], features_of(t, features)) for t in series])
             yield pd.Series(1 / (1 + np.exp(-np.clip(model["scale"] * z + model["offset"], -30, 30))))
