@@ -24,7 +24,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL states neither the certified cutoffs, the signatures nor the tokenizer; tests/llm has a brute-force version.
+#: SQL states neither the certified cutoffs, the signatures nor the tokenizer; tests/llm checks the stages one by one.
 ORACLE_SQL = None
 
 
