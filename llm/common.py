@@ -35,10 +35,12 @@ def content_key(text: Column) -> Column:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit numbers (the finaliser of splitmix64)."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # an array of its own, which the rest changes in place
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def unit(x: np.ndarray) -> np.ndarray:

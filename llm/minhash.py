@@ -38,6 +38,8 @@ LEAST_EQUAL = 146
 #: Texts and characters of one block of a bucket, on average; two blocks meet in one task at a time.
 BLOCK, BLOCK_CHARS = 2048, 16_000_000
 REMEMBERED = 400_000
+#: Sketches that a task keeps for exact copies, about 600 bytes each.
+REMEMBERED_TEXTS = 20_000
 #: Cells of a text that are looked at in one step.
 GRID = 2_000_000
 
@@ -143,7 +145,8 @@ def _darts(values: np.ndarray, weights: np.ndarray, cells: range) -> tuple[np.nd
 
 def signature(values: np.ndarray, weights: np.ndarray, k: int = K) -> np.ndarray:
     """The dart of least rank per coordinate, as 64-bit ids. At least one element is needed."""
-    theta = k * (math.log(k) + 0.5) / float(weights.sum())
+    # 14 % of the texts need a second look; what the first one finds does not depend on how far it goes
+    theta = k * (math.log(k) + 2.0) / float(weights.sum())
     kept, best, done = np.zeros(k, dtype=np.uint64), np.full(k, np.inf), 0
     while np.isinf(best).any():  # a coordinate without a dart: look at higher ranks too
         while _rank_cuts(len(_CUTS) - 1)[-1] < theta:
@@ -154,7 +157,7 @@ def signature(values: np.ndarray, weights: np.ndarray, k: int = K) -> np.ndarray
         np.minimum.at(best, slot, ranks)
         least = ranks == best[slot]
         kept[slot[least]] = ids[least]
-        done, theta = ahead, theta * 1.1
+        done, theta = ahead, theta * 1.2
     return kept
 
 
@@ -175,15 +178,21 @@ def sketches(docs: DataFrame) -> DataFrame:
     schema = rows.drop("text").schema.add("bands", ArrayType(LongType())).add("sketch", BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: dict[bytes, tuple] = {}  # exact copies that a task meets again are sketched once
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 bands, bytes_ = [], []
-                for text in part.column("text").to_pylist():
-                    elements = shingles(text)
-                    kept = signature(*elements) if len(elements[0]) else None
-                    bands.append([] if kept is None else band_keys(kept))
-                    bytes_.append(b"" if kept is None else (kept & np.uint64(255)).astype(np.uint8).tobytes())
+                for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    if len(done) > REMEMBERED_TEXTS:
+                        done.clear()
+                    if key not in done:
+                        elements = shingles(text)
+                        kept = signature(*elements) if len(elements[0]) else None
+                        done[key] = ([], b"") if kept is None else (
+                            band_keys(kept), (kept & np.uint64(255)).astype(np.uint8).tobytes())
+                    bands.append(done[key][0])
+                    bytes_.append(done[key][1])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], pa.array(bands, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())],
                     names=["row_id", "doc_id", "key", "bands", "sketch"])
