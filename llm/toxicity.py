@@ -1,13 +1,12 @@
 """Toxicity by weak supervision.
 
 1. Voters. Lexicon voters look for insults and hostile phrases; pattern voters look for shouting, stretched
-   letters and the like; learned voters look for groups of letter sequences that training labels mark as
-   toxic. Each votes toxic, not toxic, or abstains, on every document.
+   letters and the like; learned voters look for letter sequences, and for words and beginnings of words, that training labels mark as toxic. Each votes toxic, not toxic, or abstains, on every document.
 2. Label model. The vote patterns of all documents are counted, which is all that a generative model needs: a
    hidden label, an accuracy and a coverage per voter, fitted by expectation-maximisation. Pairs of voters that
    still agree more than their accuracies explain are correlated; their votes share one weight.
-3. Classifier. A logistic regression on hashed letter sequences and on the voters that words move learns the posterior labels of a bounded sample of
-   documents and scores whole texts. Training labels fix its offset and scale.
+3. Classifier. A logistic regression on hashed letter sequences, words, their beginnings and the voters that words move
+   learns the posterior labels of a bounded sample of documents and scores whole texts. Training labels fix its offset and scale.
 """
 
 from __future__ import annotations
@@ -30,11 +29,15 @@ from ticketloom.session import written
 
 #: Texts that the classifier is fitted on at most.
 FIT_ROWS = 6_000
-#: Hashed features, and those of them that the classifier weighs.
-FEATURES, CHOSEN = 1 << 18, 3_000
-#: Voters that single tokens move: five lexicons and three mined groups. The next bit marks tokens with a stretched letter.
-VOTING = 8
+FEATURES = 1 << 20
+#: Voters that tokens move: five lexicons, mined sequences, mined stems. The next bit marks tokens with a stretched letter.
+VOTING = 7
 STRETCHED = 1 << VOTING
+#: The last two speak where this many different tokens move them: a single one happens by chance in a long text.
+MINED = (VOTING - 2, VOTING - 1)
+AGREEING = 2
+#: Letters of the beginnings of words. With both marks, a stem is longer than any other letter sequence.
+BEGINNINGS = range(5, 10)
 THRESHOLD = 0.7
 HELD_OUT, FOLDS = 1, 3
 
@@ -50,9 +53,9 @@ FOREIGN = frozenset((
 _SHOUT = re.compile(r"\b[A-ZÀ-Þ]{4,}\b.*!", re.S)
 _STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
 _ADDRESS = re.compile(r"\byou(?:'re| are)? (?:an? |such )?(?:idiot|moron|loser|fool|clown|stupid|pathetic|worthless)", re.I)
-#: Names of the voters in the order of their votes; at most 3 ** 12 patterns of votes are possible.
+#: Names of the voters in the order of their votes; at most 2 ** 12 patterns of votes are possible, as each says one thing or nothing.
 VOTERS = ("insults", "contempt", "threats", "profane", "foreign", "shouting", "stretched", "address",
-          "learned_0", "learned_1", "learned_2", "no_signal")
+          "sequences", "stems", "no_stems", "no_signal")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -70,6 +73,15 @@ def grams(token: str) -> list[str]:
     return [marked[i:i + 4] for i in range(n - 3)] + [marked[i:i + 5] for i in range(n - 4)]
 
 
+def stems(token: str) -> list[str]:
+    """A token as a whole and its beginnings: inflected languages keep the stem and change what follows."""
+    return [f"^{token[:k]}" for k in BEGINNINGS if len(token) >= k] + ([f"^{token}$"] if len(token) > 3 else [])
+
+
+def parts_of(token: str) -> list[str]:
+    return grams(token) + stems(token)
+
+
 class PerToken(dict):
     """What ``of`` says of a token, remembered within a bound."""
 
@@ -85,11 +97,11 @@ class PerToken(dict):
 
 
 def token_features(bits: PerToken) -> Callable[[str], list[int]]:
-    """Features of a token: the voters it moves, then itself and its letter sequences by their hashes."""
+    """Features of a token: the voters it moves, the mined ones first, then its sequences and stems by their hashes."""
     def of(token: str) -> list[int]:
         moved = bits[token]
-        hashed = [feature(g) for g in (token, *grams(token))]
-        return [i for i in range(VOTING) if moved >> i & 1] + hashed if moved else hashed
+        hashed = [feature(g) for g in parts_of(token)]
+        return [i for i in reversed(range(VOTING)) if moved >> i & 1] + hashed if moved else hashed
     return of
 
 
@@ -104,31 +116,36 @@ def weighed_features(groups: tuple[frozenset, ...], known: dict[str, int], used:
 
     def of(token: str) -> tuple:
         moved, found = masks.get(token, 0), []
-        for g in (token, *grams(token)):
+        for g in parts_of(token):
             hit = told.get(g)
             if hit is not None:
-                moved |= hit[0] if g is not token else 0
+                moved |= hit[0]
                 if hit[1] is not None:
                     found.append(hit[1])
-        return (*(i for i in range(VOTING) if moved >> i & 1 and i in used), *found) if moved else tuple(found)
+        return (*(i for i in reversed(range(VOTING)) if moved >> i & 1 and i in used), *found) if moved else tuple(found)
     return of
 
 
 def features_of(text: str | None, features: PerToken) -> np.ndarray:
-    """Distinct features of a text."""
+    """Distinct features of a text. A mined voter is one of them where enough tokens move it."""
     found: set[int] = set()
+    moved = [0, 0]
     for token in set(tokens_of(text)):
         some = features[token]
         if some:
+            for i in some[:2]:
+                if i in MINED:
+                    moved[i - MINED[0]] += 1
             found.update(some)
+    found.difference_update(i for i, n in zip(MINED, moved, strict=True) if n < AGREEING)
     return np.fromiter(found, dtype=np.int32)
 
 
 def mine(texts: DataFrame) -> list[str]:
-    """Letter sequences that mark toxic training texts: ``text, toxic`` -> all that pass the test, the best first.
+    """Letter sequences and stems that mark toxic training texts: ``text, toxic`` -> all that pass the test, the best first.
 
-    Counted over all labelled training texts. As each is in at least 1 % of the toxic texts, there are at most a hundred
-    times as many as a toxic text has on average, whatever the number of texts.
+    Counted over all labelled training texts. As a sequence is in at least 1 % of the toxic texts and a stem in 0.2 %, there
+    are at most 100 and 500 times as many as a toxic text has on average, whatever the number of texts.
     """
     def total(counts: list[Counter]) -> pa.RecordBatch:
         found = list(counts[0].keys() | counts[1].keys())
@@ -139,11 +156,12 @@ def mine(texts: DataFrame) -> list[str]:
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [Counter(), Counter()]
+        parts = PerToken(parts_of, 50_000)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
-                    counts[1 if toxic else 0].update({g for t in set(tokens_of(text)) for g in grams(t)})
+                    counts[1 if toxic else 0].update(set().union(*(parts[t] for t in set(tokens_of(text)))))
                 if len(counts[0]) > 400_000:
                     yield total(counts)
         yield total(counts)
@@ -152,9 +170,10 @@ def mine(texts: DataFrame) -> list[str]:
     n_clean, n_bad = max(1, totals[0]), max(1, totals[1])
     counted = texts.select("text", "toxic").mapInArrow(explode, "gram string, clean long, bad long").groupBy("gram").agg(
         F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
-    # a sequence counts if it is in at least 1 % of the toxic texts and 25 times likelier there
+    # what counts is 25 times likelier in toxic texts; a stem belongs to one language and may be rarer among them
+    least = F.when(F.length("gram") > 5, F.lit(max(3, 0.002 * n_bad))).otherwise(F.lit(max(3, 0.01 * n_bad)))
     lift = (F.col("bad") / n_bad) / ((F.col("clean") + 0.5) / n_clean)
-    rows = counted.where((F.col("bad") >= F.lit(max(3, 0.01 * n_bad))) & (lift >= 25)).orderBy(
+    rows = counted.where((F.col("bad") >= least) & (lift >= 25)).orderBy(
         F.desc(F.col("bad") * F.log(lift)), "gram").collect()
     return [r["gram"] for r in rows]
 
@@ -163,7 +182,7 @@ LEXICONS = (INSULTS, CONTEMPT, THREATS, PROFANE, FOREIGN)
 
 
 def vote_tables(mined: tuple[frozenset, ...]) -> tuple[dict[str, int], dict[str, int]]:
-    """Bits of the voters that lexicon words and mined sequences make vote."""
+    """Bits of the voters that lexicon words, mined sequences and stems make vote."""
     masks = {word: 0 for words in LEXICONS for word in words}
     for i, words in enumerate(LEXICONS):
         masks |= {word: masks[word] | 1 << i for word in words}
@@ -174,12 +193,12 @@ def vote_tables(mined: tuple[frozenset, ...]) -> tuple[dict[str, int], dict[str,
 
 
 def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
-    """Bits of the voters that a token makes vote: the lexicons, then the mined groups; and whether a letter is stretched."""
+    """Bits of the voters that a token makes vote: the lexicons, the mined sequences, the stems; and whether a letter is stretched."""
     masks, parts = vote_tables(mined)
 
     def of(token: str) -> int:
         found = masks.get(token, 0) | (STRETCHED if _STRETCHED.search(token) else 0)
-        for g in grams(token) if parts else ():
+        for g in parts_of(token) if parts else ():
             if g in parts:
                 found |= parts[g]
         return found
@@ -190,16 +209,20 @@ def token_votes(mined: tuple[frozenset, ...]) -> PerToken:
 def votes(text: str | None, bits: PerToken, mined: bool) -> tuple[int, ...]:
     """1 toxic, -1 not toxic, 0 abstain, in the order of ``VOTERS``."""
     text, n = text or "", len(LEXICONS)
-    found, tokens = 0, set(tokens_of(text))
+    found, mined_tokens, tokens = 0, [0, 0], set(tokens_of(text))
     for token in tokens:
-        found |= bits[token]
+        moved = bits[token]
+        if moved:
+            found |= moved
+            for k, i in enumerate(MINED):
+                mined_tokens[k] += moved >> i & 1
     # what a pattern needs is looked for first: most texts have no such token, sign or word
     out = [found >> i & 1 for i in range(n)] + [
         int("!" in text and bool(_SHOUT.search(text))), int(bool(found & STRETCHED) and bool(_STRETCHED.search(text))),
         int("you" in tokens and bool(_ADDRESS.search(text)))]
-    # learned voters speak either way, as they know what training texts look like
-    out += [1 if found >> n + i & 1 else -1 if mined else 0 for i in range(3)]
-    out.append(0 if any(v > 0 for v in out) else -1)
+    # a voter of its own speaks where stems are missing, as nearly every toxic training text has some
+    out += [int(k >= AGREEING) for k in mined_tokens]
+    out += [-1 if mined and not out[-1] else 0, 0 if any(out) else -1]
     return tuple(out)
 
 
@@ -208,11 +231,16 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, known: np.ndarray,
 
     The model: a text is toxic with probability ``prior``; a voter that speaks is right with its own accuracy, and
     says nothing by keeping silent. Expectation-maximisation fits the accuracies on all texts, from a start on the
-    training texts, which keep as much say as all the others; a voter below chance has no weight. What two voters have in common beyond the label is their correlation: a voter's weight is divided by
+    training texts, which keep as much say as all the others. A voter's weight is by how much its accuracy beats chance, in
+    log-odds: chance is one half for a voter that says either, the share of its label for one that only ever says that
+    label; below chance it has no weight. What two voters have in common beyond the label is their correlation: a voter's weight is divided by
     one plus its correlations with the others, so that a group of echoes counts about once.
     """
     m, spoken = patterns.shape[1], patterns != 0
     bias = math.log(prior / (1 - prior))
+    says = (patterns > 0).any(axis=0), (patterns < 0).any(axis=0)
+    together = (spoken.astype(float).T @ (spoken * counts[:, None])) > 0  # who never speak together are no echoes
+    chance = np.where(says[0] & says[1], 0.5, np.where(says[0], prior, 1 - prior))
     share = np.ones(m)
     known = known * (counts.sum() / max(known.sum(), 1.0))
     labelled = known.sum(axis=1)
@@ -221,7 +249,8 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, known: np.ndarray,
     for step in range(rounds):
         right = np.where(patterns > 0, toxic[:, None], 1 - toxic[:, None]) * spoken
         accuracy = (say * counts @ right + known_right + 1) / ((say * counts + labelled) @ spoken + 2)
-        weights = np.log(np.clip(accuracy, 0.5, 0.99)) - np.log(1 - np.clip(accuracy, 0.5, 0.99))
+        better = np.clip(accuracy, chance, np.maximum(chance, 0.99))
+        weights = np.log(better / (1 - better)) - np.log(chance / (1 - chance))
         if step % 10 == 0:
             corr = np.zeros((m, m))
             for w in (say * counts * toxic + known[:, 1], say * counts * (1 - toxic) + known[:, 0]):
@@ -230,6 +259,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, known: np.ndarray,
                     cov = (x * w[:, None]).T @ x / w.sum()
                     sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
                     corr += np.clip(cov / np.outer(sd, sd), 0, 1) * w.sum() / max((say * counts + labelled).sum(), 1.0)
+            corr *= together
             share = 1 / (1 + corr.sum(axis=1) - np.diag(corr))
         new = posterior(patterns, weights * share, bias)
         if np.abs(new - toxic).max() < 1e-7 and step > 20:
@@ -243,7 +273,7 @@ def posterior(patterns: np.ndarray, weights: np.ndarray, bias: float) -> np.ndar
 
 
 def choose_features(sets: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-    """Features at least 4 times likelier in toxic texts: the top CHOSEN by log-likelihood ratio, in ascending order.
+    """Features at least 4 times likelier in toxic texts, by log-likelihood ratio, in ascending order.
 
     What is merely rarer in toxic texts says nothing about a long one and is left out.
     """
@@ -258,9 +288,8 @@ def choose_features(sets: list[np.ndarray], target: np.ndarray) -> np.ndarray:
     gain = sum(part(a, e) for a, e in (
         (pos, every * p / n), (every - pos, every * (n - p) / n), (p - pos, (n - every) * p / n),
         (n - p - every + pos, (n - every) * (n - p) / n)))
-    best = np.argsort(-gain, kind="stable")[:CHOSEN]
     lift = (pos / max(p, 1e-9)) / ((every - pos + 0.5) / max(n - p, 1e-9))
-    return np.sort(best[(gain[best] > 8) & (every[best] >= 3) & (lift[best] >= 4)])
+    return np.flatnonzero((gain > 8) & (every >= 3) & (lift >= 4))
 
 
 def fit_linear(sets: list[np.ndarray], target: np.ndarray, rounds: int = 300, decay: float = 0.5) -> tuple[np.ndarray, float]:
@@ -302,7 +331,7 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
-    """``doc_id, text`` and ``doc_id, toxic`` -> the fitted model, a few hundred kB.
+    """``doc_id, text`` and ``doc_id, toxic`` -> the fitted model, a few MB.
 
     Only labels of ids outside the held-out fold are read, and all of those: they mine the voters, give the prior
     and start the label model. An id with several labels is toxic if one says so; all rows of a labelled id count.
@@ -313,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     # the same plan at every size: texts are shuffled by id
     marked = written(docs.join(marks.hint("merge"), "doc_id").select("doc_id", "text", "toxic"), "toxic-marked")
     found = mine(marked)
-    groups = tuple(frozenset(found[k::3]) for k in range(3))
+    groups = frozenset(g for g in found if len(g) <= 5), frozenset(g for g in found if len(g) > 5)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = token_votes(groups)
@@ -375,7 +404,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = set().union(*(tokens_of(t) for t in batch.column("text").to_pylist()))
-            sequences = {g for t in tokens for g in (t, *grams(t))}
+            sequences = {g for t in tokens for g in parts_of(t)}
             yield pa.RecordBatch.from_arrays([pa.array([g for g in sequences if feature(g) in used], pa.string())], names=["sequence"])
 
     # the sequences of the sample behind the features that have a weight: bounded as the sample is
