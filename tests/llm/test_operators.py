@@ -354,27 +354,6 @@ def test_scores_on_held_out_documents(spark):
     assert right >= 0.95 * len(rows) and all(0 <= r["score"] <= 1 for r in rows)
 
 
-def test_toxic_texts_of_every_language_are_found_and_clean_ones_left(spark):
-    folder = "/root/testdata/sf0.1"
-    rows = toxicity.op8_toxicity(spark, folder).where("held_out").join(
-        spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"), "doc_id").join(
-        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id")
-    found = rows.where("toxic is not null").groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("marked")).collect()
-    assert {r["lang"] for r in found if r["toxic"]} == {"de", "en", "es", "fr"}
-    for r in found:
-        assert r["marked"] >= 0.85 * r["n"] if r["toxic"] else r["marked"] <= 0.05 * r["n"], r
-
-
-def test_a_single_token_with_a_stem_moves_no_mined_voter():
-    groups = frozenset(), frozenset({"^blame", "^stone$"})
-    bits, stems = toxicity.token_votes(groups), toxicity.VOTERS.index("stems")
-    features = toxicity.PerToken(toxicity.token_features(bits))
-    for text, says in (("blameful words", 0), ("blameful blameful", 0), ("blameful blamer", 1), ("a stone, blamed", 1), ("stones blame", 0), ("", 0), (None, 0)):
-        cast = toxicity.votes(text, bits, True)
-        assert (cast[stems], cast[stems + 1]) == (says, says - 1)
-        assert (toxicity.MINED[1] in toxicity.features_of(text, features)) == bool(says)
-
-
 def test_all_labels_outside_the_fold_are_mined(spark, monkeypatch):
     class Seen(Exception):
         pass
