@@ -113,3 +113,30 @@ def test_errors_count_for_the_stated_project(docs):
         issue(summary=None), issue("WEB-2", summary=None, updated=None), issue("X-1", project=..., status=None), "{"])))
     assert {(r.project, r.error_type, r.n_errors) for r in rows.collect()} == {
         ("WEB", "summary", 2), ("WEB", "updated", 1), ("unknown", "status", 1), ("unknown", "bad_json", 1)}
+
+
+def test_repeated_names_and_nan_are_read_and_the_last_name_counts(docs):
+    text = json.dumps(with_comments(comment(), comment(body="again")))
+    twice = text.replace('"fields": {', '"key": "OLD-1", "key": "WEB-1", "fields": {"summary": 5, ')
+    assert [r["violations"] for r in parsed(docs, [twice, " \n" + twice, twice[:-1]])] == [[], [], ["bad_json"]]
+    deep = text.replace('"name": "Open"', '"name": "Old", "name": "Open"').replace('"body": ', '"body": null, "body": ')
+    deep = deep.replace('"displayName": "Bob"', '"displayName": {"a": 1, "a": 2}, "displayName": "Bob"')
+    got, plain = parsed(docs, [deep, text])
+    assert {k: v for k, v in got.items() if k not in ("raw", "value", "source_path")} == {
+        k: v for k, v in plain.items() if k not in ("raw", "value", "source_path")}
+    assert got["status"] == "Open" and [c["body"] for c in got["comments"]] == ["Fixed it", "again"]
+    # a container that holds repeated names keeps its faults, and a missing attribute stays missing
+    odd = json.dumps(issue(status=..., priority=None, comment={"comments": [None, "text", 5]})).replace('"created":', '"created": 1, "created":')
+    assert codes(docs, odd.replace('"name": "ann"', '"name": "x", "name": "ann"')) == ["priority", "comment"]
+
+
+def test_nan_is_a_number(docs):
+    text = json.dumps(issue())
+    assert codes(docs, text.replace('"Broken link"', "NaN")) == ["summary"]
+    assert codes(docs, text.replace('"Broken link"', "-Infinity")) == ["summary"]
+    assert codes(docs, text.replace('"key": "Urgent"', '"x": NaN, "key": "Urgent"').replace("{", '{"n": NaN, ', 1)) == []
+    late = text.replace('"created":', '"created": NaN, "created":').replace('"key": "WEB-1", ', "")[:-1] + ', "key": "WEB-1"}'
+    assert codes(docs, late) == []
+    # the strict parser ignores what follows a document, the second reader does not
+    assert [codes(docs, late + end) for end in (" x", "]", ", {}", "], [1")] == [["bad_json"]] * 4
+    assert codes(docs, "{'key': 'WEB-1'}") == ["bad_json"] and codes(docs, '{"a": NaN} {}') == ["bad_json"]

@@ -94,6 +94,26 @@ def parse_issue_documents(spark: SparkSession, folder: str) -> DataFrame:
             c["author"], F.lit("@"), iso_format(c["created"]))), ";").alias("comment_heads"))
 
 
+@query("parse_loose")
+def parse_loose_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with repeated names at every depth and with ``NaN``, of which the last name counts; some are cut off."""
+    docs, n = bench.raw_documents(spark, folder), F.col("doc_id")
+    value = F.col("value")
+    twice = F.replace(F.replace(F.replace(
+        value, F.lit('"status":{'), F.lit('"status":{"name":"old",')), F.lit('"body":'), F.lit('"body":"old","body":')),
+        F.lit('"fields":{'), F.lit('"fields":{"summary":7,"labels":NaN,'))
+    loose = (
+        F.when(n % 6 == 1, F.concat(F.lit('{"key":"OLD-0",'), F.substr(value, F.lit(2)))).when(n % 6 == 2, twice)
+        .when(n % 6 == 3, F.replace(value, F.lit('"summary":'), F.lit('"summary":NaN,"votes":')))
+        .when(n % 6 == 4, F.concat(F.lit('{"score":-Infinity,'), F.substr(twice, F.lit(2)), F.lit("\n")))
+        .when(n % 6 == 5, F.concat(twice, F.lit("}"))).otherwise(value))
+    issues = parse_issue(docs.withColumn("value", loose))
+    return issues.select(
+        _doc_id(), "key", "summary", "status", F.size("comments").alias("n_comments"),
+        F.md5(F.array_join(F.transform("comments", lambda c: c["body"]), "|")).alias("bodies_md5"),
+        F.array_join("violations", ",").alias("codes"))
+
+
 @query("object_keys")
 def object_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Project of an object's key: its second component, where it has one."""

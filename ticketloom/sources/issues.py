@@ -14,6 +14,7 @@ from ticketloom.functions.times import parse_ts
 from ticketloom.operators.validate import bad_time, is_kind, kind_of, object_or_missing, violations
 from ticketloom.schema import COMMENT_TYPE, UNKNOWN_AUTHOR, UNKNOWN_PROJECT
 from ticketloom.session import path_exists
+from ticketloom.sources.lenient import last_name_wins, parse_document
 
 DOCUMENT_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
@@ -46,6 +47,7 @@ def with_path_project(docs: DataFrame, root: str, store: str = "tree",
     A file whose path tells nothing is named by its content. The first filter needs the path alone,
     so the scan leaves out files of other projects before it opens them.
     """
+    last_name_wins(docs.sparkSession)
     where = path_text(F.col("source_path"))
     by_path = project_from_object_key(where) if store == "object" else project_from_path(where, root)
     if store == "object":
@@ -60,7 +62,7 @@ def with_path_project(docs: DataFrame, root: str, store: str = "tree",
 
 def _project_in_document(value: Column) -> Column:
     """Project as the document states it, for files whose name tells nothing."""
-    doc = F.try_parse_json(value)
+    doc = parse_document(value)
     named = F.coalesce(
         F.nullif(F.try_variant_get(doc, "$.project", "string"), F.lit("")),
         F.nullif(F.try_variant_get(doc, "$.fields.project.key", "string"), F.lit("")),
@@ -155,10 +157,12 @@ def parse_issue(docs: DataFrame, shape: str = "auto") -> DataFrame:
 
     ``shape="auto"`` reads the tracker's shape and the stored shape, so that comments and type of
     stored files are kept; ``"api"`` looks at the tracker's places only; ``"stored"`` at the others.
-    Types and missing-versus-null are judged on the VARIANT, before anything is cast.
+    Types and missing-versus-null are judged on the VARIANT, before anything is cast. Repeated names and ``NaN``
+    are read, see ``sources.lenient``.
     """
+    last_name_wins(docs.sparkSession)
     carried = [c for c in ("source_path", "path_project") if c in docs.columns]
-    parsed = computed_once(docs.select("value", *carried), raw=F.try_parse_json("value"))
+    parsed = computed_once(docs.select("value", *carried), raw=parse_document(F.col("value")))
     judged = computed_once(extracted(parsed, shape, carried), violations=violations())
     from_path = F.nullif(F.col("path_project"), F.lit("")) if "path_project" in carried else F.lit(None)
     return judged.select(
