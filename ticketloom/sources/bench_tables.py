@@ -43,7 +43,7 @@ def issue_rows(spark: SparkSession, folder: str, parts: tuple[str, ...] = ("page
     columns = {
         "key": F.concat("project", F.lit("-"), n.cast("string")),
         "project": F.col("project"),
-        "summary": F.when(n % 23 == 5, "").otherwise(F.substring("text", 1, 60)),
+        "summary": F.when(n % 23 == 5, "").otherwise(F.coalesce("text", F.lit(""))),
         "priority": F.when(n % 5 == 0, "Blocker").when(n % 5 == 1, "Major").when(n % 5 == 2, "Minor")
         .when(n % 5 == 3, "Trivial").otherwise(""),
         "has_assignee": n % 3 != 0,
