@@ -269,6 +269,23 @@ def test_one_of_repeated_and_null_id_rows_keeps_its_lines(spark, tmp_path):
                    (None, "n alpha one two", 3): 1, (None, "", 4): 39}
 
 
+@pytest.mark.parametrize("again", [2, 1000])
+def test_lines_come_off_the_right_rows_whatever_order_they_come_in(spark, monkeypatch, again):
+    monkeypatch.setattr(lines, "AGAIN", again)
+    data = [(7, LINES, None, "x")] * 7 + [(7, LINES, "x", None)] * 2 + [(None, LINES, None, None)] * 5 + [
+        (i, f"own {i}\nown two {i}\n{LINES}", "x", "y") for i in range(20, 60)]
+    rows = spark.createDataFrame(data, "doc_id long, text string, row_id string, covered string")
+    # rows after such a shuffle come in another order and other partitions each time they are read
+    shuffled = rows.repartition(7, F.rand()).withColumn("k1", F.lit(1)).withColumn("lines", F.lit("z"))
+    got = collections.Counter(tuple(r) for r in lines.dedup_lines(shuffled).select(
+        "doc_id", "row_id", "covered", "k1", "lines", "clean", "n_lines", "n_removed").collect())
+    whole = [k for k, n in got.items() if k[7] == 0 for _ in range(n)]
+    assert len(whole) == 1 and whole[0][0] == 7 and whole[0][5] == LINES and sum(got.values()) == len(data)
+    assert collections.Counter(k[:3] for k in got.elements()) == collections.Counter((r[0], r[2], r[3]) for r in data)
+    assert all(k[5:] == ("", 4, 4) for k in got if k[7] and (k[0] is None or k[0] == 7))
+    assert all(got[(i, "x", "y", 1, "z", f"own {i}\nown two {i}", 6, 4)] == 1 for i in range(20, 60))
+
+
 # --- op6 ---
 
 
