@@ -18,11 +18,16 @@ from ticketloom.session import written
 SHARE, MAX_PASSES, WEIGHTS = 1.5, 2, (3, 1, 2)
 #: Rows that one range of an order holds on average.
 RANGE_ROWS = 20_000
+#: Paces of sources that are looked at for cutting the merged order into even ranges; results do not depend on it.
+STEPS = 32
 
 
-def shuffle_key(doc_id: Column) -> Column:
-    """Place of a document in its source's queue: 60 bits of a hash of the id, and so the same in every run."""
-    text = F.coalesce(doc_id.cast("string"), F.lit("null"))
+def shuffle_key(doc_id: Column, other: Column | None = None) -> Column:
+    """Place of a document in its source's queue: 60 bits of a hash of the id, and so the same in every run.
+
+    Rows without an id take their place by ``other``, so that many different ones are spread over the queue.
+    """
+    text = F.coalesce(doc_id.cast("string"), F.lit("null") if other is None else F.concat(F.lit("null:"), other.cast("string")))
     return F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), text)), 1, 15), 16, 10).cast("long")
 
 
@@ -80,14 +85,39 @@ def running_total(df: DataFrame, group: list[str], order: list[str], place: Colu
         name, F.col("_inside") + F.col("_before")).drop("_range", "_r", "_inside", "_before", *[f"_{g}" for g in group])
 
 
+def finish_shares(rows: DataFrame, passes: int) -> list[tuple[float, float]]:
+    """The finish times at which a source ends a pass, in order, each with the share of all copies that finish before it.
+
+    A source's copies finish at an even pace of ``source_size / target`` a pass, as its queue is shuffled, so the number of
+    copies grows straight between two such times. At most ``STEPS`` of them are kept, evenly: they only decide where ranges are cut.
+    """
+    per = rows.where("size > 0 and target > 0").groupBy("source", "source_size", "target").agg(F.count(F.lit(1)).alias("n"))
+    pace = per.select((F.col("source_size") / F.col("target")).alias("pace"), "n")
+    ends = pace.groupBy("pace").agg(F.sum("n").alias("n")).select(
+        F.round(F.col("pace"), 3).alias("pace"), "n").groupBy("pace").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(STEPS).collect()
+    total = sum(r["n"] for r in ends) * passes
+    times = sorted({p * r["pace"] for r in ends for p in range(1, passes + 1)} | {0.0})
+    return [(t, sum(min(t / max(r["pace"], 1e-9), passes) * r["n"] for r in ends) / total) for t in times] if total else [(0.0, 0.0)]
+
+
+def evenly(value: Column, steps: list[tuple[float, float]]) -> Column:
+    """Place in [0, 1] of a value by the shares at ``steps``, straight between them; grows with the value."""
+    out = F.lit(1.0)
+    for (t0, s0), (t1, s1) in reversed(list(zip(steps, steps[1:]))):
+        straight = F.lit(s0) + (value - F.lit(t0)) * F.lit((s1 - s0) / (t1 - t0))
+        out = F.when(value < t1, F.least(straight, F.lit(s1))).otherwise(out)  # rounding must not pass the next step
+    return out
+
+
 def fair_queue(items: DataFrame, share: float = SHARE, passes: int = MAX_PASSES,
                weights: tuple[int, ...] = WEIGHTS, extra: str | None = None) -> DataFrame:
     """``item, doc_id, source, size`` (and a column to carry along) -> the same rows with ``source_size, target`` and ``copies``, how often the mix has them.
 
-    ``item`` is a unique number. A row of size 0 and a source whose target is 0 get no copies. Rows
+    ``item`` is a unique number; ``tie``, where there is one, tells rows without an id apart. A row of size 0 and a source whose target is 0 get no copies. Rows
     that share an id follow one another by size, then by ``item``; a null source is a source of its own.
     """
-    items = written(items.withColumn("place", shuffle_key(F.col("doc_id"))), "mix-items")  # fixes the numbers
+    items = written(items.withColumn("place", shuffle_key(
+        F.col("doc_id"), F.concat_ws(":", "size", *[c for c in ("tie",) if c in items.columns]))), "mix-items")  # fixes the numbers
     spark = items.sparkSession
     targets = source_targets(items, share, passes, weights)
     n, budget = items.count(), targets.agg(F.sum("target")).first()[0] or 0.0
@@ -100,11 +130,9 @@ def fair_queue(items: DataFrame, share: float = SHARE, passes: int = MAX_PASSES,
     finish = (F.col("pass") * F.col("source_size") + F.col("queued")) / F.col("target")
     copies = rows.where("size > 0 and target > 0").withColumn(
         "pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1)))).withColumn("finish", finish)
-    far = (copies.agg(F.max("finish")).first()[0] or 1.0) * (1 + 1e-9)
-    # most copies finish before 1.5; both branches grow with the finish time
-    place = F.when(F.col("finish") < 1.5, F.col("finish") / 3).otherwise(0.5 + F.col("finish") / F.lit(2 * far))
     merged = running_total(
-        copies.withColumn("all", F.lit(0)), ["all"], ["finish", "source", "pass", *key], place, ranges * passes, "spent")
+        copies.withColumn("all", F.lit(0)), ["all"], ["finish", "source", "pass", *key],
+        evenly(F.col("finish"), finish_shares(rows, passes)), ranges * passes, "spent")
     counts = merged.where(F.col("spent") <= F.lit(budget)).groupBy("item").agg(F.count(F.lit(1)).alias("copies"))
     return rows.join(counts, "item", "left").select(
         "item", *([extra] if extra else []), "doc_id", "source", "size", "source_size", "target",
@@ -114,7 +142,8 @@ def fair_queue(items: DataFrame, share: float = SHARE, passes: int = MAX_PASSES,
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes; null texts have none. Repeated rows queue as rows of their own."""
     docs = table(spark, sf_dir, "documents").select(
-        F.monotonically_increasing_id().alias("item"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+        F.monotonically_increasing_id().alias("item"), "doc_id", "source", n_words(F.col("text")).alias("size"),
+        F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("tie"))
     return fair_queue(docs).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -126,7 +155,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     rows = docs.select(F.struct("*").alias("row"), row_key(docs).alias("key"))
     items = rows.select(
-        F.monotonically_increasing_id().alias("item"), "key", "row.doc_id", "row.source", n_words(F.col("row.text")).alias("size"))
+        F.monotonically_increasing_id().alias("item"), "key", F.col("key").alias("tie"), "row.doc_id", "row.source",
+        n_words(F.col("row.text")).alias("size"))
     copies = fair_queue(items, extra="key").groupBy("key").agg(
         F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
     found = rows.join(copies, "key")

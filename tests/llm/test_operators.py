@@ -345,6 +345,24 @@ def test_mix_meets_its_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 120 and target[s] <= 2 * size[s] for s in target)
 
 
+def test_rows_without_an_id_and_finish_times_are_spread(spark):
+    items = spark.range(100_000).select(
+        F.col("id").alias("item"), F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"),
+        (F.col("id") % 50 + 1).alias("size"), F.xxhash64("id").alias("tie"))
+    places = items.select(F.floor(mixing.shuffle_key(F.col("doc_id"), F.concat_ws(":", "size", "tie")) / F.lit(float(1 << 60)) * 10).alias("p"))
+    counts = [r["count"] for r in places.groupBy("p").count().collect()]
+    assert len(counts) == 10 and max(counts) < 11_000
+    # two sources, one of which is cut at its cap: each range of the merged order has its share
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") % 9 == 0, "a").otherwise("b").alias("source"), F.lit(2).alias("size"), F.when(F.col("id") % 9 == 0, 2000).otherwise(16000).alias("source_size"),
+        F.when(F.col("id") % 9 == 0, 4000.0).otherwise(9000.0).alias("target"))
+    steps = mixing.finish_shares(rows, 2)
+    ends = [F.lit(t) for t in (0.0, 0.25, 0.5, 0.75, 1.0, 2.0, 3.5, 9.9)]
+    at = spark.range(1).select(*[mixing.evenly(e, steps).alias(f"c{i}") for i, e in enumerate(ends)]).first()
+    want = [(min(t * 2, 2) * 1000 + min(t / 16 * 9, 2) * 8000) / 18000 for t in (0.0, 0.25, 0.5, 0.75, 1.0, 2.0, 3.5, 9.9)]
+    assert list(at) == pytest.approx(want, abs=1e-3)
+
+
 # --- op8 ---
 
 
