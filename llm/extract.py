@@ -11,7 +11,9 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +24,12 @@ from llm.common import table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never main text.
-DROPPED = frozenset("head title script style noscript template nav footer aside form button select option textarea iframe object svg canvas audio video dialog menu datalist".split())
+DROPPED = frozenset("head title script style noscript template nav footer aside form button select option textarea label iframe object svg canvas audio video dialog menu datalist".split())
 BLOCKS = frozenset((
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul").split())
 #: End tags of these close whatever is open inside; any other end tag stays inside its block.
-CONTAINERS = BLOCKS | DROPPED
+CONTAINERS = BLOCKS | DROPPED - {"label"}
 #: What may stand in the head; anything else ends it, as both </head> and <body> may be left out.
 HEAD_CONTENT = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 #: An element that opens closes those of the first set up to one of the second.
@@ -43,18 +45,46 @@ CLOSES = {
 _AROUND = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banners?|cookies?|consent|gdpr|"
     r"notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscribe|subscription|signup|login|comments?|commentlist|"
-    r"disqus|replies|respond|discussion|sidebars?|side-bar|widgets?|related|recommended|recommendations|more-stories|"
+    r"disqus|replies|respond|responses|user-posts|reader-posts|discussion|sidebars?|side-bar|widgets?|related|recommended|recommendations|more-stories|"
     r"nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|masthead|footers?|foot|copyright|legal|"
     r"share|sharing|social|skip|search|complementary|contentinfo)(?:$|[\s_-]|s?\d)", re.I)
+#: The same inside an article, where chapters and notes bear names like "discussion", "alert" or "related-work".
+_APART = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|popups?|modals?|"
+    r"newsletters?|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|responses|user-posts|reader-posts|"
+    r"sidebars?|side-bar|widgets?|related(?:-(?:posts?|articles?|links?|stories|news))?(?=$|\s)|recommended|recommendations|more-stories|"
+    r"navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|share|sharing|contentinfo)(?:$|[\s_-]|s?\d)|"
+    r"(?:^|\s)(?:notices?|alerts?|banners?|nav|masthead|footer|copyright|legal|skip|social|search)(?=$|\s)", re.I)
+#: Text elements, which only the plainest names take out of an article.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li td th blockquote pre figcaption".split())
+_COMMENT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsored|comments?|commentlist|replies|reply)(?:$|[\s_-])", re.I)
 _ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body|text)(?:$|[\s_-])", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+class Said(NamedTuple):
+    """What class, id and role of an element say of it."""
+
+    around: bool
+    apart: bool
+    comment: bool
+    article: bool
+
+
+_NOTHING = Said(False, False, False, False)
+
+
+@lru_cache(maxsize=10_000)
+def _said(names: str) -> Said:
+    return Said(*(pattern.search(names) is not None for pattern in (_AROUND, _APART, _COMMENT, _ARTICLE)))
+
+
 class Node:
-    __slots__ = ("tag", "around", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "around", "inside", "parent", "items", "chars", "link_chars", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, around: bool = False):
+    def __init__(self, tag: str, parent: Node | None, around: bool = False, inside: bool = False):
         self.tag, self.parent, self.around = tag, parent, around
+        self.inside = inside or parent is not None and parent.inside
         self.items: list[Node | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -66,6 +96,8 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.said = _NOTHING
+        self.forms: list[Node] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html" or tag == "body" and any(n.tag == "body" for n in self._path()):
@@ -81,8 +113,12 @@ class TreeBuilder(HTMLParser):
                 node = node.parent
             if last is not None and last.parent is not None:
                 self.at = last.parent
-        node = Node(tag, self.at, self.surrounds(tag, attrs))
+        self.said = _said(" ".join(v for k, v in attrs if v and k in ("class", "id", "role"))) if attrs else _NOTHING
+        is_article = tag in ("article", "main") or tag != "body" and self.said.article
+        node = Node(tag, self.at, self.surrounds(tag, attrs), is_article)
         self.at.items.append(node)
+        if tag == "form":
+            self.forms.append(node)
         if tag not in VOID:
             self.at = node
 
@@ -100,9 +136,14 @@ class TreeBuilder(HTMLParser):
             return True
         if not attrs:
             return False
-        names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        named = bool(names) and tag not in ("body", "article", "main") and _AROUND.search(names) and not _ARTICLE.search(names)
-        return bool(named) or any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
+        names = self.said
+        if any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs):
+            return True
+        if tag in ("body", "article", "main"):
+            return tag == "article" and names.comment
+        if self.at.inside:
+            return (names.comment if tag in _PROSE else names.apart) and not names.article
+        return names.around and not names.article
 
     def _path(self) -> Iterator[Node]:
         node: Node | None = self.at
@@ -131,9 +172,22 @@ def parse(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    for form in builder.forms:
+        _open_if_page(form, builder.root)
     return builder.root
 
 
+def _open_if_page(form: Node, root: Node) -> None:
+    """A form around more than half of the page's text is a wrapper; what it asks for is left out as before."""
+    form.around = False
+    if 2 * _chars(form) <= _chars(root):
+        form.around = True
+
+
+def _chars(root: Node) -> int:
+    return sum(len(_SPACE.sub(" ", item).strip()) for node, opens in _in_order(root) if opens for item in node.items if isinstance(item, str))
+
+
 def _in_order(root: Node) -> Iterator[tuple[Node, bool]]:
     """Each element when it opens and when it closes; no recursion, whatever the depth."""
     stack: list[tuple[Node, bool]] = [(root, True)]
@@ -194,13 +248,35 @@ def core(body: Node) -> tuple[Node, float]:
     return best, threshold
 
 
+def _stated(body: Node) -> Node:
+    """The one article or main element that holds a fair part of the text, else the body: where the core is looked for."""
+    found = [node for node, opens in _in_order(body) if opens and node.tag in ("article", "main")
+             and not any(n.tag in ("article", "main") for n in _ancestors(node))]
+    return found[0] if len(found) == 1 and 4 * found[0].chars >= body.chars else body
+
+
+def _ancestors(node: Node) -> Iterator[Node]:
+    while node.parent is not None:
+        node = node.parent
+        yield node
+
+
+def _title_of(node: Node) -> list[str]:
+    """A heading right before the text, where the text has no first heading of its own."""
+    if node.parent is None or any(n.tag == "h1" for n, opens in _in_order(node) if opens):
+        return []
+    before = [i for i in node.parent.items[:node.parent.items.index(node)] if isinstance(i, Node) and not i.around or isinstance(i, str) and i.strip()]
+    last = before[-1] if before else None
+    return blocks(last) if isinstance(last, Node) and last.tag in ("h1", "h2") and last.link_chars < last.chars else []
+
+
 def article(body: Node) -> Node:
     """The subtree of the main text: from the core up through what an article wraps around it.
 
     A parent is taken along while it is an article, section or main element or a plain wrapper whose other
     children reach the threshold, so that paragraphs split over wrappers stay together.
     """
-    best, threshold = core(body)
+    best, threshold = core(_stated(body))
     node, found = best, best
     while node is not body and node.parent is not None:
         up = node.parent
@@ -256,7 +332,8 @@ def main_text(html: str | None) -> str:
     """Main text of a whole page; null and pages without text give an empty one."""
     if not html:
         return ""
-    return "\n".join(blocks(article(measure(parse(html)))))
+    found = article(measure(parse(html)))
+    return "\n".join(_title_of(found) + blocks(found))
 
 
 @F.pandas_udf(StringType())

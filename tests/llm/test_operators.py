@@ -441,6 +441,31 @@ def test_article_without_what_surrounds_it():
     assert extract.main_text("<div>" * 5000 + "deep") == "deep" and extract.main_text("<p>a<br>b &lt; c") == "a b < c"
 
 
+PROSE = "This sentence of the article is long enough to count as prose, and it goes on for a while."
+
+
+def test_names_do_not_take_chapters_out_of_an_article():
+    def p(k):
+        return f"<p>{PROSE} {k}</p>"
+    inside = f"<h1>T</h1>{p(1)}<section id='discussion'>{p(2)}</section><div class='related-work'>{p(3)}</div><p class='alert'>{PROSE} 4</p>"
+    noise = "<div class='comments'><p>first!</p></div><div class='ad'>buy</div><div class='notice'>we moved</div>"
+    want = "\n".join(["T"] + [f"{PROSE} {k}" for k in (1, 2, 3, 4)])
+    assert extract.main_text(f"<nav>menu</nav><article>{inside}{noise}</article><div class='sidebar'>more</div>") == want
+    assert extract.main_text(f"<div class='alert'>old browser</div><div id='main'>{inside}{noise}</div>") == want
+    # reader comments of any name and length are not the article
+    for name in ("responses", "user-posts", "comments"):
+        assert extract.main_text(f"<article>{p(1)}</article><ul class='{name}'>{''.join(f'<li>{p(k)}</li>' for k in range(30))}</ul>") == f"{PROSE} 1"
+    assert extract.main_text(f"<article>{p(1)}<article class='comment'>{p(2)}</article></article>") == f"{PROSE} 1"
+
+
+def test_a_form_around_the_page_is_a_wrapper_and_a_heading_before_the_text_stays():
+    page = f"<body><form action='/'><input name='state'><label>Find</label><select><option>a</option></select><h1>T</h1><p>{PROSE}</p><p>{PROSE}</p><button>Go</button></form></body>"
+    assert extract.main_text(page) == f"T\n{PROSE}\n{PROSE}"
+    assert extract.main_text(f"<form>Sign up<input></form><p>{PROSE}</p>") == PROSE
+    beside = f"<body><h1>Title</h1><div class='c'><p>{PROSE}</p><p>{PROSE}</p></div><div><a href='x'>one</a> <a href='y'>two</a></div></body>"
+    assert extract.main_text(beside) == f"Title\n{PROSE}\n{PROSE}"
+
+
 # --- op10 ---
 
 
