@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.names import project_from_object_key
 from ticketloom.plans.corpus import build_corpus, build_corpus_counted
-from ticketloom.plans.ingest import ingest, read_quarantine
+from ticketloom.plans.ingest import ingest, ingest_documents, read_quarantine
 from ticketloom.sinks.keyed import BUCKETS, batch_path, buckets_of, drop_merged, read_manifest
 from ticketloom.sinks.tables import compact_ledger, compact_store, read_store, save_processed, save_progress, stored_json, write_raw
 from ticketloom.sources.issues import parse_issue, read_raw
@@ -371,3 +371,33 @@ def test_counters_add_up_over_batches_and_resume_skips_old_days(spark, tmp_path)
     put(landing, "WEB/9.json", issue("WEB-9", updated="2024-01-11T01:00:00.000+0000"))
     got = ingest(spark, str(landing), f"{at}/store", f"{at}/state", batch=0, resume=True)
     assert [r.key for r in got.collect()] == ["WEB-9"]
+
+
+def sizes(folder, pattern="part-*"):
+    return [f.stat().st_size for f in Path(folder).rglob(pattern)]
+
+
+def test_the_parsed_copy_of_a_batch_holds_what_the_batch_takes(spark, docs, tmp_path, monkeypatch):
+    copies = []
+    monkeypatch.setattr("ticketloom.plans.ingest.discard", lambda _, path: copies.append(path))
+    batch = docs([issue("WEB-1", description="kept"), issue("WEB-2", summary=None, description="refused")])
+    for form in ("parquet", "json"):
+        ingest_documents(batch, str(tmp_path / form / "s"), str(tmp_path / form / "t"), 0, form=form)
+    plain, whole = (spark.read.parquet(path) for path in copies)
+    assert "raw" not in plain.columns and whole.where("raw is not null").count() == 1
+    for copy in (plain, whole):
+        rows = {r.key: r for r in copy.collect()}
+        assert rows["WEB-1"].value is None and rows["WEB-1"].description == "kept"
+        assert "refused" in rows["WEB-2"].value and rows["WEB-2"].description is None and rows["WEB-2"].comments is None
+    for form in ("parquet", "json"):
+        (bad,) = read_quarantine(spark, str(tmp_path / form / "t")).collect()
+        assert bad.key == "WEB-2" and bad.project == "WEB" and list(bad.violations) == ["summary"] and "refused" in bad.value
+        assert [r.key for r in read_store(spark, str(tmp_path / form / "s"), form).collect()] == ["WEB-1"]
+
+
+def test_a_small_ledger_batch_is_small(spark, tmp_path):
+    keys = spark.createDataFrame([(f"K-{n}", datetime(2024, 1, 2)) for n in range(640)], "key string, processed_at timestamp_ntz")
+    save_processed(keys, str(tmp_path), 0)
+    # a Bloom filter of fixed size takes a megabyte of every file
+    assert sum(sizes(tmp_path, "part-*.parquet")) < 64 * 100_000
+    assert load_processed(spark, str(tmp_path), keys=keys.limit(3)).join(keys.limit(3), "key", "left_semi").count() == 3

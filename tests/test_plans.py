@@ -8,6 +8,7 @@ from conftest import SMALL, issue
 from ticketloom.plans.catalog import QUERIES
 from ticketloom.plans.corpus import corpus_from_issues
 from ticketloom.sinks.tables import read_store, write_raw
+from ticketloom.sources.bench_tables import raw_documents
 from ticketloom.sources.issues import parse_issue, read_raw
 
 FILES = {"raw_scan", "raw_roundtrip", "corpus_jsonl_roundtrip", "corpus_alpaca_roundtrip", "corpus_rejects", "ingest", "ingest_latest",
@@ -78,3 +79,15 @@ def test_project_filter_prunes_folders_and_files(spark, docs, tmp_path):
     while node.children().size():
         node = node.children().head()
     assert node.metrics().apply("numFiles").value() == 2
+
+
+def test_raw_documents_are_shuffled_once_whatever_the_number_of_partitions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3 * spark.sparkContext.defaultParallelism)
+    try:
+        text = plan(raw_documents(spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert text.count("Exchange hashpartitioning") == text.count("FileScan parquet") == 6
