@@ -401,3 +401,10 @@ def test_a_small_ledger_batch_is_small(spark, tmp_path):
     # a Bloom filter of fixed size takes a megabyte of every file
     assert sum(sizes(tmp_path, "part-*.parquet")) < 64 * 100_000
     assert load_processed(spark, str(tmp_path), keys=keys.limit(3)).join(keys.limit(3), "key", "left_semi").count() == 3
+
+
+def test_a_packed_corpus_reads_as_the_plain_one(spark, raw, tmp_path):
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    assert build_corpus(spark, raw, plain) == build_corpus(spark, raw, packed, compression="gzip") == 6
+    assert sorted(r.value for r in spark.read.text(plain).collect()) == sorted(r.value for r in spark.read.text(packed).collect())
+    assert sizes(packed, "part-*.json.gz") and not sizes(plain, "*.gz")
