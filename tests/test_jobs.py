@@ -408,3 +408,12 @@ def test_a_packed_corpus_reads_as_the_plain_one(spark, raw, tmp_path):
     assert build_corpus(spark, raw, plain) == build_corpus(spark, raw, packed, compression="gzip") == 6
     assert sorted(r.value for r in spark.read.text(plain).collect()) == sorted(r.value for r in spark.read.text(packed).collect())
     assert sizes(packed, "part-*.json.gz") and not sizes(plain, "*.gz")
+
+
+def test_a_streamed_corpus_may_be_packed(spark, tmp_path):
+    put(tmp_path / "landing", "WEB/1.json", issue("WEB-1", description="text " * 200))
+    at = [str(tmp_path / n) for n in ("landing", "checkpoint", "store", "state", "corpus")]
+    stream_corpus(spark, *at, compression="gzip")
+    assert sizes(at[-1], "part-*.json.gz") and not sizes(at[-1], "part-*.json")
+    (line,) = spark.read.option("recursiveFileLookup", "true").text(at[-1]).collect()
+    assert json.loads(line.value)["metadata"]["issue_key"] == "WEB-1"
