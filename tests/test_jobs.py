@@ -417,3 +417,15 @@ def test_a_streamed_corpus_may_be_packed(spark, tmp_path):
     assert sizes(at[-1], "part-*.json.gz") and not sizes(at[-1], "part-*.json")
     (line,) = spark.read.option("recursiveFileLookup", "true").text(at[-1]).collect()
     assert json.loads(line.value)["metadata"]["issue_key"] == "WEB-1"
+
+
+def test_pending_batches_are_read_without_a_copy_of_their_rows(spark, docs, tmp_path, monkeypatch):
+    copies = []
+    monkeypatch.setattr("ticketloom.sinks.keyed.written", lambda df, label: copies.append(df.columns) or df)
+    store = str(tmp_path / "store")
+    for batch, (key, name) in enumerate((("WEB-1", "one"), ("WEB-2", "two"), ("WEB-1", "three"), ("WEB-1", "four"))):
+        write_raw(parse_issue(docs([issue(key, summary=name)])), store, batch)
+        if batch == 1:
+            compact_store(spark, store)
+    assert {(r.key, r.summary, r.batch) for r in read_store(spark, store, latest=True).collect()} == {("WEB-1", "four", 3), ("WEB-2", "two", 1)}
+    assert copies == [["key"]]
