@@ -113,7 +113,7 @@ class TreeBuilder(HTMLParser):
                 node = node.parent
             if last is not None and last.parent is not None:
                 self.at = last.parent
-        self.said = _said(" ".join(v for k, v in attrs if v and k in ("class", "id", "role"))) if attrs else _NOTHING
+        self.said = self.stated(attrs) if attrs else _NOTHING
         is_article = tag in ("article", "main") or tag != "body" and self.said.article
         node = Node(tag, self.at, self.surrounds(tag, attrs), is_article)
         self.at.items.append(node)
@@ -130,6 +130,9 @@ class TreeBuilder(HTMLParser):
             self.at.items.append(body)
             self.at = body
 
+    def stated(self, attrs: list) -> Said:
+        return _said(" ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
+
     def surrounds(self, tag: str, attrs: list) -> bool:
         """Is this element around the main text, by its name or by what its attributes say?"""
         if tag in DROPPED or tag == "header" and not any(p.tag in ("article", "main") for p in self._path()):
@@ -155,12 +158,18 @@ class TreeBuilder(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        for node in self._path():
+        node, inline = self.at, tag not in CONTAINERS
+        while node is not None:
             if node.tag == tag and node.parent is not None:
                 self.at = node.parent
                 return
-            if tag not in CONTAINERS and node.tag in CONTAINERS:
+            if inline and node.tag in CONTAINERS:
                 return  # an inline element is not closed from inside another block
+            node = node.parent
+
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines are not counted: nobody asks where in the page a tag stands."""
+        return j
 
     def handle_data(self, data: str) -> None:
         if self.at.tag == "head" and data.strip():
@@ -301,7 +310,7 @@ def blocks(node: Node) -> list[str]:
     now: list[str] = []
 
     def flush() -> None:
-        text = _SPACE.sub(" ", "".join(now)).strip()
+        text = " ".join("".join(now).split())
         now.clear()
         if text:
             out.append(text)

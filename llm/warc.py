@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import table
-from llm.extract import Node, TreeBuilder, blocks
+from llm.extract import _NOTHING, Node, Said, TreeBuilder, blocks
 
 VERSION = "WARC/1.1"
 #: Date of records whose source states none.
@@ -73,6 +73,9 @@ class _LinkedTree(TreeBuilder):
         if tag == "title" and self.title is None:
             self.title = self.at
 
+    def stated(self, attrs: list) -> Said:
+        return _NOTHING  # what counts here is the element alone
+
     def surrounds(self, tag: str, attrs: list) -> bool:
         return tag in _HIDDEN
 
@@ -102,11 +105,11 @@ def derive(record_id: str | None, uri: str | None, date: str | None, content_typ
     rows = []
     for name, mime, out in (("metadata", "application/json", meta), ("conversion", "text/plain", text)):
         data = out.encode("utf-8", "replace")
-        own = record_uuid(name, record_id)
+        own, stated = record_uuid(name, record_id), digest(data)
         header = header_of(name, [
             ("WARC-Record-ID", own), ("WARC-Refers-To", record_id), ("WARC-Target-URI", uri), ("WARC-Date", date),
-            ("WARC-Block-Digest", digest(data)), ("Content-Type", mime), ("Content-Length", str(len(data)))])
-        rows.append((name, own, record_id, uri, date, mime, len(data), digest(data), payload_digest, header, out))
+            ("WARC-Block-Digest", stated), ("Content-Type", mime), ("Content-Length", str(len(data)))])
+        rows.append((name, own, record_id, uri, date, mime, len(data), stated, payload_digest, header, out))
     return rows
 
 

@@ -521,3 +521,13 @@ def test_one_document_of_each_class_stays(spark, docs):
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in minhash.near_duplicate_stage(spark, docs, "").collect())
     ids = [i for none, i in kept if not none]
     assert 1 in ids and 2 not in ids and 3 not in ids and ids.count(7) == 1 and (True, 0) in kept and {4, 5, 11} <= set(ids)
+
+
+def test_a_response_pays_for_each_digest_once_and_for_no_names(monkeypatch):
+    hashed, digest = [], warc.digest
+    monkeypatch.setattr(warc, "digest", lambda data: hashed.append(data) or digest(data))
+    monkeypatch.setattr(extract, "_said", lambda names: pytest.fail(f"class names are not asked for: {names}"))
+    page = '<title>A</title><div class="menu">One\u2003 two\x1f<a href="/x">three</a></div><p>Four</p>'
+    meta, text = warc.derive("<urn:x>", "http://a/", None, "text/html", page)
+    assert len(hashed) == 4 and text[10] == "One two three\nFour" and text[7] == digest(text[10].encode())
+    assert f"WARC-Block-Digest: {meta[7]}\r\n" in meta[9] and '"links": ["/x"]' in meta[10]
