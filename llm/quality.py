@@ -44,7 +44,8 @@ class Rule:
     below: bool = False
 
     def value(self) -> Column:
-        return F.col(self.top) / F.col(self.bottom)
+        """Null for a text without words: Spark may work this out before the base rule that rejects such a text."""
+        return F.try_divide(F.col(self.top), F.col(self.bottom))
 
 
 def _steps(first: float, last: float, n: int = 40) -> tuple[float, ...]:

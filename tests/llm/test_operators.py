@@ -192,6 +192,21 @@ def test_cutoffs_are_certified_lenient_and_limited(spark):
     assert all(c["bound"] <= 0.05 / len(quality.RULES) for c in cuts)
 
 
+def test_texts_without_words_are_judged(spark, tmp_path):
+    good = [(i, "plain words of a good text number " + " ".join(f"w{i}x{k}" for k in range(20)), "en") for i in range(1600)]
+    bad = [(2000 + i, " ".join(f"w{i}x{k} ###" for k in range(12)), "en") for i in range(60)]
+    none = [(3000, None, "en"), (3001, "", "en"), (3002, " \n\t ", "en"), (3003, None, None), (None, "", None)]
+    data = spark.createDataFrame(good + bad + none, "doc_id long, text string, lang string").cache()
+    data.write.parquet(f"{tmp_path}/documents.parquet")
+    data.select("doc_id", (F.col("doc_id") < 2000).cast("int").alias("quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    got = collections.Counter(tuple(r) for r in quality.op3_quality_rules(spark, str(tmp_path)).collect())
+    assert got == collections.Counter(
+        (i, s[0], s[1], s[2], s[4], s[5], s[0] < 10, s[0] >= 10 and i < 2000)
+        for i, s in ((i, quality.text_stats(text)) for i, text, _ in good + bad + none))
+    stage = quality.quality_stage(spark, data, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in stage) == list(range(1600))
+
+
 # --- op4 ---
 
 
